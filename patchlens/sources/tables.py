@@ -29,8 +29,36 @@ TABLES = [
 AUTHOR_DOMAINS = ["kernel.org", "example.com", "redhat.com", "gmail.com", "intel.com"]
 
 
+# id column per table: hash key used when a scan must be spread (see ``spread``)
+TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "lineitem": "l_orderkey",
+              "embeddings": "vec_id"}
+SPREAD_MIN_BYTES = 4 * 1024 * 1024
+
+
+def spread(df: DataFrame, key: str | None = None, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Hash-repartition a scan on ``key`` only when it is under-parallelised.
+
+    A large input split into fewer partitions than the cluster has task
+    slots (e.g. one parquet row group) would run every per-row operator after
+    it (regex, tokenising) in a handful of tasks.  On a cluster, inputs have
+    many splits and this is a no-op, so no extra shuffle is added there.
+    Hashing on the table's id also satisfies later groupings/windows keyed
+    by that id, so they need no further shuffle.
+    """
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) < min_bytes:
+        return df
+    n = 2 * slots
+    return df.repartition(n, key) if key else df.repartition(n)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df, TABLE_KEYS.get(name))
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:
