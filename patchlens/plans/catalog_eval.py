@@ -330,3 +330,20 @@ def compare_models(spark, sf_dir):
     return g.select("day", F.round("trad", 6).alias("trad_mse"), F.round("att", 6).alias("att_mse"),
                     F.round(F.try_divide(F.col("trad") - F.col("att"), F.col("trad")) * 100, 6).alias("improvement_pct"),
                     (F.col("att") < F.col("trad")).cast("int").alias("attention_wins"))
+
+
+_LINE_SQL = ("(SELECT l_orderkey, l_linenumber, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS line_id "
+             "FROM lineitem)")
+
+
+@query("random_subset", sql=" UNION ALL ".join(
+    f"(SELECT {it} AS iteration, l_orderkey, l_linenumber FROM {_LINE_SQL} ORDER BY md5(line_id || '|{it}'), line_id LIMIT 8000)"
+    for it in (1, 2, 3)))
+def random_subset(spark, sf_dir):
+    """Per improvement cycle, a capped subset without replacement, seeded by the cycle number."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("line_id"))
+    parts = [SP.sample_cap(li, "line_id", 8000, seed=it).select(F.lit(it).alias("iteration"), "l_orderkey", "l_linenumber")
+             for it in (1, 2, 3)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

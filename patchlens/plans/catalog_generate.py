@@ -371,3 +371,30 @@ def accuracy_estimate(spark, sf_dir):
     acc = F.array(*[F.lit(float(accs[m])) for m in ("p1", "p2", "p3")])
     return s.select("event_id", F.round(CG.accuracy_estimate(conf), 6).alias("estimate_no_metrics"),
                     F.round(CG.accuracy_estimate(conf, acc), 6).alias("estimate"))
+
+
+# ------------------------------------------------------- meta features (M5)
+
+@query("meta_features", sql=f"""
+WITH s AS (SELECT sc.event_id, sc.actual, sc.p1, sc.p2, sc.p3, e.value,
+                  CAST(json_extract_string(e.props, '$.k') AS DOUBLE) AS k, CAST(hour(e.ts) AS DOUBLE) AS hr
+           FROM {SCORES_SQL} sc JOIN events e ON sc.event_id = e.event_id),
+m AS (SELECT *, (p1 + p2 + p3) / 3 AS mean FROM s),
+v AS (SELECT *, ((p1 - mean) * (p1 - mean) + (p2 - mean) * (p2 - mean) + (p3 - mean) * (p3 - mean)) / 3 AS var FROM m)
+SELECT event_id, round(abs(p1 - 0.5) * 2, 6) AS p1_conf, round(abs(p2 - 0.5) * 2, 6) AS p2_conf, round(abs(p3 - 0.5) * 2, 6) AS p3_conf,
+       round(mean, 6) AS ens_mean, round(sqrt(var), 6) AS ens_std, round(list_sort([p1, p2, p3])[2], 6) AS ens_median,
+       round(greatest(p1, p2, p3) - least(p1, p2, p3), 6) AS ens_range, round(1 - sqrt(var), 6) AS agreement,
+       round(var, 6) AS variance,
+       round((CAST(value = 0 AS INTEGER) + CAST(k = 0 AS INTEGER) + CAST(hr = 0 AS INTEGER)) / 3.0, 6) AS sparsity,
+       round(sqrt(value * value + k * k + hr * hr), 6) AS magnitude,
+       round(abs(mean - actual), 6) AS error, round((mean - actual) * (mean - actual), 6) AS sq_error
+FROM v
+""")
+def meta_features(spark, sf_dir):
+    """Per event: model confidences, ensemble statistics, feature-row statistics and the error targets."""
+    from patchlens.plans.catalog_models import meta_frame
+
+    d, _ = meta_frame(spark, sf_dir)
+    cols = ["p1_conf", "p2_conf", "p3_conf", "ens_mean", "ens_std", "ens_median", "ens_range", "agreement", "variance",
+            "sparsity", "magnitude", "error", "sq_error"]
+    return d.select("event_id", *[F.round(c, 6).alias(c) for c in cols])
