@@ -105,15 +105,23 @@ def correlation_weights(df: DataFrame, cols: list[str], y: str) -> DataFrame:
     return _normalise(long, "corr")
 
 
-def value_ranks(df: DataFrame, value: str, by: list[str] | None = None, n_buckets: int = 1024) -> DataFrame:
+def value_counts(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
+    """Distinct (by..., value) with their count: a partial aggregation."""
+    by = by or []
+    return df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def value_ranks(df: DataFrame, value: str, by: list[str] | None = None, n_buckets: int = 1024,
+                counted: DataFrame | None = None) -> DataFrame:
     """Distinct values with their count and the number of smaller values.
 
     Output (by..., value, cnt, below).  Exact; work is spread by approximate
     quantile buckets, and only the per-bucket totals (bounded by
     groups x n_buckets) go through a single-partition window.
+    ``counted`` may pass a precomputed (cached) ``value_counts`` table.
     """
     by = by or []
-    c = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("cnt"))
+    c = counted if counted is not None else value_counts(df, value, by)
     qs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = c.agg(F.percentile_approx(value, qs, 10000).alias("b")).first()["b"] or []
     splits = [-math.inf] + sorted({float(b) for b in bounds if b is not None}) + [math.inf]
@@ -133,23 +141,28 @@ def value_ranks(df: DataFrame, value: str, by: list[str] | None = None, n_bucket
 def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float]) -> dict[str, list[float]]:
     """Linear-interpolated quantiles (NumPy default) of each column, exactly.
 
-    One unpivot, one ranking job; the driver receives at most 2 rows per
-    (column, quantile).
+    One unpivot and one (cached) distinct-value count table serve three small
+    actions; the driver receives per-feature totals, bucket bounds and at
+    most 2 rows per (column, quantile).
     """
     stack = ", ".join(f"'{c}', CAST({c} AS DOUBLE)" for c in cols)
     long = df.selectExpr(f"stack({len(cols)}, {stack}) AS (feature, v)")
-    n = {r["feature"]: r["n"] for r in long.groupBy("feature").agg(F.count("v").alias("n")).collect()}
-    r = value_ranks(long, "v", by=["feature"])
-    want = []
-    for c in cols:
-        for q in qs:
-            h = (n[c] - 1) * q
-            want += [(c, math.floor(h)), (c, math.ceil(h))]
-    cond = None
-    for c, k in set(want):
-        e = (F.col("feature") == c) & (F.col("below") <= k) & (F.col("below") + F.col("cnt") > k)
-        cond = e if cond is None else cond | e
-    rows = r.filter(cond).select("feature", "v", "below", "cnt").collect()
+    counted = value_counts(long, "v", ["feature"]).cache()
+    try:
+        n = {r["feature"]: r["n"] for r in counted.groupBy("feature").agg(F.sum("cnt").alias("n")).collect()}
+        r = value_ranks(long, "v", by=["feature"], counted=counted)
+        want = []
+        for c in cols:
+            for q in qs:
+                h = (n[c] - 1) * q
+                want += [(c, math.floor(h)), (c, math.ceil(h))]
+        cond = None
+        for c, k in set(want):
+            e = (F.col("feature") == c) & (F.col("below") <= k) & (F.col("below") + F.col("cnt") > k)
+            cond = e if cond is None else cond | e
+        rows = r.filter(cond).select("feature", "v", "below", "cnt").collect()
+    finally:
+        counted.unpersist()
 
     def at(c, k):
         for row in rows:

@@ -101,9 +101,9 @@ WITH c AS (SELECT model, split, count(*) FILTER (WHERE actual = 1 AND p > 0.5) A
 m AS (SELECT model, split, coalesce(2 * prec * rec / nullif(prec + rec, 0), 0) AS f1, prec, rec FROM (
         SELECT model, split, coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0) AS prec,
                coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0) AS rec FROM c))
-SELECT 0 AS line_no, '| model | split | f1 | precision | recall |' AS line
-UNION ALL SELECT 1, '|---|---|---|---|---|'
-UNION ALL SELECT 1 + row_number() OVER (ORDER BY f1 DESC, model, split),
+SELECT CAST(0 AS INTEGER) AS line_no, '| model | split | f1 | precision | recall |' AS line
+UNION ALL SELECT CAST(1 AS INTEGER), '|---|---|---|---|---|'
+UNION ALL SELECT CAST(1 + row_number() OVER (ORDER BY f1 DESC, model, split) AS INTEGER),
   '| ' || model || ' | ' || split || ' | ' || format('{{:.4f}}', f1) || ' | ' || format('{{:.4f}}', prec) || ' | ' || format('{{:.4f}}', rec) || ' |'
 FROM m
 """)

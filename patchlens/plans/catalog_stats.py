@@ -196,7 +196,7 @@ EMB_LONG_SQL = ("(SELECT label, CAST(unnest(embedding) AS DOUBLE) AS v, "
 
 @query("anova_f", sql=f"""
 WITH g AS (SELECT dim, label, count(v) AS ng, sum(v) AS sg, sum(v * v) AS qg FROM {EMB_LONG_SQL} GROUP BY dim, label),
-f AS (SELECT dim, sum(ng) AS n, count(*) AS k, sum(sg) AS s, sum(sg * sg / ng) AS a, sum(qg) AS q FROM g GROUP BY dim)
+f AS (SELECT dim, CAST(sum(ng) AS BIGINT) AS n, count(*) AS k, sum(sg) AS s, sum(sg * sg / ng) AS a, sum(qg) AS q FROM g GROUP BY dim)
 SELECT dim, n, k, round(((a - s * s / n) / (k - 1)) / nullif((q - a) / (n - k), 0), 6) AS f_stat FROM f
 """)
 def anova_f(spark, sf_dir):

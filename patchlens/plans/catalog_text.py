@@ -27,7 +27,7 @@ TERMS_SQL = f"""(SELECT doc_id, unnest(list_concat(toks, list_transform(range(1,
 TF_SQL = f"(SELECT doc_id, term, count(*) AS tf FROM {TERMS_SQL} GROUP BY doc_id, term)"
 NDOCS_SQL = "(SELECT count(*) FROM documents WHERE lang = 'en')"
 VOCAB_SQL = f"""(SELECT term, df, total, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS term_index FROM (
-  SELECT term, count(*) AS df, sum(tf) AS total FROM {TF_SQL} GROUP BY term
+  SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS total FROM {TF_SQL} GROUP BY term
   HAVING count(*) >= 2 AND count(*) <= 0.95 * {NDOCS_SQL}
   ORDER BY total DESC, term LIMIT {MAX_FEATURES}))"""
 
@@ -52,7 +52,7 @@ def token_counts(spark, sf_dir):
 
 
 @query("bigram_counts", sql=f"""
-SELECT term AS bigram, count(*) AS n_docs, sum(tf) AS n_total FROM {TF_SQL} WHERE contains(term, ' ') GROUP BY term
+SELECT term AS bigram, count(*) AS n_docs, CAST(sum(tf) AS BIGINT) AS n_total FROM {TF_SQL} WHERE contains(term, ' ') GROUP BY term
 """)
 def bigram_counts(spark, sf_dir):
     tf = _tf(spark, sf_dir).filter(F.col("term").contains(" "))
