@@ -47,10 +47,38 @@ def confusion(df: DataFrame, actual, predicted, by: list[str] | None = None) ->
     return with_rates(g.agg(*confusion_aggs(actual, predicted), F.count(F.lit(1)).alias("total")))
 
 
-def roc_auc(df: DataFrame, score: str, label: str, by: list[str] | None = None, n_buckets: int = 1024) -> DataFrame:
+def score_counts(df: DataFrame, score: str, label: str, by: list[str] | None = None) -> DataFrame:
+    """Collapse scored rows to (by..., _s, _pos, _neg): one partial aggregation.
+
+    Every rank metric and every thresholded confusion count is a function of
+    this table, so a raw scored table is read once for all of them.  Null
+    scores are kept (as _s = null) for the confusion counts.
+    """
+    y = _c(label).cast("int")
+    return df.groupBy(*(by or []), F.col(score).alias("_s")).agg(
+        F.sum(F.when(y == 1, 1).otherwise(0)).cast("double").alias("_pos"),
+        F.sum(F.when(y == 1, 0).otherwise(1)).cast("double").alias("_neg"),
+    )
+
+
+def confusion_from_counts(c: DataFrame, by: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
+    """tp/fp/tn/fn for predicted = score > threshold (null -> negative), plus rates."""
+    pred = F.coalesce(F.col("_s") > threshold, F.lit(False))
+    g = c.groupBy(*(by or [])).agg(
+        F.sum(F.when(pred, F.col("_pos")).otherwise(0.0)).cast("bigint").alias("tp"),
+        F.sum(F.when(pred, F.col("_neg")).otherwise(0.0)).cast("bigint").alias("fp"),
+        F.sum(F.when(pred, 0.0).otherwise(F.col("_neg"))).cast("bigint").alias("tn"),
+        F.sum(F.when(pred, 0.0).otherwise(F.col("_pos"))).cast("bigint").alias("fn"),
+    )
+    return with_rates(g)
+
+
+def roc_auc(df: DataFrame | None, score: str, label: str, by: list[str] | None = None, n_buckets: int = 1024,
+            counts: DataFrame | None = None) -> DataFrame:
     """Exact rank AUC (Mann-Whitney, ties averaged); 0.5 for a single class.
 
-    1. collapse to (group, score) -> (pos, neg) counts (partial aggregation);
+    1. collapse to (group, score) -> (pos, neg) counts (partial aggregation),
+       or take them from ``counts`` (see ``score_counts``);
     2. bucket distinct scores by approximate quantile bounds (exactness does
        not depend on the bounds, only balance does);
     3. negatives below each score = prefix over buckets (small table) +
@@ -58,17 +86,15 @@ def roc_auc(df: DataFrame, score: str, label: str, by: list[str] | None = None,
     4. AUC = sum(pos * (neg_below + neg_tied / 2)) / (P * N).
     """
     by = by or []
-    y = _c(label).cast("int")
-    c = df.groupBy(*by, F.col(score).alias("_s")).agg(
-        F.sum(F.when(y == 1, 1).otherwise(0)).cast("double").alias("_pos"),
-        F.sum(F.when(y == 1, 0).otherwise(1)).cast("double").alias("_neg"),
-    ).filter(F.col("_s").isNotNull())
+    c = counts if counts is not None else score_counts(df, score, label, by)
+    c = c.filter(F.col("_s").isNotNull())
     qs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = c.agg(F.percentile_approx("_s", qs, 10000).alias("b")).first()["b"] or []
     splits = [float("-inf")] + sorted(set(float(b) for b in bounds)) + [float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
-    c = Bucketizer(splits=splits, inputCol="_s", outputCol="_b", handleInvalid="keep").transform(c)
+    c = Bucketizer(splits=splits, inputCol="_s", outputCol="_b", handleInvalid="keep").transform(
+        c.withColumn("_s", F.col("_s").cast("double")))
     bt = c.groupBy(*by, "_b").agg(F.sum("_neg").alias("_bneg"))
     wb = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     bt = bt.withColumn("_boff", F.coalesce(F.sum("_bneg").over(wb), F.lit(0.0))).drop("_bneg")

@@ -20,6 +20,8 @@ values (labels, folds) use this helper.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,10 +31,27 @@ def hash_key(id_col: str, seed) -> F.Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"|{seed}")))
 
 
-def hash_rank(df: DataFrame, part_cols: list[str], id_col: str, seed=42, hex_digits: int = 4,
+TARGET_ROWS_PER_BUCKET = 1_000_000
+
+
+def auto_hex_digits(df: DataFrame, target: int = TARGET_ROWS_PER_BUCKET) -> int:
+    """Bucket-prefix length from the optimizer's size estimate (no job is run).
+
+    Rows are over-estimated as size / 8 bytes, so buckets err on the small
+    side: 1 digit (16 buckets) for small inputs, up to 5 digits (~1M buckets,
+    a broadcast offset table of a few tens of MB) for very large ones.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    rows = max(size // 8, 1)
+    if rows <= target:
+        return 1
+    return max(1, min(5, math.ceil(math.log(rows / target, 16))))
+
+
+def hash_rank(df: DataFrame, part_cols: list[str], id_col: str, seed=42, hex_digits: int | None = None,
               rank_col: str = "rank", size_col: str = "class_size") -> DataFrame:
     """Add ``rank`` (1-based, order by (hash, id) within ``part_cols``) and the partition size."""
-    hd = max(1, min(hex_digits, 6))
+    hd = auto_hex_digits(df) if hex_digits is None else max(1, min(hex_digits, 6))
     d = df.withColumn("_h", hash_key(id_col, seed)).withColumn("_b", F.substring("_h", 1, hd))
     counts = d.groupBy(*part_cols, "_b").agg(F.count(F.lit(1)).alias("_n"))
     wprev = Window.partitionBy(*part_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

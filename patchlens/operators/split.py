@@ -15,7 +15,7 @@ from patchlens.operators.ranked import hash_key, hash_rank
 
 
 def stratified_split(df: DataFrame, id_col: str, label: str, test_share: float = 0.2,
-                     val_share: float | None = 0.25, seed=42, hex_digits: int = 4) -> DataFrame:
+                     val_share: float | None = 0.25, seed=42, hex_digits: int | None = None) -> DataFrame:
     """Add ``split`` in {train, val, test}.
 
     test = first ceil(n_c * test_share) rows of each class; val = next
@@ -31,13 +31,13 @@ def stratified_split(df: DataFrame, id_col: str, label: str, test_share: float =
     return r.withColumn("split", split.otherwise(F.lit("train"))).drop("rank", "class_size")
 
 
-def stratified_kfold(df: DataFrame, id_col: str, label: str, k: int = 3, seed=42, hex_digits: int = 4) -> DataFrame:
+def stratified_kfold(df: DataFrame, id_col: str, label: str, k: int = 3, seed=42, hex_digits: int | None = None) -> DataFrame:
     """fold = (rank - 1) % k inside each class."""
     r = hash_rank(df, [label], id_col, seed, hex_digits)
     return r.withColumn("fold", ((F.col("rank") - 1) % k).cast("int")).drop("rank", "class_size")
 
 
-def kfold(df: DataFrame, id_col: str, k: int = 5, seed=42, hex_digits: int = 4) -> DataFrame:
+def kfold(df: DataFrame, id_col: str, k: int = 5, seed=42, hex_digits: int | None = None) -> DataFrame:
     """Unstratified folds through the same two-level rank (one dummy class)."""
     d = df.withColumn("_all", F.lit(0))
     r = hash_rank(d, ["_all"], id_col, seed, hex_digits)

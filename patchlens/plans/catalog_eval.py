@@ -226,8 +226,11 @@ FROM c JOIN a ON c.model = a.model AND c.split = a.split
 """)
 def evaluate_models(spark, sf_dir):
     lg = split_long(spark, sf_dir).filter(F.col("split").isin("val", "test"))
-    conf = _confusion_long(lg, ["model", "split"])
-    auc = MT.roc_auc(lg, "p", "actual", by=["model", "split"])
+    # one pass over the scored rows; the collapsed counts are checkpointed to the shared
+    # checkpoint folder so the confusion counts, the bucket bounds and the AUC all read it
+    counts = MT.score_counts(lg, "p", "actual", by=["model", "split"]).checkpoint(eager=True)
+    conf = MT.confusion_from_counts(counts, ["model", "split"])
+    auc = MT.roc_auc(None, "p", "actual", by=["model", "split"], counts=counts)
     return conf.join(auc, ["model", "split"]).select("model", "split", *_r6(*RATES, "auc"))
 
 

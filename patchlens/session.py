@@ -61,6 +61,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("PATCHLENS_DRIVER_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.local.dir", scratch)
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
         .config("spark.driver.extraJavaOptions", f"-Dderby.system.home={scratch}")
