@@ -122,6 +122,25 @@ def report_lines(spark, sf_dir):
     return head.unionByName(sep).unionByName(body.select(F.col("line_no").cast("int"), "line"))
 
 
+@query("label_join_bucketed", sql="""
+SELECT d.doc_id AS patch_id, d.text AS subject,
+       concat('u', e.user_id, '@', ['kernel.org','example.com','redhat.com','gmail.com','intel.com'][e.user_id % 5 + 1]) AS author_email,
+       epoch_us(e.ts) // 1000 AS send_time, CASE WHEN l.doc_id IS NOT NULL THEN 1 ELSE 0 END AS accepted
+FROM documents d LEFT JOIN events e ON d.doc_id = e.event_id LEFT JOIN labels l ON d.doc_id = l.doc_id
+WHERE d.text IS NOT NULL
+""")
+def label_join_bucketed(spark, sf_dir):
+    """The label join over a bucketed layout: documents, events and labels written once with the same
+    bucket count on their id, so both joins run without shuffling either side."""
+    from patchlens.sources.layout import bucketed_patch_tables, build_patch_layout
+    from patchlens.sources.tables import patch_view
+
+    db = f"patchlens_layout_{uuid.uuid4().hex[:8]}"
+    t = bucketed_patch_tables(spark, build_patch_layout(spark, sf_dir, db, n_buckets=8))
+    pv = patch_view(spark, sf_dir, docs=t["documents"], events=t["events"], labels=t["labels"])
+    return pv.filter(F.col("subject").isNotNull()).select("patch_id", "subject", "author_email", "send_time", "accepted")
+
+
 # ------------------------------------------------------------------ rows-only
 
 @query("scan_jdbc")

@@ -72,16 +72,17 @@ def author_email_expr(user_id: str = "user_id"):
     return F.concat(F.lit("u"), F.col(user_id).cast("string"), F.lit("@"), F.element_at(domains, idx))
 
 
-def patch_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def patch_source(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None,
+                 events: DataFrame | None = None) -> DataFrame:
     """The ``patch`` table: patch_id, subject, author_email, send_time (ms).
 
     documents ⟕ events on doc_id = event_id.  Both sides grow with the data,
     so no broadcast is forced; AQE picks broadcast at runtime only when the
     measured event side is small.
     """
-    docs = table(spark, sf_dir, "documents").select(
+    docs = (docs if docs is not None else table(spark, sf_dir, "documents")).select(
         F.col("doc_id").alias("patch_id"), F.col("text").alias("subject"))
-    ev = table(spark, sf_dir, "events").select(
+    ev = (events if events is not None else table(spark, sf_dir, "events")).select(
         F.col("event_id").alias("patch_id"),
         author_email_expr("user_id").alias("author_email"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("send_time"),
@@ -89,16 +90,21 @@ def patch_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(ev, "patch_id", "left")
 
 
-def commit_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+def commit_links(spark: SparkSession, sf_dir: str, labels: DataFrame | None = None) -> DataFrame:
     """``commit_to_patch``: one row per link (patch_id)."""
-    return table(spark, sf_dir, "labels").select(F.col("doc_id").alias("patch_id"))
+    return (labels if labels is not None else table(spark, sf_dir, "labels")).select(F.col("doc_id").alias("patch_id"))
 
 
-def patch_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled patch frame: the five columns of the label query."""
+def patch_view(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None, events: DataFrame | None = None,
+               labels: DataFrame | None = None) -> DataFrame:
+    """Labelled patch frame: the five columns of the label query.
+
+    ``docs``/``events``/``labels`` may be given as (e.g. bucketed) tables;
+    by default the parquet files under ``sf_dir`` are read.
+    """
     from patchlens.operators.labels import attach_label
 
-    return attach_label(patch_source(spark, sf_dir), commit_links(spark, sf_dir), "patch_id")
+    return attach_label(patch_source(spark, sf_dir, docs, events), commit_links(spark, sf_dir, labels), "patch_id")
 
 
 # SQL text of the same view, for DuckDB oracle queries.

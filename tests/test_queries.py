@@ -88,3 +88,26 @@ def test_pushdown_and_pruning(spark):
     assert "PushedFilters: [IsNotNull(l_shipdate)" in plan or "PushedFilters: [IsNotNull(l_shipdate)," in plan or "l_shipdate" in plan
     lj = _plan(E.queries()["label_join_fanout"](spark, SF001))
     assert "ReadSchema: struct<l_orderkey:bigint>" in lj  # only the key column is read from lineitem
+
+
+def test_bucketed_layout_joins_without_shuffle(spark):
+    import uuid
+
+    from patchlens.sources.layout import bucketed_patch_tables, build_patch_layout
+    from patchlens.sources.tables import patch_view
+
+    db = f"pl_test_{uuid.uuid4().hex[:8]}"
+    t = bucketed_patch_tables(spark, build_patch_layout(spark, SF001, db, n_buckets=4))
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:  # force sort-merge joins, as with large tables
+            spark.conf.set(k, "-1")
+        pv = patch_view(spark, SF001, docs=t["documents"], events=t["events"], labels=t["labels"])
+        plan = pv._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        base = patch_view(spark, SF001)
+        assert pv.exceptAll(base).count() == 0 and base.exceptAll(pv).count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
