@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,5 +78,12 @@ def detect_text_column(df: DataFrame, candidates: list[str], order_by: str, samp
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn(
+    out = out.withColumn(
         "qualifies", ((F.col("mean_len") > min_mean_len) & (F.col("unique_ratio") > min_unique_ratio)).cast("int"))
+    # chosen: first qualifying candidate, else the frame's first string column
+    # (window over the per-candidate table: one row per candidate)
+    first_string = next((f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)), None)
+    w = Window.partitionBy()
+    first_ok = F.min(F.when(F.col("qualifies") == 1, F.col("position"))).over(w)
+    return out.withColumn("chosen", F.when(first_ok.isNotNull(), F.col("position") == first_ok)
+                          .otherwise(F.col("candidate") == F.lit(first_string)).cast("int"))

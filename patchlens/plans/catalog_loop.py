@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from patchlens import config
 from patchlens.functions.rowstats import safe_param
 from patchlens.operators import tuning as TU
-from patchlens.plans.catalog_eval import RATES, SCORES_SQL, _confusion_long, event_scores
+from patchlens.plans.catalog_eval import SCORES_SQL, _confusion_long, event_scores
 from patchlens.plans.registry import query
 from patchlens.sources.tables import table
 

@@ -16,7 +16,7 @@ from patchlens.operators import features as FE
 from patchlens.operators import labels as L
 from patchlens.operators import matrix as M
 from patchlens.plans.registry import query
-from patchlens.sources.tables import PATCH_VIEW_SQL, commit_links, patch_source, patch_view, table
+from patchlens.sources.tables import PATCH_VIEW_SQL, patch_view, table
 
 PV = PATCH_VIEW_SQL
 KW = "|".join(config.SCHEDULING_KEYWORDS)
@@ -283,16 +283,19 @@ WITH h AS (
   SELECT 1, 'source', v FROM (SELECT source AS v FROM documents WHERE source IS NOT NULL ORDER BY doc_id LIMIT 10)
   UNION ALL
   SELECT 2, 'text', v FROM (SELECT text AS v FROM documents WHERE text IS NOT NULL ORDER BY doc_id LIMIT 10))
-SELECT position, candidate, round(avg(length(v)), 6) AS mean_len,
-       round(count(DISTINCT v) / count(v), 6) AS unique_ratio,
-       CAST(avg(length(v)) > 20 AND count(DISTINCT v) / count(v) > 0.7 AS INTEGER) AS qualifies
-FROM h GROUP BY position, candidate
+, st AS (SELECT position, candidate, round(avg(length(v)), 6) AS mean_len,
+                 round(count(DISTINCT v) / count(v), 6) AS unique_ratio,
+                 CAST(avg(length(v)) > 20 AND count(DISTINCT v) / count(v) > 0.7 AS INTEGER) AS qualifies
+          FROM h GROUP BY position, candidate)
+SELECT position, candidate, mean_len, unique_ratio, qualifies,
+       CAST(coalesce(position = (SELECT min(position) FROM st WHERE qualifies = 1), candidate = 'text') AS INTEGER) AS chosen
+FROM st
 """)
 def detect_text_column(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     out = M.detect_text_column(d, ["subject", "lang", "source", "text"], order_by="doc_id")
     return out.select("position", "candidate", F.round("mean_len", 6).alias("mean_len"),
-                      F.round("unique_ratio", 6).alias("unique_ratio"), "qualifies")
+                      F.round("unique_ratio", 6).alias("unique_ratio"), "qualifies", "chosen")
 
 
 # ----------------------------------------------------------- reports (D)
