@@ -166,6 +166,15 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def parallel_fits(fn, items, parallelism: int = 4) -> list:
+    """Run independent fits concurrently, as ``CrossValidator(parallelism=...)`` does:
+    a few driver threads each submit their own Spark jobs; executors do the work."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return list(pool.map(fn, items))
+
+
 def grid(builder_pairs) -> list:
     b = ParamGridBuilder()
     for param, values in builder_pairs:

@@ -238,12 +238,14 @@ def meta_cv(spark, sf_dir):
     """5-fold CV of the traditional and the attention evaluator; mean and pop std of MSE."""
     d, cols = meta_frame(spark, sf_dir)
     d = SP.kfold(d, "event_id", k=5).cache()
-    rows = []
-    for fold in range(5):
+
+    def run(task):
+        fold, attention = task
         tr, te = d.filter(F.col("fold") != fold), d.filter(F.col("fold") == fold)
-        for attention in (False, True):
-            _, mse, _ = _fit_eval(tr, te, cols, attention, only="random_forest")
-            rows.append(("attention" if attention else "traditional", fold, float(mse)))
+        _, mse, _ = _fit_eval(tr, te, cols, attention, only="random_forest")
+        return ("attention" if attention else "traditional", fold, float(mse))
+
+    rows = MD.parallel_fits(run, [(f, a) for f in range(5) for a in (False, True)], parallelism=4)
     per = spark.createDataFrame(rows, "evaluator string, fold int, mse double")
     return per.groupBy("evaluator").agg(F.avg("mse").alias("mean_mse"), F.stddev_pop("mse").alias("std_mse"),
                                         F.count(F.lit(1)).alias("n_folds"))
