@@ -44,9 +44,27 @@ def regexp_min_length(df: DataFrame, col: str, pattern: str = config.GENERATOR_S
     return df.filter(c.isNotNull() & rlike_ci(c, pattern) & (F.octet_length(c) > min_bytes))
 
 
-def limit_rows(df: DataFrame, n: int, order_by: str) -> DataFrame:
-    """LIMIT n made repeatable by a total order (planned as TakeOrderedAndProject)."""
-    return df.orderBy(F.col(order_by)).limit(n)
+def limit_rows(df: DataFrame, n: int, order_by: str, oversample: float = 1.25) -> DataFrame:
+    """LIMIT n made repeatable by a total order on ``order_by``.
+
+    The first n rows all lie at or below the column's quantile ``q`` once at
+    least n rows do, so rows are cut at an approximate quantile sized for
+    about ``oversample * n`` survivors (widened until n survive) and the
+    ordered top-n is taken among them: the final merge sees ~n rows rather
+    than n from every input partition.
+    """
+    c = F.col(order_by)
+    total = df.select(order_by).count()
+    kept = df
+    if total > n:
+        q = min(1.0, oversample * n / total)
+        while True:
+            cut = df.agg(F.percentile_approx(c, q, 10000).alias("cut")).first()["cut"]
+            kept = df.filter(c <= F.lit(cut)) if cut is not None else df
+            if q >= 1.0 or cut is None or kept.select(order_by).count() >= n:
+                break
+            q = min(1.0, q * 2)
+    return kept.orderBy(c).limit(n)
 
 
 def add_constant(df: DataFrame, name: str, value) -> DataFrame:

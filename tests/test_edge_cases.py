@@ -190,3 +190,16 @@ def test_hash_rank_matches_window(spark):
     w = Window.partitionBy("y").orderBy(hash_key("id", 7), "id")
     b = df.select("id", F.row_number().over(w).cast("bigint").alias("rank"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_sample_cap_and_limit_rows_exact(spark):
+    from patchlens.operators import split as SP
+
+    df = spark.range(20000).select(F.col("id").alias("k"), (F.col("id") * 7 % 20000).alias("o"))
+    for n in (1, 500, 19999, 20000, 25000):
+        a = SP.sample_cap(df, "k", n, seed=9)
+        b = df.withColumn("_h", F.md5(F.concat(F.col("k").cast("string"), F.lit("|9")))).orderBy("_h", "k").limit(n).drop("_h")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+        c = L.limit_rows(df, n, "o")
+        d = df.orderBy("o").limit(n)
+        assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
