@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from patchlens.operators.labels import top_n
+
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 DEFAULT_EXCLUDE = ("accepted", "patchwork_id", "patch_id", "send_time")
@@ -64,12 +66,13 @@ def detect_text_column(df: DataFrame, candidates: list[str], order_by: str, samp
     """Per candidate: mean length and unique ratio of its first ``sample``
     non-null values (by ``order_by``), and whether it qualifies.
 
-    Each candidate is a TakeOrderedAndProject (top-k per task, then merged),
-    so no full sort of the table is needed.
+    Each candidate's head is an exact top-k behind a quantile cut
+    (``labels.top_n``), so neither a full sort nor a one-task merge of k rows
+    per input partition is needed.
     """
     parts = []
     for i, c in enumerate([c for c in candidates if c in df.columns]):
-        head = df.filter(F.col(c).isNotNull()).select(order_by, F.col(c).cast("string").alias("v")).orderBy(order_by).limit(sample)
+        head = top_n(df.filter(F.col(c).isNotNull()).select(order_by, F.col(c).cast("string").alias("v")), sample, order_by)
         s = head.agg(
             F.avg(F.length("v")).alias("mean_len"),
             (F.count_distinct("v") / F.count("v")).alias("unique_ratio"),

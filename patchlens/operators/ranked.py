@@ -35,14 +35,15 @@ TARGET_ROWS_PER_BUCKET = 1_000_000
 
 
 def auto_hex_digits(df: DataFrame, target: int = TARGET_ROWS_PER_BUCKET) -> int:
-    """Bucket-prefix length from the optimizer's size estimate (no job is run).
+    """Bucket-prefix length from the plan's input size (no job is run).
 
-    Rows are over-estimated as size / 8 bytes, so buckets err on the small
+    Rows are over-estimated as input bytes / 8, so buckets err on the small
     side: 1 digit (16 buckets) for small inputs, up to 5 digits (~1M buckets,
     a broadcast offset table of a few tens of MB) for very large ones.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    rows = max(size // 8, 1)
+    from patchlens.operators.labels import plan_input_bytes
+
+    rows = max(plan_input_bytes(df) // 8, 1)
     if rows <= target:
         return 1
     return max(1, min(5, math.ceil(math.log(rows / target, 16))))

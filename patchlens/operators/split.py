@@ -47,7 +47,8 @@ def kfold(df: DataFrame, id_col: str, k: int = 5, seed=42, hex_digits: int | Non
 PREFIX_HEX = 12  # 16**12 < 2**63
 
 
-def sample_cap(df: DataFrame, id_col: str, n: int, seed=42, oversample: float = 1.25) -> DataFrame:
+def sample_cap(df: DataFrame, id_col: str, n: int, seed=42, oversample: float = 1.25,
+               max_merge_rows: int | None = None) -> DataFrame:
     """At most ``n`` rows without replacement: the n smallest md5(id|seed).
 
     A plain ``orderBy(h).limit(n)`` merges n rows from every input partition
@@ -56,9 +57,14 @@ def sample_cap(df: DataFrame, id_col: str, n: int, seed=42, oversample: float =
     ``oversample * n`` survivors (hashes are uniform), doubling the cut until
     at least n rows survive; the top-n is then taken among the survivors
     only.  Exact: every row outside the cut hashes above every row inside.
-    Costs: one count of the id column per attempt.
+    Costs: one count of the id column per attempt.  When the plain merge is
+    small (partitions x n <= ``max_merge_rows``), the plain form is used.
     """
+    from patchlens.operators.labels import MAX_MERGE_ROWS, merge_is_small
+
     h = hash_key(id_col, seed)
+    if merge_is_small(df, n, MAX_MERGE_ROWS if max_merge_rows is None else max_merge_rows):
+        return df.withColumn("_h", h).orderBy("_h", id_col).limit(n).drop("_h")
     d = df.withColumn("_h", h).withColumn(
         "_p", F.conv(F.substring("_h", 1, PREFIX_HEX), 16, 10).cast("bigint"))
     total = df.select(id_col).count()

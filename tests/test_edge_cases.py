@@ -197,9 +197,17 @@ def test_sample_cap_and_limit_rows_exact(spark):
 
     df = spark.range(20000).select(F.col("id").alias("k"), (F.col("id") * 7 % 20000).alias("o"))
     for n in (1, 500, 19999, 20000, 25000):
-        a = SP.sample_cap(df, "k", n, seed=9)
+        a = SP.sample_cap(df, "k", n, seed=9, max_merge_rows=0)  # force the cut path
         b = df.withColumn("_h", F.md5(F.concat(F.col("k").cast("string"), F.lit("|9")))).orderBy("_h", "k").limit(n).drop("_h")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-        c = L.limit_rows(df, n, "o")
+        c = L.limit_rows(df, n, "o", max_merge_rows=0)
         d = df.orderBy("o").limit(n)
         assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
+
+
+def test_top_n_descending_with_ties(spark):
+    df = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 37).alias("t"))
+    for n in (1, 37, 300, 5000):
+        a = L.top_n(df, n, "t", descending=True, tiebreak=["k"], max_merge_rows=0)
+        b = df.orderBy(F.desc("t"), "k").limit(n)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
