@@ -51,7 +51,7 @@ def boosted_trees(label: str = "label", iters: int = 10, depth: int = 3, step: f
     return g
 
 
-def numeric_pipeline(cols: list[str], estimator, scale: bool = False) -> Pipeline:
+def numeric_estimator(cols: list[str], estimator, scale: bool = False) -> Pipeline:
     stages = [assembler(cols, "raw_features" if scale else "features")]
     if scale:
         stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True))
@@ -86,7 +86,7 @@ def text_model_stages(label: str = "label", kind: str = "logistic", vocab_size:
             IDF(inputCol="_tf", outputCol="features"), clf]
 
 
-def text_pipeline(text: str, label: str = "label", kind: str = "logistic", vocab_size: int = 10000,
+def text_estimator(text: str, label: str = "label", kind: str = "logistic", vocab_size: int = 10000,
                   bigrams: bool = True) -> Pipeline:
     """Tokenisation + counts + IDF + classifier as one pipeline."""
     return Pipeline(stages=text_stages(text, bigrams) + text_model_stages(label, kind, vocab_size))

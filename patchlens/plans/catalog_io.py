@@ -228,7 +228,7 @@ def model_roundtrip(spark, sf_dir):
     from patchlens.plans.catalog_models import _matrix
 
     m, cols = _matrix(spark, sf_dir)
-    model = MD.numeric_pipeline(cols, MD.random_forest(trees=10, depth=4)).fit(m.filter("split = 'train'"))
+    model = MD.numeric_estimator(cols, MD.random_forest(trees=10, depth=4)).fit(m.filter("split = 'train'"))
     path = scratch(spark, "model")
     MD.save_model(model, path)
     loaded = MD.load_model(path)

@@ -48,14 +48,14 @@ def _score(model, df):
 @query("train_rf")
 def train_rf(spark, sf_dir):
     m, cols = _matrix(spark, sf_dir)
-    model = MD.numeric_pipeline(cols, MD.random_forest(weight="weight", trees=20, depth=5)).fit(m.filter("split = 'train'"))
+    model = MD.numeric_estimator(cols, MD.random_forest(weight="weight", trees=20, depth=5)).fit(m.filter("split = 'train'"))
     return _score(model, m.filter("split <> 'train'"))
 
 
 @query("train_gbt")
 def train_gbt(spark, sf_dir):
     m, cols = _matrix(spark, sf_dir)
-    model = MD.numeric_pipeline(cols, MD.boosted_trees(iters=10, depth=3)).fit(m.filter("split = 'train'"))
+    model = MD.numeric_estimator(cols, MD.boosted_trees(iters=10, depth=3)).fit(m.filter("split = 'train'"))
     return _score(model, m.filter("split <> 'train'"))
 
 
@@ -63,7 +63,7 @@ def train_gbt(spark, sf_dir):
 def train_text(spark, sf_dir):
     pv = L.not_null(patch_view(spark, sf_dir), "subject").withColumn("label", F.col("accepted").cast("double"))
     d = SP.stratified_split(pv, "patch_id", "accepted", Decimal("0.2"), Decimal("0.25")).cache()
-    model = MD.text_pipeline("subject", kind="logistic", vocab_size=5000).fit(d.filter("split = 'train'"))
+    model = MD.text_estimator("subject", kind="logistic", vocab_size=5000).fit(d.filter("split = 'train'"))
     return _score(model, d.filter("split <> 'train'"))
 
 
@@ -73,7 +73,7 @@ def random_search(spark, sf_dir):
     m, cols = _matrix(spark, sf_dir)
     train = SP.stratified_kfold(m.filter("split = 'train'"), "patch_id", "accepted", k=3)
     rf = MD.random_forest(weight="weight", trees=10, depth=3)
-    pipe = MD.numeric_pipeline(cols, rf)
+    pipe = MD.numeric_estimator(cols, rf)
     grid = MD.grid([(rf.numTrees, [10, 20]), (rf.maxDepth, [3, 5, 8])])
     cv = MD.random_search(train, pipe, grid, "fold", n_iter=4)
     rows = [(i, str({p.name: v for p, v in pm.items()}), float(f1))
@@ -175,8 +175,8 @@ def feature_importance(spark, sf_dir):
     """Importances of a forest and a boosted model, averaged per feature (D11 on fitted models)."""
     m, cols = _matrix(spark, sf_dir)
     tr = m.filter("split = 'train'")
-    rf = MD.numeric_pipeline(cols, MD.random_forest(trees=20, depth=5)).fit(tr).stages[-1]
-    gb = MD.numeric_pipeline(cols, MD.boosted_trees(iters=10, depth=3)).fit(tr).stages[-1]
+    rf = MD.numeric_estimator(cols, MD.random_forest(trees=20, depth=5)).fit(tr).stages[-1]
+    gb = MD.numeric_estimator(cols, MD.boosted_trees(iters=10, depth=3)).fit(tr).stages[-1]
     imp = MD.importances(rf, cols, "rf", spark).unionByName(MD.importances(gb, cols, "gbt", spark))
     return imp.groupBy("feature").agg(F.avg("importance").alias("mean_importance")).orderBy(F.desc("mean_importance"), "feature")
 
@@ -312,7 +312,7 @@ def tuning_loop(spark, sf_dir):
     ev = MD.f1_evaluator()
     params, rows, current = _loop_params(), [], {}
     for kind, p in params.items():
-        f1 = ev.evaluate(MD.numeric_pipeline(cols, _estimator(kind, p)).fit(train).transform(val))
+        f1 = ev.evaluate(MD.numeric_estimator(cols, _estimator(kind, p)).fit(train).transform(val))
         rows.append((kind, 0, "baseline", float(f1)))
         current[kind] = float(f1)
     for it in range(1, 4):
@@ -321,7 +321,7 @@ def tuning_loop(spark, sf_dir):
             q = _move(kind, p, strategy)
             if q is None:
                 continue
-            f1 = ev.evaluate(MD.numeric_pipeline(cols, _estimator(kind, q)).fit(train).transform(val))
+            f1 = ev.evaluate(MD.numeric_estimator(cols, _estimator(kind, q)).fit(train).transform(val))
             rows.append((kind, it, strategy, float(f1)))
             if f1 - current[kind] > config.ACCEPT_MIN_GAIN:  # same rule as the history fold below
                 params[kind], current[kind] = q, float(f1)

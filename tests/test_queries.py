@@ -111,3 +111,14 @@ def test_bucketed_layout_joins_without_shuffle(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_no_cartesian_or_python_nodes_in_any_value_query(spark):
+    """Plan guard over every value-checked query: no cross/nested-loop joins, no Python UDF nodes."""
+    bad = []
+    for name in sorted(E.oracle_sql()):
+        plan = _plan(E.queries()[name](spark, SF001))
+        for pat in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+            if pat in plan:
+                bad.append((name, pat))
+    assert bad == []
