@@ -31,7 +31,9 @@ AUTHOR_DOMAINS = ["kernel.org", "example.com", "redhat.com", "gmail.com", "intel
 
 # id column per table: hash key used when a scan must be spread (see ``spread``)
 TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "lineitem": "l_orderkey",
-              "embeddings": "vec_id"}
+              "embeddings": "vec_id", "events": "event_id", "labels": "doc_id", "orders": "o_orderkey",
+              "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "benchmark": "item_id",
+              "nation": "n_nationkey", "region": "r_regionkey"}
 SPREAD_MIN_BYTES = 4 * 1024 * 1024
 
 
