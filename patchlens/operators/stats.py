@@ -88,18 +88,23 @@ def variance_weights(df: DataFrame, cols: list[str]) -> DataFrame:
     return _normalise(long, "variance")
 
 
-def correlation_weights(df: DataFrame, cols: list[str], y: str) -> DataFrame:
-    """|Pearson r| per column (constant column -> 0) / (sum + 1e-8).
-
-    ``covar_pop / (stddev_pop * stddev_pop)`` with ``try_divide``: Spark's
-    ``corr`` raises DIVIDE_BY_ZERO on a constant column under ANSI mode.
-    """
+def _corr_agg(df: DataFrame, cols: list[str], y: str) -> DataFrame:
+    """One aggregation: std of y, and covariance with y and std of every column."""
     yy = F.col(y).cast("double")
     aggs = [F.stddev_pop(yy).alias("sy")]
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.covar_pop(x, yy).alias(f"cv{i}"), F.stddev_pop(x).alias(f"sx{i}")]
-    agg = df.agg(*aggs)
+    return df.agg(*aggs)
+
+
+def correlation_weights(df: DataFrame, cols: list[str], y: str, moments: DataFrame | None = None) -> DataFrame:
+    """|Pearson r| per column (constant column -> 0) / (sum + 1e-8).
+
+    ``covar_pop / (stddev_pop * stddev_pop)`` with ``try_divide``: Spark's
+    ``corr`` raises DIVIDE_BY_ZERO on a constant column under ANSI mode.
+    """
+    agg = moments if moments is not None else _corr_agg(df, cols, y)
     long = _stack(agg, cols, {"corr": "abs(try_divide(cv{i}, sx{i} * sy))"})
     long = long.withColumn("corr", F.coalesce(F.col("corr"), F.lit(0.0)))
     return _normalise(long, "corr")
@@ -228,12 +233,12 @@ def attention_weights(df: DataFrame, cols: list[str], y: str, standardized: bool
     constant one; correlation and quartile bins are invariant to it.
     """
     a, b, c = config.ATTENTION_MIX
+    moments = _corr_agg(df, cols, y)  # one pass feeds both the variance and the correlation part
     if standardized:
-        agg = df.agg(*[F.var_pop(F.col(x).cast("double")).alias(f"v{i}") for i, x in enumerate(cols)])
-        v = _normalise(_stack(agg, cols, {"variance": "CASE WHEN v{i} > 0 THEN 1.0D ELSE 0.0D END"}), "variance")
+        v = _normalise(_stack(moments, cols, {"variance": "CASE WHEN sx{i} > 0 THEN 1.0D ELSE 0.0D END"}), "variance")
     else:
         v = variance_weights(df, cols)
-    r = correlation_weights(df, cols, y)
+    r = correlation_weights(df, cols, y, moments=moments)
     m = mutual_information_weights(df, cols, y)
     j = (v.select("position", "feature", F.col("weight").alias("wv"))
          .join(r.select("position", F.col("weight").alias("wc")), "position")
