@@ -53,7 +53,8 @@ _L = "lower(text)"
 SELECT doc_id, CASE WHEN contains({_L}, 'random') OR contains({_L}, 'forest') OR contains({_L}, 'rf') THEN 'random_forest'
                     WHEN contains({_L}, 'xgb') OR contains({_L}, 'xgboost') THEN 'xgboost'
                     WHEN contains({_L}, 'lgb') OR contains({_L}, 'lightgbm') OR contains({_L}, 'light') THEN 'lightgbm'
-                    ELSE 'unknown' END AS model_kind
+                    ELSE 'unknown' END AS model_kind,
+       split_part(replace(lower(source), '_kernel_model', ''), '_', 1) AS short_name
 FROM documents
 """)
 def classify_names(spark, sf_dir):
@@ -68,7 +69,9 @@ def classify_names(spark, sf_dir):
 
     kind = (F.when(any_of("random", "forest", "rf"), "random_forest").when(any_of("xgb", "xgboost"), "xgboost")
             .when(any_of("lgb", "lightgbm", "light"), "lightgbm").otherwise("unknown"))
-    return table(spark, sf_dir, "documents").select("doc_id", kind.alias("model_kind"))
+    # short model name: strip the '_kernel_model' suffix, keep the part before the first '_'
+    short = F.split(F.replace(F.lower(F.col("source")), F.lit("_kernel_model"), F.lit("")), "_", -1)[0]
+    return table(spark, sf_dir, "documents").select("doc_id", kind.alias("model_kind"), short.alias("short_name"))
 
 
 _ORDER_SQL = "[" + ", ".join(f"'{n}'" for n in IMPORT_ORDER) + "]"
