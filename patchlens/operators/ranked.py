@@ -43,7 +43,11 @@ def auto_hex_digits(df: DataFrame, target: int = TARGET_ROWS_PER_BUCKET) -> int:
     """
     from patchlens.operators.labels import plan_input_bytes
 
-    rows = max(plan_input_bytes(df) // 8, 1)
+    return hex_digits_for_rows(max(plan_input_bytes(df) // 8, 1), target)
+
+
+def hex_digits_for_rows(rows: int, target: int = TARGET_ROWS_PER_BUCKET) -> int:
+    """Smallest prefix length giving about ``target`` rows per bucket, within 1..5."""
     if rows <= target:
         return 1
     return max(1, min(5, math.ceil(math.log(rows / target, 16))))

@@ -211,3 +211,21 @@ def test_top_n_descending_with_ties(spark):
         a = L.top_n(df, n, "t", descending=True, tiebreak=["k"], max_merge_rows=0)
         b = df.orderBy(F.desc("t"), "k").limit(n)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_bucket_digits_scale_with_rows():
+    from patchlens.operators.ranked import hex_digits_for_rows
+
+    assert hex_digits_for_rows(10_000) == 1
+    assert hex_digits_for_rows(500_000_000) == 3        # ~122k rows per bucket
+    assert hex_digits_for_rows(10**12) == 5             # ~1M rows per bucket at 10^12 rows
+    assert hex_digits_for_rows(10**15) == 5             # capped: offset table stays broadcastable
+
+
+def test_spread_is_noop_when_well_split(spark):
+    from patchlens.sources.tables import spread
+
+    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert spread(many, "id") is many
+    small = spark.range(0, 10, numPartitions=1)
+    assert spread(small, "id") is small  # under the size floor: not worth a shuffle
