@@ -83,7 +83,7 @@ def tfidf(spark, sf_dir):
     """Per document: non-zero terms, largest and summed TF-IDF weight, top term."""
     tf = _tf(spark, sf_dir)
     v, n = _vocab(spark, sf_dir, tf)
-    w = TV.tfidf(tf, v, "doc_id", n)
+    w = TV.tfidf(tf, v, "doc_id", n, max_features=MAX_FEATURES)
     return w.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_terms"), F.round(F.max("weight"), 6).alias("max_weight"),
         F.round(F.sum("weight"), 6).alias("sum_weight"),
