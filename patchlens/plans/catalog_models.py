@@ -56,6 +56,21 @@ def train_rf(spark, sf_dir):
 GBT_CONFIGS = {"shallow": dict(iters=10, depth=3, step=0.1), "deep": dict(iters=10, depth=6, step=0.05)}
 
 
+@query("train_rf_volume")
+def train_rf_volume(spark, sf_dir):
+    """Forest on the largest table: lineitem numerics -> returned flag, stratified 60/20/20, test scores."""
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    li = table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line_id"),
+        *[F.col(c).cast("double").alias(c) for c in cols],
+        (F.col("l_returnflag") == "R").cast("int").alias("returned"))
+    d = SP.stratified_split(li, "line_id", "returned", Decimal("0.2"), Decimal("0.25"))
+    d = MT.weight_column(d.withColumn("label", F.col("returned").cast("double")), "returned").cache()
+    model = MD.numeric_estimator(cols, MD.random_forest(weight="weight", trees=20, depth=5)).fit(d.filter("split = 'train'"))
+    p = MD.positive_probability(model.transform(d.filter("split = 'test'")))
+    return p.select("line_id", "returned", "prediction", "p")
+
+
 @query("train_gbt")
 def train_gbt(spark, sf_dir):
     m, cols = _matrix(spark, sf_dir)
