@@ -92,13 +92,15 @@ def train_text(spark, sf_dir):
 
 @query("random_search")
 def random_search(spark, sf_dir):
-    """Seeded subset of a forest grid, 3-fold stratified CV on the training split."""
+    """10 of 12 grid points (trees x depth incl. unlimited x balanced-or-unweighted), 3-fold stratified
+    CV on the training split, scored by F1 of the positive class.  Tree counts are scaled down
+    (10/20 for 100/200) so the check stays fast; depth 30 is MLlib's maximum ("unlimited")."""
     m, cols = _matrix(spark, sf_dir)
-    train = SP.stratified_kfold(m.filter("split = 'train'"), "patch_id", "accepted", k=3)
-    rf = MD.random_forest(weight="weight", trees=10, depth=3)
+    train = SP.stratified_kfold(m.filter("split = 'train'"), "patch_id", "accepted", k=3).cache()
+    rf = MD.random_forest(weight="weight", trees=10, depth=5)
     pipe = MD.numeric_estimator(cols, rf)
-    grid = MD.grid([(rf.numTrees, [10, 20]), (rf.maxDepth, [3, 5, 8])])
-    cv = MD.random_search(train, pipe, grid, "fold", n_iter=4)
+    grid = MD.grid([(rf.numTrees, [10, 20]), (rf.maxDepth, [10, 20, 30]), (rf.weightCol, ["weight", ""])])
+    cv = MD.random_search(train, pipe, grid, "fold", n_iter=10, parallelism=4)
     rows = [(i, str({p.name: v for p, v in pm.items()}), float(f1))
             for i, (pm, f1) in enumerate(zip(cv.getEstimatorParamMaps(), cv.avgMetrics))]
     return spark.createDataFrame(rows, "candidate int, params string, mean_f1 double")
@@ -106,7 +108,7 @@ def random_search(spark, sf_dir):
 
 @query("grid_search_text")
 def grid_search_text(spark, sf_dir):
-    """2 x 2 TF-IDF grid (vocabulary size x bigrams), scored by F1 on validation."""
+    """2 x 2 TF-IDF grid (vocabulary 5000 / 10000 x unigrams / +bigrams), scored by F1 on validation."""
     pv = L.not_null(patch_view(spark, sf_dir), "subject").withColumn("label", F.col("accepted").cast("double"))
     d = SP.stratified_split(pv, "patch_id", "accepted", Decimal("0.2"), Decimal("0.25"))
     rows = []
@@ -114,7 +116,7 @@ def grid_search_text(spark, sf_dir):
         # tokenise once per n-gram setting, cache the term arrays, then fit the grid points
         toks = Pipeline(stages=MD.text_stages("subject", bigrams)).fit(d).transform(d)
         toks = toks.select("patch_id", "split", "label", "_terms").cache()
-        for vocab in (1000, 5000):
+        for vocab in (5000, 10000):
             model = Pipeline(stages=MD.text_model_stages(vocab_size=vocab, max_iter=20)).fit(toks.filter("split = 'train'"))
             f1 = MD.f1_evaluator().evaluate(model.transform(toks.filter("split = 'val'")))
             rows.append((vocab, bigrams, float(f1)))
