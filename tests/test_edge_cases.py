@@ -229,3 +229,51 @@ def test_spread_is_noop_when_well_split(spark):
     assert spread(many, "id") is many
     small = spark.range(0, 10, numPartitions=1)
     assert spread(small, "id") is small  # under the size floor: not worth a shuffle
+
+
+def test_stop_rule_target_and_time(spark):
+    h = spark.createDataFrame([("a", 0, 0.40), ("a", 1, 0.50), ("a", 2, 0.56), ("a", 3, 0.60),
+                               ("b", 0, 0.30), ("b", 1, 0.31), ("b", 2, 0.32), ("b", 3, 0.33)],
+                              "model string, iteration int, new_f1 double")
+    r = TU.first_stop_iteration(TU.accept_moves(h)).first()
+    assert (r["stop_iteration"], r["reason"]) == (2, "target")
+    low = h.withColumn("new_f1", F.col("new_f1") / 2)
+    r2 = TU.first_stop_iteration(TU.accept_moves(low)).first()
+    assert (r2["stop_iteration"], r2["reason"]) == (3, "time")
+    rep = {x["model"]: x for x in TU.loop_report(TU.accept_moves(h)).collect()}
+    assert rep["a"]["baseline_f1"] == 0.40 and rep["a"]["final_f1"] == 0.60 and rep["a"]["improvement_count"] == 3
+    assert rep["a"]["attempts"] == 3 and rep["a"]["success_rate"] == 1.0
+
+
+def test_parameter_moves_special_cases(spark):
+    p = spark.createDataFrame(
+        [(1, "lightgbm", "200", "-1", "2", 0.2, 1.0, 0.0, None, "40"),
+         (2, "random_forest", "100", "None", "4", None, 1.0, 0.0, None, "31"),
+         (3, "xgboost", "30", "9", "2", 0.28, 0.95, 0.5, None, "31")],
+        "param_id int, model string, n_estimators string, max_depth string, min_samples_split string, "
+        "learning_rate double, subsample double, reg_alpha double, reg_lambda double, num_leaves string")
+    w = {r["param_id"]: r for r in TU.weaken(p).collect()}
+    assert w[1]["max_depth"] == -1 and w[1]["num_leaves"] == 15 and w[1]["n_estimators"] == 66
+    assert w[2]["max_depth"] == 5 and w[2]["min_samples_split"] == 10 and w[2]["n_estimators"] == 50
+    assert w[3]["subsample"] == 0.7 and w[3]["learning_rate"] == 0.05 and w[3]["n_estimators"] == 50
+    m = {(r["param_id"], r["strategy"]): r for r in TU.apply_moves(p, 19).collect()}
+    assert m[(1, "adjust_depth")]["max_depth"] == 7          # unlimited (-1) counts as 6
+    assert m[(2, "adjust_depth")]["max_depth"] == 11         # unset forest depth counts as 10
+    assert m[(3, "adjust_depth")]["max_depth"] == 10
+    assert m[(2, "tune_learning_rate")]["applicable"] == 0   # no rate for a forest
+    assert abs(m[(3, "tune_learning_rate")]["learning_rate"] - 0.3) < 1e-12  # 0.28 * 1.2 capped at 0.3
+    assert m[(1, "add_estimators")]["n_estimators"] == 225
+    assert m[(3, "regularization_tuning")]["reg_lambda"] == 0.9   # unset xgboost lambda defaults to 1
+    assert m[(1, "regularization_tuning")]["reg_lambda"] == 0.0   # lightgbm default 0, floor 0
+    assert m[(2, "regularization_tuning")]["min_samples_split"] == 3
+    assert m[(2, "ensemble_weights")]["subsample"] == 0.9
+    assert m[(1, "feature_selection")]["select_k"] == 19
+
+
+def test_generation_error_row(spark):
+    from patchlens.operators import generate as G
+
+    df = spark.createDataFrame([(1, None), (2, "Spinlock contention in interrupt handling path")], "prompt_id int, prompt string")
+    g = {r["prompt_id"]: r for r in G.generate(G.generation_features(df)).collect()}
+    assert g[1]["code"].startswith("/* Error generating code") and g[1]["confidence"] == 0.0
+    assert g[2]["subsystem"] == "locking" and "spin_lock" in g[2]["code"]
