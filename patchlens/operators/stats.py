@@ -196,7 +196,13 @@ def _bin_expr(c: str, edges: list[float]):
     return e
 
 
-def mutual_information_weights(df: DataFrame, cols: list[str], y: str, edges=None) -> DataFrame:
+def approx_quantiles(df: DataFrame, cols: list[str], qs: list[float], accuracy: int = 10000) -> dict[str, list[float]]:
+    """Quantiles of every column from one ``percentile_approx`` aggregation (bounded memory)."""
+    r = df.agg(*[F.percentile_approx(F.col(c).cast("double"), qs, accuracy).alias(f"q{i}") for i, c in enumerate(cols)]).first()
+    return {c: list(r[f"q{i}"]) for i, c in enumerate(cols)}
+
+
+def mutual_information_weights(df: DataFrame, cols: list[str], y: str, edges=None, exact: bool = True) -> DataFrame:
     """Quartile-binned mutual information per column, normalised.
 
     Bins: number of quartile edges <= value, for each column and for y.
@@ -204,7 +210,7 @@ def mutual_information_weights(df: DataFrame, cols: list[str], y: str, edges=Non
     MI = sum p * ln(p / (px * py + 1e-8)).
     """
     qs = [0.25, 0.5, 0.75]
-    edges = edges or exact_quantiles(df, cols + [y], qs)
+    edges = edges or (exact_quantiles(df, cols + [y], qs) if exact else approx_quantiles(df, cols + [y], qs))
     binned = df.select(*[_bin_expr(c, edges[c]).alias(f"b{i}") for i, c in enumerate(cols)],
                        _bin_expr(y, edges[y]).alias("yb"))
     stack = ", ".join(f"{i}, '{c}', b{i}" for i, c in enumerate(cols))
