@@ -24,7 +24,6 @@ from patchlens.operators import split as SP
 from patchlens.operators import stats as ST
 from patchlens.operators import tuning as TU
 from patchlens.functions import rowstats as RS
-from patchlens.plans.catalog_eval import event_scores
 from patchlens.plans.catalog_prepare import scheduling_patches
 from patchlens.plans.registry import query
 from patchlens.sources.tables import patch_view, table
@@ -210,10 +209,16 @@ def feature_importance(spark, sf_dir):
 
 def meta_frame(spark, sf_dir):
     """Meta features per event: per-model score/confidence, ensemble stats, feature-row stats; target = error."""
-    s = event_scores(spark, sf_dir)
-    e = table(spark, sf_dir, "events").select("event_id", "value", F.get_json_object("props", "$.k").cast("double").alias("k"),
-                                              F.hour("ts").cast("double").alias("hour"))
-    d = s.join(e, "event_id")
+    # one projection of events gives the scores and the raw feature row (no self-join)
+    e = table(spark, sf_dir, "events")
+    d = e.select(
+        "event_id",
+        (F.col("event_type") == "purchase").cast("int").alias("actual"),
+        F.try_divide(F.col("value"), F.col("value") + 100).alias("p1"),
+        (F.get_json_object("props", "$.k").cast("double") / 100).alias("p2"),
+        (F.hour("ts") / 24.0).alias("p3"),
+        "value", F.get_json_object("props", "$.k").cast("double").alias("k"), F.hour("ts").cast("double").alias("hour"),
+    )
     arr = F.array("p1", "p2", "p3")
     row = F.array("value", "k", "hour")
     d = d.select("event_id", "actual", "p1", "p2", "p3",
