@@ -124,3 +124,13 @@ def test_no_cartesian_or_python_nodes_in_any_value_query(spark):
             if pat in plan:
                 bad.append((name, pat))
     assert bad == []
+
+
+def test_keyword_filter_sits_below_the_joins(spark):
+    """The subject regex is a predicate on the preserved side: Catalyst evaluates it on the documents
+    scan, before the outer joins, so only matching documents enter them."""
+    lines = _plan(E.queries()["acceptance_by_year"](spark, SF001)).splitlines()
+    join = next(i for i, l in enumerate(lines) if "Join" in l)
+    filt = next(i for i, l in enumerate(lines) if "RLIKE(text" in l and "Filter" in l)
+    indent = lambda l: len(l) - len(l.lstrip(" :+-"))
+    assert filt > join and indent(lines[filt]) > indent(lines[join])
