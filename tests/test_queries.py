@@ -134,3 +134,10 @@ def test_keyword_filter_sits_below_the_joins(spark):
     filt = next(i for i, l in enumerate(lines) if "RLIKE(text" in l and "Filter" in l)
     indent = lambda l: len(l) - len(l.lstrip(" :+-"))
     assert filt > join and indent(lines[filt]) > indent(lines[join])
+
+
+def test_author_counts_are_aggregated_not_windowed(spark):
+    """Per-author counts: partial aggregation joined back; no window partitioned by author."""
+    plan = _plan(E.queries()["ml_matrix"](spark, SF001))
+    assert "partial_count" in plan
+    assert not any("Window" in l and "author_email" in l for l in plan.splitlines())
