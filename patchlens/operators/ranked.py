@@ -66,7 +66,13 @@ def hash_rank(df: DataFrame, part_cols: list[str], id_col: str, seed=42, hex_dig
         F.coalesce(F.sum("_n").over(wprev), F.lit(0)).alias("_off"),
         F.sum("_n").over(wall).alias(size_col),
     )
-    # bounded: (#distinct part values) x 16**hd rows
-    j = d.join(F.broadcast(offsets), [*part_cols, "_b"], "inner")
+    # bounded: (#distinct part values) x 16**hd rows.  Null-safe on the class columns, so
+    # rows with a null label form their own class instead of being dropped.
+    o = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in part_cols], F.col("_b").alias("_o_b"),
+                       "_off", size_col)
+    cond = F.col("_b") == F.col("_o_b")
+    for c in part_cols:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+    j = d.join(F.broadcast(o), cond, "inner").drop(*[f"_o_{c}" for c in part_cols], "_o_b")
     w = Window.partitionBy(*part_cols, "_b").orderBy("_h", id_col)
     return j.withColumn(rank_col, (F.col("_off") + F.row_number().over(w)).cast("bigint")).drop("_h", "_b", "_off")

@@ -277,3 +277,12 @@ def test_generation_error_row(spark):
     g = {r["prompt_id"]: r for r in G.generate(G.generation_features(df)).collect()}
     assert g[1]["code"].startswith("/* Error generating code") and g[1]["confidence"] == 0.0
     assert g[2]["subsystem"] == "locking" and "spin_lock" in g[2]["code"]
+
+
+def test_split_keeps_null_labels(spark):
+    from patchlens.operators import split as SP
+
+    df = spark.range(300).select("id", F.when(F.col("id") % 10 == 0, F.lit(None)).otherwise(F.col("id") % 2).alias("y"))
+    s = SP.stratified_split(df, "id", "y", Decimal("0.2"), Decimal("0.25"))
+    assert s.count() == 300 and s.filter(F.col("y").isNull()).count() == 30
+    assert s.filter(F.col("y").isNull() & (F.col("split") == "test")).count() == 6  # ceil(0.2 * 30)
