@@ -142,8 +142,9 @@ def weight_column(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     The per-class table has one row per class (a fixed, tiny bound), so it is
     broadcast.
     """
-    w = class_weights(df, label).select(label, F.col("balanced_weight").alias(out))
-    return df.join(F.broadcast(w), label, "left")
+    w = class_weights(df, label).select(F.col(label).alias("_w_label"), F.col("balanced_weight").alias(out))
+    # null-safe: rows with a null label get the weight of the null class
+    return df.join(F.broadcast(w), F.col(label).eqNullSafe(F.col("_w_label")), "left").drop("_w_label")
 
 
 def ensemble_weights(val_scores: DataFrame, model: str, actual: str, score: str, threshold: float = 0.5) -> dict:

@@ -286,3 +286,9 @@ def test_split_keeps_null_labels(spark):
     s = SP.stratified_split(df, "id", "y", Decimal("0.2"), Decimal("0.25"))
     assert s.count() == 300 and s.filter(F.col("y").isNull()).count() == 30
     assert s.filter(F.col("y").isNull() & (F.col("split") == "test")).count() == 6  # ceil(0.2 * 30)
+
+
+def test_weight_column_null_label(spark):
+    df = spark.createDataFrame([(1, 0), (2, 0), (3, 1), (4, None)], "id int, y int")
+    w = {r["id"]: r["weight"] for r in MT.weight_column(df, "y").collect()}
+    assert w[1] == w[2] == 4 / (3 * 2) and w[3] == 4 / (3 * 1) and w[4] == 4 / (3 * 1)
