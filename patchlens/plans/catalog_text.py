@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from patchlens.config import ENGLISH_STOP_WORDS
 from patchlens.operators import textvec as TV
 from patchlens.plans.registry import query
 from patchlens.sources.tables import table
@@ -16,7 +17,7 @@ def _sql_list(words) -> str:
 
 
 def _toks_sql() -> str:
-    stop = _sql_list(TV.english_stop_words())
+    stop = _sql_list(ENGLISH_STOP_WORDS)
     return (f"(SELECT doc_id, list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9_]+', ' ', 'g'), ' '), "
             f"lambda t: t <> '' AND regexp_matches(t, '^[a-z_]') AND NOT list_contains({stop}, t)) AS toks "
             f"FROM documents WHERE lang = 'en')")

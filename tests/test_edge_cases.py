@@ -292,3 +292,29 @@ def test_weight_column_null_label(spark):
     df = spark.createDataFrame([(1, 0), (2, 0), (3, 1), (4, None)], "id int, y int")
     w = {r["id"]: r["weight"] for r in MT.weight_column(df, "y").collect()}
     assert w[1] == w[2] == 4 / (3 * 2) and w[3] == 4 / (3 * 1) and w[4] == 4 / (3 * 1)
+
+
+def test_import_needs_no_spark_jars(tmp_path):
+    """Registering the queries reads nothing outside the repository and starts no JVM."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import builtins, glob, sys\n"
+        "sys.path.insert(0, %r)\n"
+        "glob.glob = lambda *a, **k: []\n"
+        "real = builtins.open\n"
+        "def guarded(f, *a, **k):\n"
+        "    assert not str(f).endswith('.jar'), f\n"
+        "    return real(f, *a, **k)\n"
+        "builtins.open = guarded\n"
+        "import __spark_entry__ as E\n"
+        "from pyspark import SparkContext\n"
+        "assert SparkContext._gateway is None\n"
+        "assert len(E.queries()) >= 111 and set(E.oracle_sql()) <= set(E.queries())\n"
+    ) % root
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=str(tmp_path),
+                         env=os.environ | {"SPARK_HOME": str(tmp_path)})
+    assert out.returncode == 0, out.stderr[-2000:]
