@@ -21,7 +21,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patchlens.operators.textvec import english_stop_words
+from patchlens.config import ENGLISH_STOP_WORDS
 
 
 def assembler(cols: list[str], out: str = "features") -> VectorAssembler:
@@ -63,7 +63,7 @@ def text_stages(text: str, bigrams: bool = True) -> list:
     stages = [
         SQLTransformer(statement=f"SELECT *, CASE WHEN {text} IS NULL OR trim({text}) = '' THEN 'unknown' ELSE {text} END AS _clean FROM __THIS__"),
         RegexTokenizer(inputCol="_clean", outputCol="_tok", pattern="[a-z_][a-z0-9_]*", gaps=False, toLowercase=True),
-        StopWordsRemover(inputCol="_tok", outputCol="_tokens", stopWords=english_stop_words()),
+        StopWordsRemover(inputCol="_tok", outputCol="_tokens", stopWords=ENGLISH_STOP_WORDS),
     ]
     if bigrams:
         stages += [NGram(n=2, inputCol="_tokens", outputCol="_bi"),
