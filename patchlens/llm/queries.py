@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchlens.llm import mixing, ring
-from patchlens.llm.common import read, word_count
+from patchlens.llm import ann, decontam, mixing, ring, simhash, template, toxicity, warc
+from patchlens.llm.common import read, settle, shared_folder, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -57,6 +57,63 @@ def op1_mixing(spark, sf_dir):
     return m.select("_row.doc_id", "mix.size", "mix.source_size", "mix.target", taken.alias("taken"))
 
 
+OP6_SQL = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS n, sha256(payload) AS digest FROM p),
+f AS (SELECT *, CASE WHEN n >= {warc.REVISIT_BYTES} THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to FROM f
+"""
+
+
+@query("op6_warc", sql=OP6_SQL)
+def op6_warc(spark, sf_dir):
+    folder = shared_folder(spark, "warc")
+    manifest = warc.write_archives(read(spark, sf_dir, "pages"), folder)
+    rows = settle(warc.read_archives(manifest, folder))
+    warc.drop_archives(folder)
+    return rows
+
+
 @query("op7_sharding")
 def op7_sharding(spark, sf_dir):
     return ring.shard_documents(read(spark, sf_dir, "documents"))
+
+
+OP2_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT vec_id, min(v) AS v FROM v GROUP BY vec_id),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+      FROM u q JOIN u c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
+
+
+@query("op2_nearest_neighbours", sql=OP2_SQL)
+def op2_nearest_neighbours(spark, sf_dir):
+    return ann.nearest(read(spark, sf_dir, "embeddings"))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark, sf_dir):
+    return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op5_simhash")
+def op5_simhash(spark, sf_dir):
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op9_html_extraction")
+def op9_html_extraction(spark, sf_dir):
+    return template.extract(read(spark, sf_dir, "pages"))
+
+
+@query("op10_decontamination")
+def op10_decontamination(spark, sf_dir):
+    return decontam.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
