@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from patchlens import config
@@ -44,78 +44,29 @@ def regexp_min_length(df: DataFrame, col: str, pattern: str = config.GENERATOR_S
     return df.filter(c.isNotNull() & rlike_ci(c, pattern) & (F.octet_length(c) > min_bytes))
 
 
-MAX_MERGE_ROWS = 5_000_000
-
-
-def plan_input_bytes(df: DataFrame) -> int:
-    """Sum of the estimated sizes of the plan's leaves (its scans).
-
-    Without cost-based statistics Spark estimates a join's output as the
-    product of its inputs, which says nothing about how many splits or
-    partitions there are; the input volume does.  No job is run.
-    """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    total = 0
-    for i in range(leaves.size()):
-        total += int(str(leaves.apply(i).stats().sizeInBytes()))
-    return total
-
-
-def estimated_partitions(df: DataFrame) -> int:
-    """Upper-bound partition count from the plan alone (no job is run):
-    max(shuffle partitions, input bytes / maxPartitionBytes)."""
-    spark = df.sparkSession
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    split_bytes = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(split))
-    return max(shuffle, -(-plan_input_bytes(df) // max(split_bytes, 1)), 1)
-
-
-def merge_is_small(df: DataFrame, n: int, max_merge_rows: int = MAX_MERGE_ROWS) -> bool:
-    """True when ``orderBy().limit(n)`` merges a bounded number of rows (partitions x n)."""
-    return estimated_partitions(df) * n <= max_merge_rows
+TOP_N_GROUPS = 64
 
 
 def top_n(df: DataFrame, n: int, order_col: str, descending: bool = False, tiebreak: list[str] | None = None,
-          oversample: float = 1.25, max_merge_rows: int = MAX_MERGE_ROWS, checkpoint_input: bool = False) -> DataFrame:
-    """The first ``n`` rows by (``order_col`` [desc], *tiebreak``), exactly.
+          groups: int = TOP_N_GROUPS) -> DataFrame:
+    """The first ``n`` rows by (``order_col`` [desc], *tiebreak``), exactly, for any column type.
 
     A plain ``orderBy(...).limit(n)`` merges n rows from every input
-    partition in one task.  Here rows are first cut at an approximate
-    quantile of ``order_col`` sized for about ``oversample * n`` survivors
-    (widened until at least n survive; ties at the cut are all kept), and the
-    ordered top-n is taken among the survivors only.  Every row outside the
-    cut orders after every row inside it, so the result is exact.  When the
-    plain merge is small (partitions x n <= ``max_merge_rows``) the plain
-    form is used.  ``checkpoint_input`` writes an expensive input once to the
-    checkpoint folder before the cut's few small actions.
+    partition in one task.  Here the partitions are dealt to ``groups``
+    groups: each partition hands on at most n rows (the window's limit is
+    applied before the shuffle), each group keeps n, and the last step merges
+    ``groups * n`` rows, whatever the number of partitions.  Nulls come first
+    in ascending and last in descending order, as in a plain sort.
     """
-    c = F.col(order_col)
     order = [F.desc(order_col) if descending else F.asc(order_col)] + [F.asc(t) for t in (tiebreak or [])]
-    if merge_is_small(df, n, max_merge_rows):
-        return df.orderBy(*order).limit(n)
-    if checkpoint_input:
-        df = df.checkpoint(eager=True)
-    total = df.select(order_col).count()
-    kept = df
-    if total > n:
-        q = min(1.0, oversample * n / total)
-        while True:
-            level = 1.0 - q if descending else q
-            cut = df.agg(F.percentile_approx(c, level, 10000).alias("cut")).first()["cut"]
-            if cut is None:
-                kept = df
-                break
-            kept = df.filter(c >= F.lit(cut)) if descending else df.filter(c <= F.lit(cut))
-            if q >= 1.0 or kept.select(order_col).count() >= n:
-                break
-            q = min(1.0, q * 2)
-    return kept.orderBy(*order).limit(n)
-
-
-def limit_rows(df: DataFrame, n: int, order_by: str, max_merge_rows: int = MAX_MERGE_ROWS) -> DataFrame:
+    dealt = df.withColumn("_group", F.spark_partition_id() % groups)
+    first = dealt.withColumn("_place", F.row_number().over(Window.partitionBy("_group").orderBy(*order)))
+    return first.filter(F.col("_place") <= n).drop("_group", "_place").orderBy(*order).limit(n)
+
+
+def limit_rows(df: DataFrame, n: int, order_by: str) -> DataFrame:
     """LIMIT n made repeatable by a total order on ``order_by`` (see ``top_n``)."""
-    return top_n(df, n, order_by, max_merge_rows=max_merge_rows)
+    return top_n(df, n, order_by)
 
 
 def add_constant(df: DataFrame, name: str, value) -> DataFrame:

@@ -11,24 +11,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patchlens.operators.ranked import hash_key, hash_rank
+from patchlens.operators.labels import top_n
+from patchlens.operators.ranked import boundaries, hash_key, hash_rank
 
 
 def stratified_split(df: DataFrame, id_col: str, label: str, test_share: float = 0.2,
                      val_share: float | None = 0.25, seed=42, hex_digits: int | None = None) -> DataFrame:
     """Add ``split`` in {train, val, test}.
 
-    test = first ceil(n_c * test_share) rows of each class; val = next
-    ceil(rest_c * val_share) (if ``val_share``); train = the remainder.
+    test = first ceil(n_c * test_share) rows of each class by (md5, id); val =
+    next ceil(rest_c * val_share) (if ``val_share``); train = the remainder.
+    Rows are compared with their class's boundary (hash, id), so they are not
+    shuffled; rows that repeat an id fall on one side together.  A null label
+    is a class of its own, a null id hashes like any other.
     """
-    r = hash_rank(df, [label], id_col, seed, hex_digits)
     n = F.col("class_size")
     n_test = F.ceil(n * F.lit(test_share))
-    split = F.when(F.col("rank") <= n_test, F.lit("test"))
+    ranks = {"_test": n_test}
+    if val_share:
+        ranks["_val"] = n_test + F.ceil((n - n_test) * F.lit(val_share))
+    # two columns, written once: the source is not read again for each step
+    narrow = df.select(label, id_col).checkpoint(eager=True)
+    cuts = boundaries(narrow, label, id_col, ranks, seed, hex_digits)
+    d = df.join(cuts, F.col(label).eqNullSafe(F.col(f"_o_{label}")), "left")  # one row per class
+    at = F.struct(hash_key(id_col, seed).alias("h"), F.col(id_col).alias("id"))
+    split = F.when(at <= F.col("_test"), F.lit("test"))
     if val_share:
-        n_val = F.ceil((n - n_test) * F.lit(val_share))
-        split = split.when(F.col("rank") <= n_test + n_val, F.lit("val"))
-    return r.withColumn("split", split.otherwise(F.lit("train"))).drop("rank", "class_size")
+        split = split.when(at <= F.col("_val"), F.lit("val"))
+    return d.withColumn("split", split.otherwise(F.lit("train"))).drop(f"_o_{label}", *ranks)
 
 
 def stratified_kfold(df: DataFrame, id_col: str, label: str, k: int = 3, seed=42, hex_digits: int | None = None) -> DataFrame:
@@ -44,37 +54,6 @@ def kfold(df: DataFrame, id_col: str, k: int = 5, seed=42, hex_digits: int | Non
     return r.withColumn("fold", ((F.col("rank") - 1) % k).cast("int")).drop("rank", "class_size", "_all")
 
 
-PREFIX_HEX = 12  # 16**12 < 2**63
-
-
-def sample_cap(df: DataFrame, id_col: str, n: int, seed=42, oversample: float = 1.25,
-               max_merge_rows: int | None = None) -> DataFrame:
-    """At most ``n`` rows without replacement: the n smallest md5(id|seed).
-
-    A plain ``orderBy(h).limit(n)`` merges n rows from every input partition
-    in one task (n x 10^5..10^6 rows on a large cluster).  Instead, rows are
-    first filtered by a cut on the hash prefix sized for about
-    ``oversample * n`` survivors (hashes are uniform), doubling the cut until
-    at least n rows survive; the top-n is then taken among the survivors
-    only.  Exact: every row outside the cut hashes above every row inside.
-    Costs: one count of the id column per attempt.  When the plain merge is
-    small (partitions x n <= ``max_merge_rows``), the plain form is used.
-    """
-    from patchlens.operators.labels import MAX_MERGE_ROWS, merge_is_small
-
-    h = hash_key(id_col, seed)
-    if merge_is_small(df, n, MAX_MERGE_ROWS if max_merge_rows is None else max_merge_rows):
-        return df.withColumn("_h", h).orderBy("_h", id_col).limit(n).drop("_h")
-    d = df.withColumn("_h", h).withColumn(
-        "_p", F.conv(F.substring("_h", 1, PREFIX_HEX), 16, 10).cast("bigint"))
-    total = df.select(id_col).count()
-    space = 16 ** PREFIX_HEX
-    if total > n:
-        cut = min(space, int(space * min(1.0, oversample * n / total)) + 1)
-        while True:
-            kept = d.filter(F.col("_p") < F.lit(cut))
-            if cut >= space or kept.select(id_col).count() >= n:
-                d = kept
-                break
-            cut = min(space, cut * 2)
-    return d.orderBy("_h", id_col).limit(n).drop("_h", "_p")
+def sample_cap(df: DataFrame, id_col: str, n: int, seed=42) -> DataFrame:
+    """At most ``n`` rows without replacement: the n smallest md5(id|seed) (see ``top_n``)."""
+    return top_n(df.withColumn("_h", hash_key(id_col, seed)), n, "_h", tiebreak=[id_col]).drop("_h")

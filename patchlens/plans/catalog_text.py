@@ -1,4 +1,4 @@
-"""Text vectorisation queries over the English documents."""
+"""Text vectorisation queries over all documents."""
 
 from __future__ import annotations
 
@@ -20,26 +20,25 @@ def _toks_sql() -> str:
     stop = _sql_list(ENGLISH_STOP_WORDS)
     return (f"(SELECT doc_id, list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9_]+', ' ', 'g'), ' '), "
             f"lambda t: t <> '' AND regexp_matches(t, '^[a-z_]') AND NOT list_contains({stop}, t)) AS toks "
-            f"FROM documents WHERE lang = 'en')")
+            f"FROM documents)")
 
 
 TERMS_SQL = f"""(SELECT doc_id, unnest(list_concat(toks, list_transform(range(1, len(toks)), lambda i: toks[i] || ' ' || toks[i + 1]))) AS term
   FROM {_toks_sql()})"""
 TF_SQL = f"(SELECT doc_id, term, count(*) AS tf FROM {TERMS_SQL} GROUP BY doc_id, term)"
-NDOCS_SQL = "(SELECT count(*) FROM documents WHERE lang = 'en')"
+NDOCS_SQL = "(SELECT count(*) FROM documents)"
 VOCAB_SQL = f"""(SELECT term, df, total, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS term_index FROM (
   SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS total FROM {TF_SQL} GROUP BY term
   HAVING count(*) >= 2 AND count(*) <= 0.95 * {NDOCS_SQL}
   ORDER BY total DESC, term LIMIT {MAX_FEATURES}))"""
 
 
-def _english(spark, sf_dir):
-    return table(spark, sf_dir, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
+def _docs(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
-def _tf(spark, sf_dir):
-    d = TV.with_ngrams(TV.tokenize(_english(spark, sf_dir), "text"))
-    return TV.term_counts(d, "doc_id")
+def _terms(docs):
+    return TV.with_ngrams(TV.tokenize(docs, "text"))
 
 
 @query("token_counts", sql=f"""
@@ -47,28 +46,27 @@ SELECT term AS token, count(DISTINCT doc_id) AS n_docs, count(*) AS n_total FROM
   SELECT doc_id, unnest(toks) AS term FROM {_toks_sql()}) GROUP BY term
 """)
 def token_counts(spark, sf_dir):
-    t = TV.tokenize(_english(spark, sf_dir), "text").select("doc_id", F.explode("tokens").alias("token"))
-    per_doc = t.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
-    return per_doc.groupBy("token").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("n_total"))
+    stats = TV.term_stats(TV.tokenize(_docs(spark, sf_dir), "text"), "tokens")
+    return stats.select(F.col("term").alias("token"), F.col("df").alias("n_docs"), F.col("total").alias("n_total"))
 
 
 @query("bigram_counts", sql=f"""
 SELECT term AS bigram, count(*) AS n_docs, CAST(sum(tf) AS BIGINT) AS n_total FROM {TF_SQL} WHERE contains(term, ' ') GROUP BY term
 """)
 def bigram_counts(spark, sf_dir):
-    tf = _tf(spark, sf_dir).filter(F.col("term").contains(" "))
-    return tf.groupBy(F.col("term").alias("bigram")).agg(F.count(F.lit(1)).alias("n_docs"), F.sum("tf").alias("n_total"))
+    stats = TV.term_stats(_terms(_docs(spark, sf_dir))).filter(F.col("term").contains(" "))
+    return stats.select(F.col("term").alias("bigram"), F.col("df").alias("n_docs"), F.col("total").alias("n_total"))
 
 
-def _vocab(spark, sf_dir, tf):
-    n = _english(spark, sf_dir).count()
-    return TV.vocabulary(tf, n, min_df=2, max_df=0.95, max_features=MAX_FEATURES), n
+def _vocab(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    n = docs.count()
+    return TV.vocabulary(TV.term_stats(_terms(docs)), n, min_df=2, max_df=0.95, max_features=MAX_FEATURES), n
 
 
 @query("vocabulary", sql=f"SELECT term, df, total, term_index FROM {VOCAB_SQL}")
 def vocabulary(spark, sf_dir):
-    tf = _tf(spark, sf_dir)
-    v, _ = _vocab(spark, sf_dir, tf)
+    v, _ = _vocab(spark, sf_dir)
     return v.select("term", "df", "total", "term_index")
 
 
@@ -82,8 +80,10 @@ FROM n GROUP BY doc_id
 """)
 def tfidf(spark, sf_dir):
     """Per document: non-zero terms, largest and summed TF-IDF weight, top term."""
-    tf = _tf(spark, sf_dir)
-    v, n = _vocab(spark, sf_dir, tf)
+    v, n = _vocab(spark, sf_dir)
+    # dealt by id as text, so that neither the counts nor the norm shuffle (doc, term) rows
+    docs = _docs(spark, sf_dir).repartition("doc_id")
+    tf = TV.term_counts(_terms(docs), "doc_id")
     w = TV.tfidf(tf, v, "doc_id", n, max_features=MAX_FEATURES)
     return w.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_terms"), F.round(F.max("weight"), 6).alias("max_weight"),

@@ -195,12 +195,12 @@ def test_hash_rank_matches_window(spark):
 def test_sample_cap_and_limit_rows_exact(spark):
     from patchlens.operators import split as SP
 
-    df = spark.range(20000).select(F.col("id").alias("k"), (F.col("id") * 7 % 20000).alias("o"))
+    df = spark.range(20000).select(F.col("id").alias("k"), (F.col("id") * 7 % 20000).alias("o")).repartition(9)
     for n in (1, 500, 19999, 20000, 25000):
-        a = SP.sample_cap(df, "k", n, seed=9, max_merge_rows=0)  # force the cut path
+        a = SP.sample_cap(df, "k", n, seed=9)
         b = df.withColumn("_h", F.md5(F.concat(F.col("k").cast("string"), F.lit("|9")))).orderBy("_h", "k").limit(n).drop("_h")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-        c = L.limit_rows(df, n, "o", max_merge_rows=0)
+        c = L.limit_rows(df, n, "o")
         d = df.orderBy("o").limit(n)
         assert c.exceptAll(d).count() == 0 and d.exceptAll(c).count() == 0
 
@@ -208,27 +208,45 @@ def test_sample_cap_and_limit_rows_exact(spark):
 def test_top_n_descending_with_ties(spark):
     df = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 37).alias("t"))
     for n in (1, 37, 300, 5000):
-        a = L.top_n(df, n, "t", descending=True, tiebreak=["k"], max_merge_rows=0)
+        a = L.top_n(df, n, "t", descending=True, tiebreak=["k"])
         b = df.orderBy(F.desc("t"), "k").limit(n)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_bucket_digits_scale_with_rows():
-    from patchlens.operators.ranked import hex_digits_for_rows
+def test_top_n_nulls_and_strings(spark):
+    from patchlens.operators import split as SP
+
+    df = spark.range(100).select(F.when(F.col("id") % 10 != 0, F.col("id")).alias("k"), F.concat(F.lit("s"), "id").alias("s")).repartition(7)
+    assert [r["k"] for r in L.top_n(df, 12, "k", tiebreak=["s"]).collect()] == [None] * 10 + [1, 2]
+    assert [r["s"] for r in L.top_n(df, 3, "s").collect()] == ["s0", "s1", "s10"]
+    assert SP.sample_cap(df, "k", 100).count() == 100 and SP.sample_cap(df, "k", 95).count() == 95
+
+
+def test_null_ids_are_ranked_and_split(spark):
+    from patchlens.operators import split as SP
+    from patchlens.operators.ranked import hash_rank
 
-    assert hex_digits_for_rows(10_000) == 1
-    assert hex_digits_for_rows(500_000_000) == 3        # ~122k rows per bucket
-    assert hex_digits_for_rows(10**12) == 5             # ~1M rows per bucket at 10^12 rows
-    assert hex_digits_for_rows(10**15) == 5             # capped: offset table stays broadcastable
+    df = spark.range(100).select(F.when(F.col("id") % 10 != 0, F.col("id")).alias("k"), F.lit(1).alias("y"))
+    assert sorted(r["rank"] for r in hash_rank(df, ["y"], "k").collect()) == list(range(1, 101))
+    assert SP.stratified_split(df, "k", "y", Decimal("0.2"), Decimal("0.25")).count() == 100
+    assert SP.kfold(df, "k", 5).groupBy("fold").count().count() == 5
 
 
-def test_spread_is_noop_when_well_split(spark):
-    from patchlens.sources.tables import spread
+def test_split_of_ten_classes_by_string_id(spark):
+    from patchlens.operators import split as SP
+
+    df = spark.range(2000).select(F.concat(F.lit("id-"), "id").alias("k"), (F.col("id") % 10).cast("string").alias("y"))
+    s = SP.stratified_split(df, "k", "y", Decimal("0.2"), Decimal("0.25"), hex_digits=2)
+    counts = {(r["y"], r["split"]): r["count"] for r in s.groupBy("y", "split").count().collect()}
+    assert counts == {(str(c), part): n for c in range(10) for part, n in (("test", 40), ("val", 40), ("train", 120))}
+
+
+def test_bucket_digits_scale_with_rows():
+    from patchlens.operators.ranked import TARGET_ROWS_PER_BUCKET, hex_digits_for_rows
 
-    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
-    assert spread(many, "id") is many
-    small = spark.range(0, 10, numPartitions=1)
-    assert spread(small, "id") is small  # under the size floor: not worth a shuffle
+    assert hex_digits_for_rows(0) == hex_digits_for_rows(10_000) == 1
+    for n in (10**7, 10**9, 10**12, 10**15):
+        assert n / 16 ** hex_digits_for_rows(n) <= TARGET_ROWS_PER_BUCKET
 
 
 def test_stop_rule_target_and_time(spark):
