@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.ml.feature import Bucketizer
 
+from patchlens.operators.stats import bucket_bounds
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -52,10 +54,11 @@ def score_counts(df: DataFrame, score: str, label: str, by: list[str] | None = N
 
     Every rank metric and every thresholded confusion count is a function of
     this table, so a raw scored table is read once for all of them.  Null
-    scores are kept (as _s = null) for the confusion counts.
+    scores are kept (as _s = null) for the confusion counts; rows without a
+    label are left out.
     """
     y = _c(label).cast("int")
-    return df.groupBy(*(by or []), F.col(score).alias("_s")).agg(
+    return df.filter(y.isNotNull()).groupBy(*(by or []), F.col(score).alias("_s")).agg(
         F.sum(F.when(y == 1, 1).otherwise(0)).cast("double").alias("_pos"),
         F.sum(F.when(y == 1, 0).otherwise(1)).cast("double").alias("_neg"),
     )
@@ -73,7 +76,7 @@ def confusion_from_counts(c: DataFrame, by: list[str] | None = None, threshold:
     return with_rates(g)
 
 
-def roc_auc(df: DataFrame | None, score: str, label: str, by: list[str] | None = None, n_buckets: int = 1024,
+def roc_auc(df: DataFrame | None, score: str, label: str, by: list[str] | None = None, n_buckets: int | None = None,
             counts: DataFrame | None = None) -> DataFrame:
     """Exact rank AUC (Mann-Whitney, ties averaged); 0.5 for a single class.
 
@@ -88,20 +91,14 @@ def roc_auc(df: DataFrame | None, score: str, label: str, by: list[str] | None =
     by = by or []
     c = counts if counts is not None else score_counts(df, score, label, by)
     c = c.filter(F.col("_s").isNotNull())
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = c.agg(F.percentile_approx("_s", qs, 10000).alias("b")).first()["b"] or []
-    splits = [float("-inf")] + sorted(set(float(b) for b in bounds)) + [float("inf")]
-    if len(splits) < 3:
-        splits = [float("-inf"), 0.0, float("inf")]
-    c = Bucketizer(splits=splits, inputCol="_s", outputCol="_b", handleInvalid="keep").transform(
+    c = Bucketizer(splits=bucket_bounds(c, "_s", n_buckets), inputCol="_s", outputCol="_b", handleInvalid="keep").transform(
         c.withColumn("_s", F.col("_s").cast("double")))
     bt = c.groupBy(*by, "_b").agg(F.sum("_neg").alias("_bneg"))
     wb = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     bt = bt.withColumn("_boff", F.coalesce(F.sum("_bneg").over(wb), F.lit(0.0))).drop("_bneg")
     wi = Window.partitionBy(*by, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     c = c.withColumn("_inb", F.coalesce(F.sum("_neg").over(wi), F.lit(0.0)))
-    # bt is bounded by (#groups x n_buckets) rows
-    j = c.join(F.broadcast(bt), [*by, "_b"], "inner")
+    j = c.join(bt, [*by, "_b"], "inner")
     agg = j.groupBy(*by).agg(
         F.sum(F.col("_pos") * (F.col("_boff") + F.col("_inb") + F.col("_neg") / 2.0)).alias("_u"),
         F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"),
@@ -139,12 +136,11 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 def weight_column(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Attach the 'balanced' class weight to each row (for MLlib ``weightCol``).
 
-    The per-class table has one row per class (a fixed, tiny bound), so it is
-    broadcast.
+    The per-class table has one row per class; how it is joined is left to the planner.
     """
     w = class_weights(df, label).select(F.col(label).alias("_w_label"), F.col("balanced_weight").alias(out))
     # null-safe: rows with a null label get the weight of the null class
-    return df.join(F.broadcast(w), F.col(label).eqNullSafe(F.col("_w_label")), "left").drop("_w_label")
+    return df.join(w, F.col(label).eqNullSafe(F.col("_w_label")), "left").drop("_w_label")
 
 
 def ensemble_weights(val_scores: DataFrame, model: str, actual: str, score: str, threshold: float = 0.5) -> dict:

@@ -116,30 +116,39 @@ def value_counts(df: DataFrame, value: str, by: list[str] | None = None) -> Data
     return df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def value_ranks(df: DataFrame, value: str, by: list[str] | None = None, n_buckets: int = 1024,
+BUCKET_ROWS = 100_000
+
+
+def bucket_bounds(counted: DataFrame, value: str, n_buckets: int | None = None) -> list[float]:
+    """Bounds of buckets of about BUCKET_ROWS rows each, for a Bucketizer.
+
+    Bounds are approximate quantiles; only the balance of the work depends on them.
+    """
+    n_buckets = n_buckets or max(16, -(-counted.count() // BUCKET_ROWS))
+    qs = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = counted.agg(F.percentile_approx(value, qs, max(10_000, 4 * n_buckets)).alias("b")).first()["b"] or []
+    splits = [-math.inf] + sorted({float(b) for b in bounds if b is not None and math.isfinite(b)}) + [math.inf]
+    return splits if len(splits) > 2 else [-math.inf, 0.0, math.inf]
+
+
+def value_ranks(df: DataFrame, value: str, by: list[str] | None = None, n_buckets: int | None = None,
                 counted: DataFrame | None = None) -> DataFrame:
     """Distinct values with their count and the number of smaller values.
 
     Output (by..., value, cnt, below).  Exact; work is spread by approximate
-    quantile buckets, and only the per-bucket totals (bounded by
-    groups x n_buckets) go through a single-partition window.
+    quantile buckets, whose number follows from the number of distinct values.
     ``counted`` may pass a precomputed (cached) ``value_counts`` table.
     """
     by = by or []
     c = counted if counted is not None else value_counts(df, value, by)
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = c.agg(F.percentile_approx(value, qs, 10000).alias("b")).first()["b"] or []
-    splits = [-math.inf] + sorted({float(b) for b in bounds if b is not None}) + [math.inf]
-    if len(splits) < 3:
-        splits = [-math.inf, 0.0, math.inf]
-    c = Bucketizer(splits=splits, inputCol=value, outputCol="_b", handleInvalid="keep").transform(
+    c = Bucketizer(splits=bucket_bounds(c, value, n_buckets), inputCol=value, outputCol="_b", handleInvalid="keep").transform(
         c.withColumn(value, F.col(value).cast("double")))
     bt = c.groupBy(*by, "_b").agg(F.sum("cnt").alias("_bn"))
     bt = bt.withColumn("_boff", F.coalesce(F.sum("_bn").over(
         Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_bn")
     c = c.withColumn("_inb", F.coalesce(F.sum("cnt").over(
         Window.partitionBy(*by, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    j = c.join(F.broadcast(bt), [*by, "_b"], "inner")
+    j = c.join(bt, [*by, "_b"], "inner")
     return j.select(*by, value, "cnt", (F.col("_boff") + F.col("_inb")).alias("below"))
 
 
@@ -148,7 +157,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float]) -> dict[str
 
     One unpivot and one (cached) distinct-value count table serve three small
     actions; the driver receives per-feature totals, bucket bounds and at
-    most 2 rows per (column, quantile).
+    most 2 rows per (column, quantile).  A column without values has None for
+    every quantile.
     """
     stack = ", ".join(f"'{c}', CAST({c} AS DOUBLE)" for c in cols)
     long = df.selectExpr(f"stack({len(cols)}, {stack}) AS (feature, v)")
@@ -158,13 +168,13 @@ def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float]) -> dict[str
         r = value_ranks(long, "v", by=["feature"], counted=counted)
         want = []
         for c in cols:
-            for q in qs:
+            for q in qs if n.get(c) else []:
                 h = (n[c] - 1) * q
                 want += [(c, math.floor(h)), (c, math.ceil(h))]
-        cond = None
+        cond = F.lit(False)
         for c, k in set(want):
             e = (F.col("feature") == c) & (F.col("below") <= k) & (F.col("below") + F.col("cnt") > k)
-            cond = e if cond is None else cond | e
+            cond = cond | e
         rows = r.filter(cond).select("feature", "v", "below", "cnt").collect()
     finally:
         counted.unpersist()
@@ -177,8 +187,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float]) -> dict[str
 
     out = {}
     for c in cols:
-        vals = []
-        for q in qs:
+        vals = [] if n.get(c) else [None] * len(qs)
+        for q in qs if n.get(c) else []:
             h = (n[c] - 1) * q
             lo, hi = at(c, math.floor(h)), at(c, math.ceil(h))
             vals.append(None if lo is None else lo + (h - math.floor(h)) * (hi - lo))
@@ -189,10 +199,10 @@ def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float]) -> dict[str
 def _bin_expr(c: str, edges: list[float]):
     """Number of edges <= x (``np.digitize`` with increasing edges)."""
     x = F.col(c).cast("double")
-    e = None
+    e = F.lit(0)
     for v in edges:
-        t = (x >= F.lit(v)).cast("int")
-        e = t if e is None else e + t
+        if v is not None:
+            e = e + (x >= F.lit(v)).cast("int")
     return e
 
 
@@ -207,7 +217,8 @@ def mutual_information_weights(df: DataFrame, cols: list[str], y: str, edges=Non
 
     Bins: number of quartile edges <= value, for each column and for y.
     Joint 4x4 histogram + 1e-8 per cell (absent cells included),
-    MI = sum p * ln(p / (px * py + 1e-8)).
+    MI = sum p * ln(p / (px * py + 1e-8)).  A column (or y) without values
+    has no bins and says nothing: its MI is 0.
     """
     qs = [0.25, 0.5, 0.75]
     edges = edges or (exact_quantiles(df, cols + [y], qs) if exact else approx_quantiles(df, cols + [y], qs))
@@ -228,6 +239,8 @@ def mutual_information_weights(df: DataFrame, cols: list[str], y: str, edges=Non
     g = g.withColumn("py", F.sum("p").over(Window.partitionBy("position", "yb")))
     mi = g.groupBy("position", "feature").agg(
         F.sum(F.col("p") * F.log(F.col("p") / (F.col("px") * F.col("py") + EPS))).alias("mi"))
+    silent = [c for c in cols if None in edges[c] or None in edges[y]]
+    mi = mi.withColumn("mi", F.when(F.col("feature").isin(silent), F.lit(0.0)).otherwise(F.col("mi")))
     return _normalise(mi, "mi")
 
 

@@ -47,8 +47,9 @@ def apply_moves(params: DataFrame, n_features: int, strategies=None) -> DataFram
     """Every strategy applied to every parameter row (L3).
 
     ``applicable`` is 0 when a strategy has no move for the model kind
-    (e.g. learning rate for a random forest); the parameters then stay as
-    they were.
+    (e.g. learning rate for a random forest).  A parameter that the strategy
+    does not touch stays as it was, unset ones unset; a touched one starts
+    from its kind's default if it is unset.
     """
     strategies = strategies or config.STRATEGIES
     d = params.withColumn("strategy", F.explode(F.array(*[F.lit(s) for s in strategies])))
@@ -66,19 +67,22 @@ def apply_moves(params: DataFrame, n_features: int, strategies=None) -> DataFram
     applicable = (F.when(s == "tune_learning_rate", boosted)
                   .when(s == "regularization_tuning", m.isin(RF, XGB, LGB))
                   .otherwise(m.isin(RF, XGB, LGB)))
+    held = {c: F.col(c).try_cast(t) for c, t in (("n_estimators", "int"), ("learning_rate", "double"), ("max_depth", "int"),
+                                                 ("subsample", "double"), ("reg_alpha", "double"), ("reg_lambda", "double"),
+                                                 ("min_samples_split", "int"))}
     return d.select(
         "param_id", "model", "strategy", applicable.cast("int").alias("applicable"),
-        F.when(s == "add_estimators", F.least(n + config.ESTIMATOR_STEP, F.lit(config.MAX_ESTIMATORS))).otherwise(n).alias("n_estimators"),
+        F.when(s == "add_estimators", F.least(n + config.ESTIMATOR_STEP, F.lit(config.MAX_ESTIMATORS))).otherwise(held["n_estimators"]).alias("n_estimators"),
         F.when((s == "tune_learning_rate") & boosted,
-               F.least(lr_def * config.LEARNING_RATE_FACTOR, F.lit(config.MAX_LEARNING_RATE))).otherwise(lr_def).alias("learning_rate"),
-        F.when(s == "adjust_depth", F.least(depth + 1, F.lit(config.MAX_DEPTH))).otherwise(safe_param("max_depth", -1, "int")).alias("max_depth"),
+               F.least(lr_def * config.LEARNING_RATE_FACTOR, F.lit(config.MAX_LEARNING_RATE))).otherwise(held["learning_rate"]).alias("learning_rate"),
+        F.when(s == "adjust_depth", F.least(depth + 1, F.lit(config.MAX_DEPTH))).otherwise(held["max_depth"]).alias("max_depth"),
         F.when(s == "feature_selection", F.lit(min(config.SELECT_K, n_features))).alias("select_k"),
         F.when((s == "ensemble_weights") & (m == RF), F.lit(0.9))
-        .when((s == "ensemble_weights") & boosted, F.least(sub + 0.1, F.lit(1.0))).otherwise(sub).alias("subsample"),
-        F.when((s == "regularization_tuning") & boosted, F.greatest(alpha * 0.8, F.lit(0.0))).otherwise(alpha).alias("reg_alpha"),
+        .when((s == "ensemble_weights") & boosted, F.least(sub + 0.1, F.lit(1.0))).otherwise(held["subsample"]).alias("subsample"),
+        F.when((s == "regularization_tuning") & boosted, F.greatest(alpha * 0.8, F.lit(0.0))).otherwise(held["reg_alpha"]).alias("reg_alpha"),
         F.when((s == "regularization_tuning") & (m == XGB), F.greatest(lam * 0.9, F.lit(0.1)))
-        .when((s == "regularization_tuning") & (m == LGB), F.greatest(lam * 0.9, F.lit(0.0))).otherwise(lam).alias("reg_lambda"),
-        F.when((s == "regularization_tuning") & (m == RF), F.greatest(mss - 1, F.lit(2))).otherwise(mss).alias("min_samples_split"),
+        .when((s == "regularization_tuning") & (m == LGB), F.greatest(lam * 0.9, F.lit(0.0))).otherwise(held["reg_lambda"]).alias("reg_lambda"),
+        F.when((s == "regularization_tuning") & (m == RF), F.greatest(mss - 1, F.lit(2))).otherwise(held["min_samples_split"]).alias("min_samples_split"),
     )
 
 

@@ -109,20 +109,20 @@ _LAM = f"CASE WHEN model = 'xgboost' THEN {_td('reg_lambda', 1.0)} ELSE {_td('re
 @query("param_moves", sql=f"""
 SELECT param_id, model, strategy,
   CAST(CASE WHEN strategy = 'tune_learning_rate' THEN model IN ('xgboost', 'lightgbm') ELSE true END AS INTEGER) AS applicable,
-  CASE WHEN strategy = 'add_estimators' THEN least({_ti('n_estimators', 100)} + 25, 300) ELSE {_ti('n_estimators', 100)} END AS n_estimators,
+  CASE WHEN strategy = 'add_estimators' THEN least({_ti('n_estimators', 100)} + 25, 300) ELSE TRY_CAST(n_estimators AS INTEGER) END AS n_estimators,
   round(CASE WHEN strategy = 'tune_learning_rate' AND model IN ('xgboost', 'lightgbm')
-             THEN least({_td('learning_rate', 0.1)} * 1.2, 0.3) ELSE {_td('learning_rate', 0.1)} END, 6) AS learning_rate,
-  CASE WHEN strategy = 'adjust_depth' THEN least(({_DEPTH}) + 1, 12) ELSE {_ti('max_depth', -1)} END AS max_depth,
+             THEN least({_td('learning_rate', 0.1)} * 1.2, 0.3) ELSE learning_rate END, 6) AS learning_rate,
+  CASE WHEN strategy = 'adjust_depth' THEN least(({_DEPTH}) + 1, 12) ELSE TRY_CAST(max_depth AS INTEGER) END AS max_depth,
   CASE WHEN strategy = 'feature_selection' THEN {min(config.SELECT_K, N_FEATURES)} END AS select_k,
   round(CASE WHEN strategy = 'ensemble_weights' AND model = 'random_forest' THEN 0.9
-             WHEN strategy = 'ensemble_weights' THEN least({_td('subsample', 1.0)} + 0.1, 1.0) ELSE {_td('subsample', 1.0)} END, 6) AS subsample,
+             WHEN strategy = 'ensemble_weights' THEN least({_td('subsample', 1.0)} + 0.1, 1.0) ELSE CAST(subsample AS DOUBLE) END, 6) AS subsample,
   round(CASE WHEN strategy = 'regularization_tuning' AND model <> 'random_forest' THEN greatest({_td('reg_alpha', 0.0)} * 0.8, 0.0)
-             ELSE {_td('reg_alpha', 0.0)} END, 6) AS reg_alpha,
+             ELSE CAST(reg_alpha AS DOUBLE) END, 6) AS reg_alpha,
   round(CASE WHEN strategy = 'regularization_tuning' AND model = 'xgboost' THEN greatest(({_LAM}) * 0.9, 0.1)
              WHEN strategy = 'regularization_tuning' AND model = 'lightgbm' THEN greatest(({_LAM}) * 0.9, 0.0)
-             ELSE {_LAM} END, 6) AS reg_lambda,
+             ELSE CAST(reg_lambda AS DOUBLE) END, 6) AS reg_lambda,
   CASE WHEN strategy = 'regularization_tuning' AND model = 'random_forest' THEN greatest({_ti('min_samples_split', 2)} - 1, 2)
-       ELSE {_ti('min_samples_split', 2)} END AS min_samples_split
+       ELSE TRY_CAST(min_samples_split AS INTEGER) END AS min_samples_split
 FROM {PARAMS_SQL}, (SELECT unnest({[s for s in config.STRATEGIES]}) AS strategy)
 """)
 def param_moves(spark, sf_dir):

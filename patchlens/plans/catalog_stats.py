@@ -72,9 +72,11 @@ MI_SQL = f"""(WITH e AS (SELECT {', '.join(f'quantile_cont({c}, {_Q}) AS q{i}' f
   mi AS (SELECT position, feature, sum(p * ln(p / (px * py + 1e-8))) AS mi FROM m GROUP BY position, feature)
   SELECT position, feature, mi, {_norm_sql('mi')} AS weight FROM mi)"""
 
+# variance of the standardised columns, computed as such: standardise, then var_pop
+STD_SQL = f"""(SELECT {', '.join(f'CASE WHEN s{i} = 0 THEN {c} - m{i} ELSE ({c} - m{i}) / s{i} END AS z{i}' for i, c in enumerate(COLS))}
+  FROM {LI_SQL}, (SELECT {', '.join(f'avg({c}) AS m{i}, stddev_pop({c}) AS s{i}' for i, c in enumerate(COLS))} FROM {LI_SQL}))"""
 VARIND_SQL = f"""(SELECT position, feature, {_norm_sql('ind')} AS weight FROM
-  {_long_sql(f"(SELECT {', '.join(f'var_pop({c}) AS v{i}' for i, c in enumerate(COLS))} FROM {LI_SQL})",
-             ['CASE WHEN v{i} > 0 THEN 1.0 ELSE 0.0 END'], ['ind'])})"""
+  {_long_sql(f"(SELECT {', '.join(f'var_pop(z{i}) AS v{i}' for i, c in enumerate(COLS))} FROM {STD_SQL})", ['v{i}'], ['ind'])})"""
 
 ATT_SQL = f"""(SELECT position, feature, wv, wc, wm, exp(score) / sum(exp(score)) OVER () AS weight FROM (
   SELECT v.position, v.feature, v.weight AS wv, c.weight AS wc, m.weight AS wm,
