@@ -19,7 +19,7 @@ from patchlens.plans.catalog_eval import SPLIT_LONG_SQL, _confusion_long, split_
 from patchlens.plans.registry import query
 from patchlens.session import ensure_checkpoint_dir
 from patchlens.sources import io as IO
-from patchlens.sources.tables import table
+from patchlens.sources.tables import TABLES, table
 
 # --- fixed values: import order of the table files (listed names first) ---
 IMPORT_ORDER = ["src0", "src1", "src2", "src3", "src4"]
@@ -30,6 +30,17 @@ def scratch(spark, name: str) -> str:
     return f"{base}/patchlens-io/{name}-{uuid.uuid4().hex[:10]}"
 
 
+def released(spark, df, *folders: str, db: str | None = None):
+    """``df`` computed once into the checkpoint folder, after which what it was read from is deleted."""
+    out = df.checkpoint(eager=True)
+    for folder in folders:
+        p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    if db:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+    return out
+
+
 # ------------------------------------------------------------- value-checked
 
 @query("table_audit", sql="""
@@ -132,16 +143,18 @@ SELECT d.doc_id AS patch_id, d.text AS subject,
 FROM documents d LEFT JOIN events e ON d.doc_id = e.event_id LEFT JOIN labels l ON d.doc_id = l.doc_id
 WHERE d.text IS NOT NULL
 """)
-def label_join_bucketed(spark, sf_dir):
+def label_join_bucketed(spark, sf_dir, n_buckets: int | None = None):
     """The label join over a bucketed layout: documents, events and labels written once with the same
     bucket count on their id, so both joins run without shuffling either side."""
-    from patchlens.sources.layout import bucketed_patch_tables, build_patch_layout
+    from patchlens.sources.layout import bucketed_patch_tables, buckets_for, build_patch_layout
     from patchlens.sources.tables import patch_view
 
+    n_buckets = n_buckets or buckets_for(table(spark, sf_dir, "documents"))
     db = f"patchlens_layout_{uuid.uuid4().hex[:8]}"
-    t = bucketed_patch_tables(spark, build_patch_layout(spark, sf_dir, db, n_buckets=8))
+    t = bucketed_patch_tables(spark, build_patch_layout(spark, sf_dir, db, n_buckets))
     pv = patch_view(spark, sf_dir, docs=t["documents"], events=t["events"], labels=t["labels"])
-    return pv.filter(F.col("subject").isNotNull()).select("patch_id", "subject", "author_email", "send_time", "accepted")
+    out = pv.filter(F.col("subject").isNotNull()).select("patch_id", "subject", "author_email", "send_time", "accepted")
+    return released(spark, out, db=db)
 
 
 # ------------------------------------------------------------------ rows-only
@@ -161,7 +174,7 @@ def scan_jdbc(spark, sf_dir):
     b = lab.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
     df = IO.scan_jdbc(spark, url, "LABELS", partition_col="DOC_ID", lower=int(b["lo"]), upper=int(b["hi"]) + 1,
                       num_partitions=4, properties=props)
-    return df.filter(F.col("QUALITY") == 1)
+    return df.filter(F.col("QUALITY").isNotNull())
 
 
 @query("latest_snapshot")
@@ -171,7 +184,8 @@ def latest_snapshot(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("o_year"))
     IO.write_csv(o.filter(F.col("o_year") < 1995), f"{base}/a")
     IO.write_csv(o, f"{base}/b")
-    return IO.latest_file(spark, [f"{base}/a", f"{base}/b"], "csv", header=True, inferSchema=False)
+    newest = IO.latest_file(spark, [f"{base}/a", f"{base}/b"], "csv", header=True, inferSchema=False)
+    return released(spark, newest, base)
 
 
 @query("csv_roundtrip")
@@ -185,7 +199,7 @@ def csv_roundtrip(spark, sf_dir):
     feats = FE.preparation_features(scheduling_patches(spark, sf_dir)).drop("subject", "timestamp")
     x = M.ml_matrix(feats, "patch_id", "accepted")
     paths = IO.export_tables({"patches": pat, "features": feats, "X": x.drop("accepted"), "y": x.select("patch_id", "accepted")}, base)
-    return IO.read_csv(spark, paths["X"], schema=x.drop("accepted").schema)
+    return released(spark, IO.read_csv(spark, paths["X"], schema=x.drop("accepted").schema), base)
 
 
 @query("json_report")
@@ -195,7 +209,7 @@ def json_report(spark, sf_dir):
 
     path = scratch(spark, "report")
     IO.write_text(IO.json_report(dataset_report(spark, sf_dir)), path)
-    return spark.read.json(path)
+    return released(spark, spark.read.json(path), path)
 
 
 @query("ingest_dir")
@@ -203,14 +217,14 @@ def ingest_dir(spark, sf_dir):
     """Table files -> catalog tables; listed order first, existing tables tolerated."""
     base = scratch(spark, "ingest")
     files = {}
-    for name in ["benchmark", "labels", "region", "nation"]:
+    for name in TABLES:
         table(spark, sf_dir, name).write.parquet(f"{base}/{name}")
         files[name] = f"{base}/{name}"
     db = f"patchlens_ingest_{uuid.uuid4().hex[:8]}"
     first = IO.ingest_dir(spark, files, ["region", "nation"], db)
     again = IO.ingest_dir(spark, files, ["region", "nation"], db)  # second run: all exist
     counts = first.join(again.withColumnRenamed("status", "rerun_status"), ["position", "table_name"])
-    return counts
+    return released(spark, counts, base, db=db)
 
 
 @query("split_index")
@@ -222,7 +236,7 @@ def split_index(spark, sf_dir):
     s = SP.stratified_split(patch_view(spark, sf_dir).select("patch_id", "accepted"), "patch_id", "accepted",
                             Decimal("0.2"), Decimal("0.25"))
     s.select("patch_id", "split").write.partitionBy("split").parquet(path)
-    return spark.read.parquet(path)
+    return released(spark, spark.read.parquet(path), path)
 
 
 @query("model_roundtrip")
@@ -231,8 +245,9 @@ def model_roundtrip(spark, sf_dir):
     from patchlens.plans.catalog_models import _matrix
 
     m, cols = _matrix(spark, sf_dir)
-    model = MD.numeric_estimator(cols, MD.random_forest(trees=10, depth=4)).fit(m.filter("split = 'train'"))
+    model = MD.numeric_estimator(cols, MD.random_forest()).fit(m.filter("split = 'train'"))
     path = scratch(spark, "model")
     MD.save_model(model, path)
     loaded = MD.load_model(path)
-    return MD.positive_probability(loaded.transform(m.filter("split = 'test'"))).select("patch_id", "prediction", "p")
+    scored = MD.positive_probability(loaded.transform(m.filter("split = 'test'"))).select("patch_id", "prediction", "p")
+    return released(spark, scored, path)

@@ -39,11 +39,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the setting names a shared (HDFS/object store) folder that
     survives executor loss.  Only local runs (tests, bench) fall back to a
-    fresh folder under /tmp.
+    fresh folder under /tmp; on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:

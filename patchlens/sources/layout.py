@@ -15,6 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 PATCH_LAYOUT = {"documents": "doc_id", "events": "event_id", "labels": "doc_id"}
 
 
+BUCKET_BYTES = 256 * 1024 * 1024
+
+
+def buckets_for(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Bucket count for about ``bucket_bytes`` of input per bucket, at least one per shuffle partition of a small table."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(8, -(-size // bucket_bytes))
+
+
 def write_bucketed(df: DataFrame, name: str, key: str, n_buckets: int) -> None:
     df.write.mode("overwrite").bucketBy(n_buckets, key).sortBy(key).saveAsTable(name)
 
