@@ -211,6 +211,17 @@ LEARNING_RATE_FACTOR = 1.2
 MAX_DEPTH = 12
 SELECT_K = 25
 
+# Binding of the subsystem keywords to the test documents: fragments of their
+# languages and marks, in the role of the tool's own keywords (which the
+# prompts keep), so that every class occurs.
+DOCUMENT_KEYWORDS = [
+    ("scheduler", [" the ", " with ", " that ", " from "]),
+    ("memory", [" der ", " und ", " nicht "]),
+    ("locking", [" le ", " que ", " pour ", " dans "]),
+    ("filesystem", [" los ", " una ", " del ", " con "]),
+    ("network", ["@", "|", "%%%", "http"]),
+]
+
 # --- fixed values: English stop words of the TF-IDF tokenizer (the public
 # StopWordsRemover English list), the same list in Spark and in the oracle ---
 ENGLISH_STOP_WORDS = """

@@ -34,7 +34,7 @@ def to_double(df: DataFrame, cols: list[str]) -> DataFrame:
                        for c in df.columns])
 
 
-def random_forest(label: str = "label", weight: str | None = None, trees: int = 20, depth: int = 5,
+def random_forest(label: str = "label", weight: str | None = None, trees: int = 100, depth: int = 10,
                   seed: int = 42, **kw) -> RandomForestClassifier:
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed, **kw)
     if weight:
@@ -42,7 +42,7 @@ def random_forest(label: str = "label", weight: str | None = None, trees: int =
     return rf
 
 
-def boosted_trees(label: str = "label", iters: int = 10, depth: int = 3, step: float = 0.1, subsample: float = 1.0,
+def boosted_trees(label: str = "label", iters: int = 100, depth: int = 6, step: float = 0.1, subsample: float = 1.0,
                   seed: int = 42, weight: str | None = None) -> GBTClassifier:
     g = GBTClassifier(labelCol=label, featuresCol="features", maxIter=iters, maxDepth=depth, stepSize=step,
                       subsamplingRate=subsample, seed=seed)
@@ -74,7 +74,7 @@ def text_stages(text: str, bigrams: bool = True) -> list:
 
 
 def text_model_stages(label: str = "label", kind: str = "logistic", vocab_size: int = 10000,
-                      max_iter: int = 100) -> list:
+                      max_iter: int = 1000) -> list:
     """Counts -> IDF -> classifier over ``_terms``.
 
     Note: Spark's IDF is ln((n + 1) / (df + 1)) without the +1 of the
@@ -116,7 +116,7 @@ def random_search(train: DataFrame, pipeline: Pipeline, grid, fold_col: str, n_i
     return cv.fit(train)
 
 
-def multiclass_forest(label_col: str, cols: list[str], trees: int = 20, depth: int = 5, seed: int = 42) -> Pipeline:
+def multiclass_forest(label_col: str, cols: list[str], trees: int = 100, depth: int = 8, seed: int = 42) -> Pipeline:
     """String label -> index (alphabetical) -> multi-class random forest."""
     return Pipeline(stages=[
         StringIndexer(inputCol=label_col, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep"),
@@ -125,7 +125,7 @@ def multiclass_forest(label_col: str, cols: list[str], trees: int = 20, depth: i
     ])
 
 
-def multiclass_boosted(label_col: str, cols: list[str], iters: int = 10, depth: int = 3, seed: int = 42) -> Pipeline:
+def multiclass_boosted(label_col: str, cols: list[str], iters: int = 200, depth: int = 8, seed: int = 42) -> Pipeline:
     """One-vs-rest boosted trees (MLlib GBT is binary)."""
     return Pipeline(stages=[
         StringIndexer(inputCol=label_col, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep"),
@@ -135,12 +135,19 @@ def multiclass_boosted(label_col: str, cols: list[str], iters: int = 10, depth:
     ])
 
 
-def regressors(label: str, seed: int = 42) -> dict:
+def traditional_regressor(label: str, trees: int = 300, depth: int = 20, seed: int = 42) -> RandomForestRegressor:
+    """The plain evaluator: one forest."""
+    return RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, minInstancesPerNode=2, seed=seed)
+
+
+def regressors(label: str, trees: int = 200, extra_trees: int = 150, iters: int = 150, depth: int = 15, gbt_depth: int = 8,
+               seed: int = 42) -> dict:
+    """The candidates of the attention evaluator."""
     return {
-        "random_forest": RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=30, maxDepth=8, seed=seed),
-        "extra_trees": RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=30, maxDepth=8,
+        "random_forest": RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed),
+        "extra_trees": RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=extra_trees, maxDepth=depth,
                                              featureSubsetStrategy="sqrt", seed=seed + 1),
-        "gbt": GBTRegressor(labelCol=label, featuresCol="features", maxIter=20, maxDepth=4, seed=seed),
+        "gbt": GBTRegressor(labelCol=label, featuresCol="features", maxIter=iters, maxDepth=gbt_depth, stepSize=0.1, seed=seed),
     }
 
 

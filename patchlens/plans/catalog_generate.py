@@ -35,17 +35,18 @@ def sql_wc(x: str) -> str:
     return f"CAST(coalesce(len(regexp_extract_all({x}, '\\S+')), 0) AS INTEGER)"
 
 
-def sql_scores(low: str) -> list[str]:
+def sql_scores(low: str, sets=None) -> list[str]:
     out = []
-    for name, kws in config.SUBSYSTEM_KEYWORDS:
+    for name, kws in sets or config.SUBSYSTEM_KEYWORDS:
         s = " + ".join(f"CAST(coalesce(contains({low}, {q(k)}), false) AS INTEGER)" for k in kws)
         out.append(f"({s})")
     return out
 
 
-def sql_primary(low: str) -> str:
-    arr = "[" + ", ".join(sql_scores(low)) + "]"
-    names = "[" + ", ".join(q(n) for n in config.SUBSYSTEMS) + "]"
+def sql_primary(low: str, sets=None) -> str:
+    sets = sets or config.SUBSYSTEM_KEYWORDS
+    arr = "[" + ", ".join(sql_scores(low, sets)) + "]"
+    names = "[" + ", ".join(q(n) for n, _ in sets) + "]"
     return f"{names}[list_position({arr}, list_max({arr}))]"
 
 
@@ -140,9 +141,10 @@ def sql_prompt(i: str) -> str:
 
 PROMPTS_SQL = f"(SELECT doc_id AS prompt_id, {sql_prompt('doc_id')} AS prompt FROM documents)"
 LOW = "lower(subject)"
+DOCS = config.DOCUMENT_KEYWORDS
 GEN_SQL = f"""(SELECT prompt_id, prompt, sub AS subsystem, comp AS complexity, {sql_assemble('prompt', 'sub', 'comp')} AS code,
-  (1.0 + 1.0 + 4 * 0.3) / 6 AS confidence,
-  greatest(0.0, least(1.0, 1.0 + ((1.0 + 1.0 + 4 * 0.3) / 6 - 0.5) * 0.3)) AS accuracy_estimate
+  (0.5 + 0.5 + 4 * 0.3) / 6 AS confidence,
+  greatest(0.0, least(1.0, 1.0 + ((0.5 + 0.5 + 4 * 0.3) / 6 - 0.5) * 0.3)) AS accuracy_estimate
   FROM (SELECT prompt_id, prompt, {sql_primary('lower(prompt)')} AS sub, {sql_complexity('lower(prompt)')} AS comp FROM {PROMPTS_SQL}))"""
 
 
@@ -151,7 +153,7 @@ def _r6(*cols):
 
 
 def _gen_features(spark, sf_dir):
-    return FE.generator_features(patch_view(spark, sf_dir))
+    return FE.generator_features(patch_view(spark, sf_dir), keyword_sets=DOCS)
 
 
 def _prompts(spark, sf_dir):
@@ -178,18 +180,18 @@ def subject_marks(spark, sf_dir):
 
 
 @query("subsystem_scores", sql=f"""
-SELECT patch_id, {', '.join(f'{s} AS {n}_score, CAST({s} > 0 AS INTEGER) AS has_{n}' for s, n in zip(sql_scores(LOW), config.SUBSYSTEMS))}
+SELECT patch_id, {', '.join(f'{s} AS {n}_score, CAST({s} > 0 AS INTEGER) AS has_{n}' for s, n in zip(sql_scores(LOW, DOCS), [n for n, _ in DOCS]))}
 FROM {PV}
 """)
 def subsystem_scores(spark, sf_dir):
     f = _gen_features(spark, sf_dir)
     cols = []
-    for n in config.SUBSYSTEMS:
+    for n, _ in DOCS:
         cols += [F.col(f"{n}_score"), F.col(f"has_{n}").cast("int").alias(f"has_{n}")]
     return f.select("patch_id", *cols)
 
 
-@query("primary_subsystem", sql=f"SELECT patch_id, {sql_primary(LOW)} AS target_subsystem FROM {PV}")
+@query("primary_subsystem", sql=f"SELECT patch_id, {sql_primary(LOW, DOCS)} AS target_subsystem FROM {PV}")
 def primary_subsystem(spark, sf_dir):
     return _gen_features(spark, sf_dir).select("patch_id", "target_subsystem")
 
@@ -201,7 +203,7 @@ def complexity_label(spark, sf_dir):
 
 @query("derive_targets", sql=f"""
 SELECT patch_id, sub AS target_subsystem, {', '.join(f'{sql_target("sub", t)} AS target_{t}' for t in TARGET_FIELDS)}
-FROM (SELECT patch_id, {sql_primary(LOW)} AS sub FROM {PV})
+FROM (SELECT patch_id, {sql_primary(LOW, DOCS)} AS sub FROM {PV})
 """)
 def derive_targets(spark, sf_dir):
     return _gen_features(spark, sf_dir).select("patch_id", "target_subsystem", *[f"target_{t}" for t in TARGET_FIELDS])
@@ -209,7 +211,7 @@ def derive_targets(spark, sf_dir):
 
 @query("config_lookup", sql=f"""
 SELECT patch_id, sub AS subsystem, {', '.join(f'{sql_config("sub", c)} AS {c}' for c in CONFIG_FIELDS)}
-FROM (SELECT patch_id, {sql_primary(LOW)} AS sub FROM {PV})
+FROM (SELECT patch_id, {sql_primary(LOW, DOCS)} AS sub FROM {PV})
 """)
 def config_lookup(spark, sf_dir):
     f = _gen_features(spark, sf_dir)
@@ -217,7 +219,7 @@ def config_lookup(spark, sf_dir):
                     *[S.template_config("target_subsystem", c).alias(c) for c in CONFIG_FIELDS])
 
 
-@query("class_distribution", sql=f"SELECT {sql_primary(LOW)} AS target_subsystem, count(*) AS n FROM {PV} GROUP BY 1")
+@query("class_distribution", sql=f"SELECT {sql_primary(LOW, DOCS)} AS target_subsystem, count(*) AS n FROM {PV} GROUP BY 1")
 def class_distribution(spark, sf_dir):
     return _gen_features(spark, sf_dir).groupBy("target_subsystem").agg(F.count(F.lit(1)).alias("n"))
 
@@ -228,7 +230,7 @@ _TG = ["target_primary_variable", "target_function", "target_condition", "target
 @query("trainable_groups", sql=f"""
 WITH f AS (SELECT sub AS target_subsystem, {', '.join(f'{sql_target("sub", t)} AS target_{t}' for t in TARGET_FIELDS[:4])},
                   {sql_complexity(LOW)} AS target_complexity
-           FROM (SELECT subject, {sql_primary(LOW)} AS sub FROM {PV})),
+           FROM (SELECT subject, {sql_primary(LOW, DOCS)} AS sub FROM {PV})),
 g AS (SELECT target_subsystem, count(*) AS n_rows, {', '.join(f'count(DISTINCT {t}) AS nd_{t}' for t in _TG)} FROM f GROUP BY 1)
 {' UNION ALL '.join(f"SELECT target_subsystem, n_rows, '{t}' AS target, nd_{t} AS n_distinct, CAST(n_rows >= 50 AND nd_{t} >= 2 AS INTEGER) AS trainable FROM g" for t in _TG)}
 """)
@@ -238,7 +240,7 @@ def trainable_groups(spark, sf_dir):
 
 @query("label_encode", sql=f"""
 SELECT patch_id, sub AS target_subsystem, CAST(dense_rank() OVER (ORDER BY sub) - 1 AS INTEGER) AS label_index, sub AS label_decoded
-FROM (SELECT patch_id, {sql_primary(LOW)} AS sub FROM {PV})
+FROM (SELECT patch_id, {sql_primary(LOW, DOCS)} AS sub FROM {PV})
 """)
 def label_encode(spark, sf_dir):
     """Sorted distinct labels -> 0..k-1 and back (StringIndexer alphabetAsc / IndexToString)."""
@@ -281,7 +283,7 @@ def truncate_text(spark, sf_dir):
 
 @query("assemble_code", sql=f"""
 SELECT patch_id, sub AS subsystem, comp AS complexity, {sql_assemble('subject', 'sub', 'comp')} AS code
-FROM (SELECT patch_id, subject, {sql_primary(LOW)} AS sub, {sql_complexity(LOW)} AS comp FROM {PV})
+FROM (SELECT patch_id, subject, {sql_primary(LOW, DOCS)} AS sub, {sql_complexity(LOW)} AS comp FROM {PV})
 """)
 def assemble_code(spark, sf_dir):
     """Templates filled from patch subjects (descriptions truncated to 60 chars)."""

@@ -2,8 +2,10 @@
 
 Rows-only checks: the results depend on fitted models.  Invariants are
 asserted in tests (probabilities in [0, 1], one prediction per input row,
-bounded summaries).  Model sizes are small so each query runs in seconds at
-sf0.01; the same code scales by raising trees/depth, not by changing plans.
+bounded summaries).  Tree counts, depths, iterations and grids are the
+parameters' defaults in ``operators.models``.  Frames that several fits share
+are cached for their time and released after it; results that a query returns
+lazily read the split frame from the checkpoint folder instead.
 """
 
 from __future__ import annotations
@@ -30,14 +32,15 @@ from patchlens.sources.tables import patch_view, table
 
 
 def _matrix(spark, sf_dir):
-    """Feature matrix + split + balanced weights, cached once for multi-model work."""
+    """Feature matrix + split + balanced weights, computed once for multi-model work."""
     feats = FE.preparation_features(scheduling_patches(spark, sf_dir))
     m = M.ml_matrix(feats, "patch_id", "accepted")
     cols = [c for c in m.columns if c not in ("patch_id", "accepted")]
     m = MD.to_double(m, cols).withColumn("label", F.col("accepted").cast("double"))
     m = SP.stratified_split(m, "patch_id", "accepted", Decimal("0.2"), Decimal("0.25"))
     m = MT.weight_column(m, "accepted")
-    return m.cache(), cols
+    # written once to the checkpoint folder: several fits and the lazy scores read it there
+    return m.checkpoint(eager=True), cols
 
 
 def _score(model, df):
@@ -47,12 +50,12 @@ def _score(model, df):
 @query("train_rf")
 def train_rf(spark, sf_dir):
     m, cols = _matrix(spark, sf_dir)
-    model = MD.numeric_estimator(cols, MD.random_forest(weight="weight", trees=20, depth=5)).fit(m.filter("split = 'train'"))
+    model = MD.numeric_estimator(cols, MD.random_forest(weight="weight")).fit(m.filter("split = 'train'"))
     return _score(model, m.filter("split <> 'train'"))
 
 
 # two boosted-tree configurations (the analysed tool trains two boosting libraries)
-GBT_CONFIGS = {"shallow": dict(iters=10, depth=3, step=0.1), "deep": dict(iters=10, depth=6, step=0.05)}
+GBT_CONFIGS = {"xgboost": dict(depth=3, step=0.1), "lightgbm": dict(depth=6, step=0.1)}
 
 
 @query("train_rf_volume")
@@ -64,8 +67,8 @@ def train_rf_volume(spark, sf_dir):
         *[F.col(c).cast("double").alias(c) for c in cols],
         (F.col("l_returnflag") == "R").cast("int").alias("returned"))
     d = SP.stratified_split(li, "line_id", "returned", Decimal("0.2"), Decimal("0.25"))
-    d = MT.weight_column(d.withColumn("label", F.col("returned").cast("double")), "returned").cache()
-    model = MD.numeric_estimator(cols, MD.random_forest(weight="weight", trees=20, depth=5)).fit(d.filter("split = 'train'"))
+    d = MT.weight_column(d.withColumn("label", F.col("returned").cast("double")), "returned").checkpoint(eager=True)
+    model = MD.numeric_estimator(cols, MD.random_forest(weight="weight")).fit(d.filter("split = 'train'"))
     p = MD.positive_probability(model.transform(d.filter("split = 'test'")))
     return p.select("line_id", "returned", "prediction", "p")
 
@@ -75,58 +78,109 @@ def train_gbt(spark, sf_dir):
     m, cols = _matrix(spark, sf_dir)
     out = None
     for name, cfg in GBT_CONFIGS.items():
-        model = MD.numeric_estimator(cols, MD.boosted_trees(**cfg)).fit(m.filter("split = 'train'"))
+        model = MD.numeric_estimator(cols, MD.boosted_trees(weight="weight", **cfg)).fit(m.filter("split = 'train'"))
         scored = _score(model, m.filter("split <> 'train'")).withColumn("config", F.lit(name))
         out = scored if out is None else out.unionByName(scored)
     return out
 
 
-@query("train_text")
-def train_text(spark, sf_dir):
+def _text_split(spark, sf_dir):
+    """Subjects with labels and splits; the split itself is fixed on (patch_id, accepted) alone."""
     pv = L.not_null(patch_view(spark, sf_dir), "subject").withColumn("label", F.col("accepted").cast("double"))
-    d = SP.stratified_split(pv, "patch_id", "accepted", Decimal("0.2"), Decimal("0.25")).cache()
-    model = MD.text_estimator("subject", kind="logistic", vocab_size=5000).fit(d.filter("split = 'train'"))
+    return SP.stratified_split(pv, "patch_id", "accepted", Decimal("0.2"), Decimal("0.25"))
+
+
+def _train_text(spark, sf_dir, kind):
+    d = _text_split(spark, sf_dir).select("patch_id", "subject", "accepted", "label", "split").checkpoint(eager=True)
+    model = MD.text_estimator("subject", kind=kind, vocab_size=5000).fit(d.filter("split = 'train'"))
     return _score(model, d.filter("split <> 'train'"))
 
 
-@query("random_search")
-def random_search(spark, sf_dir):
-    """10 of 12 grid points (trees x depth incl. unlimited x balanced-or-unweighted), 3-fold stratified
-    CV on the training split, scored by F1 of the positive class.  Tree counts are scaled down
-    (10/20 for 100/200) so the check stays fast; depth 30 is MLlib's maximum ("unlimited")."""
+@query("train_text")
+def train_text(spark, sf_dir):
+    return _train_text(spark, sf_dir, "logistic")
+
+
+@query("train_text_bayes")
+def train_text_bayes(spark, sf_dir):
+    """The same features with multinomial naive Bayes."""
+    return _train_text(spark, sf_dir, "naive_bayes")
+
+
+def _search(spark, sf_dir, estimator, grid_of):
+    """10 points of a grid, 3-fold stratified CV on the training split, scored by F1 of the positive class."""
     m, cols = _matrix(spark, sf_dir)
     train = SP.stratified_kfold(m.filter("split = 'train'"), "patch_id", "accepted", k=3).cache()
-    rf = MD.random_forest(weight="weight", trees=10, depth=5)
-    pipe = MD.numeric_estimator(cols, rf)
-    grid = MD.grid([(rf.numTrees, [10, 20]), (rf.maxDepth, [10, 20, 30]), (rf.weightCol, ["weight", ""])])
-    cv = MD.random_search(train, pipe, grid, "fold", n_iter=10, parallelism=4)
+    cv = MD.random_search(train, MD.numeric_estimator(cols, estimator), MD.grid(grid_of(estimator)), "fold", n_iter=10, parallelism=4)
+    train.unpersist()
     rows = [(i, str({p.name: v for p, v in pm.items()}), float(f1))
             for i, (pm, f1) in enumerate(zip(cv.getEstimatorParamMaps(), cv.avgMetrics))]
     return spark.createDataFrame(rows, "candidate int, params string, mean_f1 double")
 
 
+@query("random_search")
+def random_search(spark, sf_dir, trees=(100, 200), depths=(10, 20, 30)):
+    """Forest: 10 of 12 points (trees x depth x balanced or unweighted); depth 30, MLlib's largest, stands for unlimited."""
+    return _search(spark, sf_dir, MD.random_forest(weight="weight"), lambda rf: [
+        (rf.numTrees, list(trees)), (rf.maxDepth, list(depths)), (rf.weightCol, ["weight", ""])])
+
+
+@query("random_search_boosted")
+def random_search_boosted(spark, sf_dir, iters=(100, 200), depths=(3, 6, 9), steps=(0.01, 0.1)):
+    """Boosted trees with balanced weights: 10 of 12 points (iterations x depth x learning rate)."""
+    return _search(spark, sf_dir, MD.boosted_trees(weight="weight"), lambda g: [
+        (g.maxIter, list(iters)), (g.maxDepth, list(depths)), (g.stepSize, list(steps))])
+
+
 @query("grid_search_text")
 def grid_search_text(spark, sf_dir):
     """2 x 2 TF-IDF grid (vocabulary 5000 / 10000 x unigrams / +bigrams), scored by F1 on validation."""
-    pv = L.not_null(patch_view(spark, sf_dir), "subject").withColumn("label", F.col("accepted").cast("double"))
-    d = SP.stratified_split(pv, "patch_id", "accepted", Decimal("0.2"), Decimal("0.25"))
+    d = _text_split(spark, sf_dir)
     rows = []
     for bigrams in (False, True):
         # tokenise once per n-gram setting, cache the term arrays, then fit the grid points
         toks = Pipeline(stages=MD.text_stages("subject", bigrams)).fit(d).transform(d)
         toks = toks.select("patch_id", "split", "label", "_terms").cache()
         for vocab in (5000, 10000):
-            model = Pipeline(stages=MD.text_model_stages(vocab_size=vocab, max_iter=20)).fit(toks.filter("split = 'train'"))
+            model = Pipeline(stages=MD.text_model_stages(vocab_size=vocab)).fit(toks.filter("split = 'train'"))
             f1 = MD.f1_evaluator().evaluate(model.transform(toks.filter("split = 'val'")))
             rows.append((vocab, bigrams, float(f1)))
         toks.unpersist()
     return spark.createDataFrame(rows, "vocab_size int, bigrams boolean, val_f1 double")
 
 
+@query("fitted_models")
+def fitted_models(spark, sf_dir):
+    """Fitted forest and two boosted models -> validation F1 weights -> weighted ensemble; metrics of all on val and test."""
+    long, wide, weights = fitted_scores(spark, sf_dir)
+    ens = MT.weighted_ensemble(wide, weights).select("patch_id", "split", "accepted", F.lit("ensemble").alias("model"),
+                                                     F.col("ens_proba").alias("p"))
+    return MT.confusion(long.unionByName(ens).withColumn("_pred", F.col("p") > 0.5), "accepted", "_pred", by=["model", "split"])
+
+
+def fitted_scores(spark, sf_dir):
+    """(patch, split, label, model, p) of three fits, the same in wide form, and the ensemble weights."""
+    m, cols = _matrix(spark, sf_dir)
+    train, rest = m.filter("split = 'train'"), m.filter("split <> 'train'")
+    kinds = {"random_forest": MD.random_forest(weight="weight")} | {
+        name: MD.boosted_trees(weight="weight", **cfg) for name, cfg in GBT_CONFIGS.items()}
+    fits = MD.parallel_fits(lambda e: MD.numeric_estimator(cols, e).fit(train), list(kinds.values()), parallelism=3)
+    wide = rest.select("patch_id", "split", "accepted", *cols)
+    for name, model in zip(kinds, fits):
+        scored = MD.positive_probability(model.transform(wide), name)
+        wide = scored.drop("features", "rawPrediction", "probability", "prediction")
+    wide = wide.select("patch_id", "split", "accepted", *kinds).checkpoint(eager=True)
+    stack = ", ".join(f"'{k}', {k}" for k in kinds)
+    long = wide.selectExpr("patch_id", "split", "accepted", f"stack({len(kinds)}, {stack}) AS (model, p)")
+    weights = MT.ensemble_weights(long.filter("split = 'val'"), "model", "accepted", "p")
+    return long, wide, weights
+
+
 def _gen_train(spark, sf_dir):
-    f = FE.generator_features(patch_view(spark, sf_dir))
+    f = FE.generator_features(patch_view(spark, sf_dir), keyword_sets=config.DOCUMENT_KEYWORDS)
     cols = FE.generator_feature_names()
-    return MD.to_double(f, cols).cache(), cols
+    # written once: every classifier of the hierarchy and the lazy scores read it there
+    return MD.to_double(f, cols).select("patch_id", *[c for c in f.columns if c.startswith("target_")], *cols).checkpoint(eager=True), cols
 
 
 @query("train_subsystem")
@@ -138,30 +192,46 @@ def train_subsystem(spark, sf_dir):
 
 
 @query("train_complexity")
-def train_complexity(spark, sf_dir):
+def train_complexity(spark, sf_dir, iters: int = 200, depth: int = 8):
     f, cols = _gen_train(spark, sf_dir)
-    model = MD.multiclass_boosted("target_complexity", cols, iters=5, depth=3).fit(f)
+    model = MD.multiclass_boosted("target_complexity", cols, iters=iters, depth=depth).fit(f)
     return model.transform(f).select("patch_id", "target_complexity", "prediction")
 
 
-def fit_hierarchy(spark, sf_dir):
-    """Level 1 (subsystem, complexity) for all rows; level 2 per trainable group."""
+def holdout_accuracy(estimator, rows, target: str, id_col: str = "patch_id") -> float:
+    """Share of held-out rows (20% of each class) whose label a fit on the others predicts."""
+    d = SP.stratified_split(rows, id_col, target, Decimal("0.2"), None)
+    model = estimator.fit(d.filter("split = 'train'"))
+    r = model.transform(d.filter("split = 'test'")).agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("a")).first()
+    return float(r["a"] or 0.0)
+
+
+LEVEL2_TARGETS = ["target_primary_variable", "target_function", "target_condition", "target_action"]
+
+
+def fit_hierarchy(spark, sf_dir, level2_groups=("scheduler", "memory", "locking")):
+    """Level 1 (subsystem, complexity) for all rows; level 2 per trainable group.
+
+    Accuracies are measured on held-out rows; the models returned are fitted on all rows.
+    """
     f, cols = _gen_train(spark, sf_dir)
     models, rows = {}, []
+    n = f.count()
     for target in ("subsystem", "complexity"):
-        mdl = MD.multiclass_forest(f"target_{target}", cols).fit(f)
-        acc = MT.confusion(mdl.transform(f).withColumn("_ok", F.col("prediction") == F.col("label")), "_ok", "_ok")
-        models[target] = mdl
-        rows.append((f"{target}_classifier", "all", f.count(), 1, float(acc.first()["accuracy"])))
-    tg = L.trainable_groups(f.filter(F.col("target_subsystem").isin("scheduler", "memory", "locking")), "target_subsystem",
-                            ["target_primary_variable", "target_function", "target_condition", "target_action"])
+        est = MD.multiclass_forest(f"target_{target}", cols)
+        models[target] = est.fit(f)
+        rows.append((f"{target}_classifier", "all", n, 1, holdout_accuracy(est, f, f"target_{target}")))
+    tg = L.trainable_groups(f.filter(F.col("target_subsystem").isin(*level2_groups)), "target_subsystem", LEVEL2_TARGETS)
     for r in tg.collect():  # one row per (group, target): bounded
         name = f"{r['target_subsystem']}_{r['target'].replace('target_', '')}"
+        acc = None
         if r["trainable"]:
             sub = f.filter(F.col("target_subsystem") == r["target_subsystem"])
-            models[name] = MD.multiclass_forest(r["target"], cols).fit(sub)
-        rows.append((name, r["target_subsystem"], int(r["n_rows"]), int(r["trainable"]), None))
-    summary = spark.createDataFrame(rows, "model string, grp string, n_rows long, trained int, train_accuracy double")
+            est = MD.multiclass_forest(r["target"], cols)
+            models[name] = est.fit(sub)
+            acc = holdout_accuracy(est, sub, r["target"])
+        rows.append((name, r["target_subsystem"], int(r["n_rows"]), int(r["trainable"]), acc))
+    summary = spark.createDataFrame(rows, "model string, grp string, n_rows long, trained int, holdout_accuracy double")
     return models, summary, cols
 
 
@@ -171,9 +241,8 @@ def train_hierarchy(spark, sf_dir):
     return summary
 
 
-@query("generate_model")
-def generate_model(spark, sf_dir):
-    """Generation with fitted level-1 classifiers (labels decoded, max probability as confidence)."""
+def model_batch(spark, sf_dir):
+    """Prompts with labels from the fitted classifiers, decoded, and their largest probability as confidence."""
     models, summary, cols = fit_hierarchy(spark, sf_dir)
     prompts = G.generation_features(G.prompts_from_ids(table(spark, sf_dir, "documents"), "doc_id"))
     prompts = MD.to_double(prompts, [c for c in cols if c in prompts.columns])
@@ -187,11 +256,22 @@ def generate_model(spark, sf_dir):
         p = MD.max_probability(mdl.transform(out), out=f"conf_{target}")
         lab = F.element_at(F.array(*[F.lit(x) for x in labels]), (F.col("prediction") + 1).cast("int"))
         out = p.withColumn(f"pred_{target}", lab).drop("label", "features", "rawPrediction", "probability", "prediction")
-    accs = [r["train_accuracy"] for r in summary.filter(F.col("train_accuracy").isNotNull()).collect()]
-    g = G.generate(out, subsystem=F.col("pred_subsystem"), complexity=F.col("pred_complexity"),
-                   level1_conf=[F.col("conf_subsystem"), F.col("conf_complexity")],
-                   model_accuracies=F.array(*[F.lit(a) for a in accs]))
-    return g.select("prompt_id", "subsystem", "complexity", "code", "confidence", "accuracy_estimate")
+    accs = [r["holdout_accuracy"] for r in summary.filter(F.col("holdout_accuracy").isNotNull()).collect()]
+    return G.generate(out, subsystem=F.col("pred_subsystem"), complexity=F.col("pred_complexity"),
+                      level1_conf=[F.col("conf_subsystem"), F.col("conf_complexity")],
+                      model_accuracies=F.array(*[F.lit(a) for a in accs]))
+
+
+@query("generate_model")
+def generate_model(spark, sf_dir):
+    """Generation with fitted level-1 classifiers."""
+    return model_batch(spark, sf_dir).select("prompt_id", "subsystem", "complexity", "code", "confidence", "accuracy_estimate")
+
+
+@query("evaluate_model_batch")
+def evaluate_model_batch(spark, sf_dir):
+    """The generated batch of the fitted models, scored: quality against the models' own confidence."""
+    return G.evaluate_batch(model_batch(spark, sf_dir))
 
 
 @query("feature_importance")
@@ -199,8 +279,8 @@ def feature_importance(spark, sf_dir):
     """Importances of a forest and a boosted model, averaged per feature (D11 on fitted models)."""
     m, cols = _matrix(spark, sf_dir)
     tr = m.filter("split = 'train'")
-    rf = MD.numeric_estimator(cols, MD.random_forest(trees=20, depth=5)).fit(tr).stages[-1]
-    gb = MD.numeric_estimator(cols, MD.boosted_trees(iters=10, depth=3)).fit(tr).stages[-1]
+    rf = MD.numeric_estimator(cols, MD.random_forest()).fit(tr).stages[-1]
+    gb = MD.numeric_estimator(cols, MD.boosted_trees(depth=3)).fit(tr).stages[-1]
     imp = MD.importances(rf, cols, "rf", spark).unionByName(MD.importances(gb, cols, "gbt", spark))
     return imp.groupBy("feature").agg(F.avg("importance").alias("mean_importance")).orderBy(F.desc("mean_importance"), "feature")
 
@@ -231,51 +311,70 @@ def meta_frame(spark, sf_dir):
     return d, cols
 
 
-def _fit_eval(train, test, cols, attention: bool, only: str | None = None):
-    """Fit the three regressors (optionally on attention-weighted standardised features); best by val MSE."""
-    if attention:
-        fit = ST.fit_moments(train, cols)
-        w = {r["feature"]: r["weight"] for r in ST.attention_weights(train, cols, "error").collect()}
-        keep = ["event_id", "error"]
-        train = ST.apply_attention(ST.standard_scale(train, cols, keep, fit), cols, w, keep)
-        test = ST.apply_attention(ST.standard_scale(test, cols, keep, fit), cols, w, keep)
+def _scaled_attention(frames, cols):
+    """Standardise by the first frame, weigh by its attention, and put the target on [0, 1]."""
+    train = frames[0]
+    fit = ST.fit_moments(train, [*cols, "error"])
+    w = {r["feature"]: r["weight"] for r in ST.attention_weights(train, cols, "error").collect()}
+    lo, hi = fit["error"]["min"], fit["error"]["max"]
+    keep = ["event_id", "error"]
+    out = [ST.apply_attention(ST.standard_scale(f, cols, keep, fit), cols, w, keep) for f in frames]
+    rng = (hi - lo) if hi != lo else 1.0
+    return [f.withColumn("scaled_error", (F.col("error") - F.lit(lo)) / F.lit(rng)) for f in out], lo, hi
+
+
+def fit_evaluators(train, val, test, cols):
+    """MSE and R^2 on ``test`` of both evaluators: {name: (chosen regressor, mse, r2)}.
+
+    traditional is one forest; attention is the candidate that is best on
+    ``val``, fitted on scaled, attention-weighted features and a min-max scaled
+    target, with predictions scaled back.
+    """
     asm = MD.assembler(cols)
-    tr, te = asm.transform(train).cache(), asm.transform(test)
+    tr = asm.transform(train).cache()
+    pred = MD.traditional_regressor("error").fit(tr).transform(asm.transform(test))
+    r = MT.mse_r2(pred, "error", "prediction").first()
+    tr.unpersist()
+    out = {"traditional": ("random_forest", float(r["mse"]), r["r2"])}
+    frames, lo, hi = _scaled_attention([train, val, test], cols)
+    tr, va, te = (asm.transform(f).cache() for f in frames)
     best = None
-    for name, reg in MD.regressors("error").items():
-        if only and name != only:
-            continue
-        pred = reg.fit(tr).transform(te)
-        r = MT.mse_r2(pred, "error", "prediction").first()
-        if best is None or r["mse"] < best[1]:
-            best = (name, r["mse"], r["r2"])
-    return best
+    for name, reg in MD.regressors("scaled_error").items():
+        model = reg.fit(tr)
+        score = MT.mse_r2(model.transform(va), "scaled_error", "prediction").first()["mse"]
+        if best is None or score < best[1]:
+            best = (name, score, model)
+    back = ST.minmax_inverse(best[2].transform(te), "prediction", lo, hi)
+    r = MT.mse_r2(back, "error", "prediction").first()
+    for f in (tr, va, te):
+        f.unpersist()
+    out["attention"] = (best[0], float(r["mse"]), r["r2"])
+    return out
 
 
 @query("train_meta")
 def train_meta(spark, sf_dir):
+    """Both evaluators, fitted on train, the attention one chosen and both scored on validation."""
     d, cols = meta_frame(spark, sf_dir)
-    d = SP.stratified_split(d, "event_id", "actual", Decimal("0.2"), Decimal("0.25")).cache()
-    rows = []
-    for attention in (False, True):
-        name, mse, r2 = _fit_eval(d.filter("split = 'train'"), d.filter("split = 'val'"), cols, attention)
-        rows.append(("attention" if attention else "traditional", name, float(mse), float(r2) if r2 is not None else None))
+    d = SP.stratified_split(d, "event_id", "actual", Decimal("0.2"), Decimal("0.25")).checkpoint(eager=True)
+    val = d.filter("split = 'val'")
+    got = fit_evaluators(d.filter("split = 'train'"), val, val, cols)
+    rows = [(name, model, mse, r2) for name, (model, mse, r2) in got.items()]
     return spark.createDataFrame(rows, "evaluator string, best_model string, val_mse double, val_r2 double")
 
 
 @query("meta_cv")
 def meta_cv(spark, sf_dir):
-    """5-fold CV of the traditional and the attention evaluator; mean and pop std of MSE."""
+    """5-fold CV of both evaluators (a fold chooses on a fifth of its training rows); mean and pop std of MSE."""
     d, cols = meta_frame(spark, sf_dir)
-    d = SP.kfold(d, "event_id", k=5).cache()
+    d = SP.kfold(d, "event_id", k=5).checkpoint(eager=True)
 
-    def run(task):
-        fold, attention = task
-        tr, te = d.filter(F.col("fold") != fold), d.filter(F.col("fold") == fold)
-        _, mse, _ = _fit_eval(tr, te, cols, attention, only="random_forest")
-        return ("attention" if attention else "traditional", fold, float(mse))
+    def run(fold):
+        inner = SP.stratified_split(d.filter(F.col("fold") != fold), "event_id", "actual", Decimal("0.2"), None, seed=7).checkpoint(eager=True)
+        got = fit_evaluators(inner.filter("split = 'train'"), inner.filter("split = 'test'"), d.filter(F.col("fold") == fold), cols)
+        return [(name, fold, mse) for name, (_, mse, _) in got.items()]
 
-    rows = MD.parallel_fits(run, [(f, a) for f in range(5) for a in (False, True)], parallelism=4)
+    rows = [r for part in MD.parallel_fits(run, range(5), parallelism=3) for r in part]
     per = spark.createDataFrame(rows, "evaluator string, fold int, mse double")
     return per.groupBy("evaluator").agg(F.avg("mse").alias("mean_mse"), F.stddev_pop("mse").alias("std_mse"),
                                         F.count(F.lit(1)).alias("n_folds"))
@@ -283,14 +382,13 @@ def meta_cv(spark, sf_dir):
 
 @query("meta_evaluate")
 def meta_evaluate(spark, sf_dir):
-    """Train on train, compare on test: MSE, R^2, improvement % and who wins."""
+    """Fit on train, choose on validation, compare on test: MSE, R^2, improvement % and who wins."""
     d, cols = meta_frame(spark, sf_dir)
-    d = SP.stratified_split(d, "event_id", "actual", Decimal("0.2"), None).cache()
-    tr, te = d.filter("split = 'train'"), d.filter("split = 'test'")
-    _, t_mse, t_r2 = _fit_eval(tr, te, cols, False)
-    _, a_mse, a_r2 = _fit_eval(tr, te, cols, True)
+    d = SP.stratified_split(d, "event_id", "actual", Decimal("0.2"), Decimal("0.25")).checkpoint(eager=True)
+    got = fit_evaluators(*[d.filter(F.col("split") == s) for s in ("train", "val", "test")], cols)
+    (_, t_mse, t_r2), (_, a_mse, a_r2) = got["traditional"], got["attention"]
     imp = (t_mse - a_mse) / t_mse * 100 if t_mse else None
-    return spark.createDataFrame([(float(t_mse), t_r2, float(a_mse), a_r2, imp, int(a_mse < t_mse))],
+    return spark.createDataFrame([(t_mse, t_r2, a_mse, a_r2, imp, int(a_mse < t_mse))],
                                  "trad_mse double, trad_r2 double, att_mse double, att_r2 double, "
                                  "improvement_pct double, attention_wins int")
 
@@ -310,50 +408,78 @@ def select_k_best(spark, sf_dir):
 
 # --------------------------------------------------------------- loop fits
 
-def _loop_params():
-    return {"random_forest": {"numTrees": 50, "maxDepth": 5}, "gbt": {"maxIter": 10, "maxDepth": 3, "stepSize": 0.05}}
+LOOP_START = {TU.RF: {"n_estimators": 100, "max_depth": 10, "min_samples_split": 2},
+              TU.XGB: {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.1},
+              TU.LGB: {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.1, "num_leaves": 31}}
+BASELINE_ROWS = 10_000
+
+
+def _as_text(row: dict) -> dict:
+    return {k: None if v is None else str(v) for k, v in row.items()}
 
 
-def _estimator(kind, p):
-    if kind == "random_forest":
-        return MD.random_forest(trees=int(p["numTrees"]), depth=int(p["maxDepth"]))
-    return MD.boosted_trees(iters=int(p["maxIter"]), depth=int(p["maxDepth"]), step=float(p["stepSize"]))
+PARAM_SCHEMA = ("param_id int, model string, n_estimators string, max_depth string, min_samples_split string, num_leaves string, "
+                "learning_rate string, subsample string, reg_alpha string, reg_lambda string")
 
 
-def _move(kind, p, strategy):
-    q = dict(p)
-    if strategy == "add_estimators":
-        key = "numTrees" if kind == "random_forest" else "maxIter"
-        q[key] = min(int(q[key]) + config.ESTIMATOR_STEP, config.MAX_ESTIMATORS)
-    elif strategy == "tune_learning_rate" and kind == "gbt":
-        q["stepSize"] = min(float(q["stepSize"]) * config.LEARNING_RATE_FACTOR, config.MAX_LEARNING_RATE)
-    elif strategy == "adjust_depth":
-        q["maxDepth"] = min(int(q["maxDepth"]) + 1, config.MAX_DEPTH)
+def _param_rows(spark, params: dict) -> "DataFrame":
+    names = [c.split()[0] for c in PARAM_SCHEMA.split(", ")]
+    rows = [_as_text({"model": kind} | p) | {"param_id": i} for i, (kind, p) in enumerate(params.items())]
+    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], PARAM_SCHEMA)
+
+
+def _by_kind(rows) -> dict:
+    drop = ("param_id", "model", "strategy", "applicable")
+    return {r["model"]: {k: v for k, v in r.asDict().items() if k not in drop and v is not None} for r in rows}
+
+
+def _loop_pipeline(kind: str, p: dict, cols: list[str]) -> Pipeline:
+    """The estimator of a parameter map; ``select_k`` puts the ANOVA selection in front of it."""
+    sub = min(1.0, float(p.get("subsample") or 1.0))
+    depth = int(p.get("max_depth", -1))
+    if kind == TU.RF:
+        est = MD.random_forest(weight="weight", trees=int(p["n_estimators"]), depth=depth if depth > 0 else 30, subsamplingRate=sub,
+                               minInstancesPerNode=max(1, int(p.get("min_samples_split", 2)) // 2))
     else:
-        return None
-    return q
+        est = MD.boosted_trees(weight="weight", iters=int(p["n_estimators"]), depth=depth if depth > 0 else 6,
+                               step=float(p.get("learning_rate", 0.1)), subsample=sub)
+        # MLlib's trees have no penalties; a gain below the penalty's share does not split a node
+        est.setMinInfoGain(1e-4 * (float(p.get("reg_alpha") or 0.0) + float(p.get("reg_lambda") or 0.0)))
+    if p.get("select_k"):
+        sel = MD.select_k_best(None, int(p["select_k"])).setFeaturesCol("all_features").setOutputCol("features")
+        return Pipeline(stages=[MD.assembler(cols, "all_features"), sel, est])
+    return MD.numeric_estimator(cols, est)
 
 
 @query("tuning_loop")
-def tuning_loop(spark, sf_dir):
-    """Baseline + three accept-if-better cycles with real fits; history as a table."""
+def tuning_loop(spark, sf_dir, cycles: int | None = None, baseline_rows: int = BASELINE_ROWS):
+    """Weakened models, a baseline on at most ``baseline_rows`` rows, then accept-if-better cycles with real fits.
+
+    Every cycle applies the next strategy to each of the three kinds that has
+    a move for it.  The loop ends after one cycle per strategy (or ``cycles``),
+    or when a model's F1 passes the target.  Returns the history.
+    """
     m, cols = _matrix(spark, sf_dir)
     train, val = m.filter("split = 'train'"), m.filter("split = 'val'")
     ev = MD.f1_evaluator()
-    params, rows, current = _loop_params(), [], {}
-    for kind, p in params.items():
-        f1 = ev.evaluate(MD.numeric_estimator(cols, _estimator(kind, p)).fit(train).transform(val))
-        rows.append((kind, 0, "baseline", float(f1)))
-        current[kind] = float(f1)
-    for it in range(1, 4):
+    params = _by_kind(TU.weaken(_param_rows(spark, LOOP_START)).collect())
+    subset = SP.sample_cap(train, "patch_id", baseline_rows)
+
+    def score(task):
+        kind, p, rows = task
+        return float(ev.evaluate(_loop_pipeline(kind, p, cols).fit(rows).transform(val)))
+
+    current = dict(zip(params, MD.parallel_fits(score, [(k, p, subset) for k, p in params.items()], parallelism=3)))
+    rows = [(kind, 0, "baseline", f1) for kind, f1 in current.items()]
+    for it in range(1, (len(config.STRATEGIES) if cycles is None else cycles) + 1):
+        if max(current.values()) > config.STOP_F1:
+            break
         strategy = config.STRATEGIES[(it - 1) % len(config.STRATEGIES)]
-        for kind, p in params.items():
-            q = _move(kind, p, strategy)
-            if q is None:
-                continue
-            f1 = ev.evaluate(MD.numeric_estimator(cols, _estimator(kind, q)).fit(train).transform(val))
-            rows.append((kind, it, strategy, float(f1)))
+        moved = TU.apply_moves(_param_rows(spark, params), len(cols), [strategy]).filter("applicable = 1").collect()
+        tried = _by_kind(moved)
+        for kind, f1 in zip(tried, MD.parallel_fits(score, [(k, p, train) for k, p in tried.items()], parallelism=3)):
+            rows.append((kind, it, strategy, f1))
             if f1 - current[kind] > config.ACCEPT_MIN_GAIN:  # same rule as the history fold below
-                params[kind], current[kind] = q, float(f1)
+                params[kind], current[kind] = params[kind] | tried[kind], f1
     hist = spark.createDataFrame(rows, "model string, iteration int, strategy string, new_f1 double")
     return TU.accept_moves(hist)
