@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from patchlens.llm.common import settle
+from patchlens.llm.common import settle, tasks_for
 
 K = 20
 QUERY_EVERY = 20
@@ -214,6 +214,9 @@ def nearest(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, id_col: st
         return pa.table([pa.array(c, type=t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()))],
                         names=["query_id", "vec_id", "score"])
 
-    best = dealt.select(*cell, *[c for c in names if c != "dim"]).groupBy(*cell).applyInArrow(run, "query_id long, vec_id long, score double")
+    n_cells = stripes.agg(F.sum((F.col("q") + 1) * (F.col("c") + 1))).first()[0] or 1
+    # a cell's work does not show in its bytes: a given number of partitions, which adaptive execution does not merge
+    dealt = dealt.select(*cell, *[c for c in names if c != "dim"]).repartition(tasks_for(vectors.sparkSession, n_cells), *cell)
+    best = dealt.groupBy(*cell).applyInArrow(run, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

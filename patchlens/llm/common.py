@@ -36,6 +36,11 @@ def bounded_broadcast(df: DataFrame, n_bytes: int) -> DataFrame:
     return F.broadcast(df) if n_bytes <= BROADCAST_BYTES else df
 
 
+def tasks_for(spark: SparkSession, units: int) -> int:
+    """Partitions for work that its bytes do not show: one per unit, and no fewer than a shuffle has or the cores."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism, units)
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text (null: 0)."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")

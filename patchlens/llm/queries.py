@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchlens.llm import ann, decontam, mixing, ring, simhash, template, toxicity, warc
+from patchlens.llm import ann, decontam, licenses, mixing, ring, rollup, simhash, template, toxicity, warc
 from patchlens.llm.common import read, settle, shared_folder, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,11 +104,44 @@ def op3_toxicity(spark, sf_dir):
     return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query("op4_token_counts")
+def op4_token_counts(spark, sf_dir):
+    """The documents as one batch of inserts, committed and then sent again, which changes nothing."""
+    table = rollup.Rollup(spark, shared_folder(spark, "rollup"))
+    batch = read(spark, sf_dir, "documents").withColumn("op", F.lit("insert"))
+    table.commit("documents", batch)
+    table.commit("documents", batch)
+    totals = settle(table.totals())
+    table.drop()
+    return totals
+
+
 @query("op5_simhash")
 def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+_NOTICES = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in licenses.NOTICES)
+_WORDS = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\pL\\pN]+'), lambda w: w <> '')"
+OP8_SQL = f"""
+WITH t AS (SELECT template_id, {_WORDS} AS w FROM (VALUES {_NOTICES}) v(template_id, text)),
+d AS (SELECT DISTINCT doc_id, text FROM documents),
+dw AS (SELECT doc_id, text, {_WORDS} AS w FROM d),
+ts AS (SELECT DISTINCT template_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM t),
+n AS (SELECT template_id, count(*) AS n FROM ts GROUP BY template_id),
+ds AS (SELECT doc_id, text, unnest(range(1, len(w) - 3)) AS i, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM dw),
+m AS (SELECT doc_id, text, template_id, CAST(count(DISTINCT s) AS INTEGER) AS matched, CAST(min(i) - 1 AS INTEGER) AS first_word
+      FROM ds JOIN ts USING (s) GROUP BY doc_id, text, template_id)
+SELECT doc_id, template_id, matched, matched / CAST(n AS DOUBLE) AS containment, first_word
+FROM m JOIN n USING (template_id) WHERE matched / CAST(n AS DOUBLE) >= {licenses.CONTAINMENT}
+"""
+
+
+@query("op8_license_scan", sql=OP8_SQL)
+def op8_license_scan(spark, sf_dir):
+    return licenses.scan(read(spark, sf_dir, "documents"), licenses.notices(spark))
+
+
 @query("op9_html_extraction")
 def op9_html_extraction(spark, sf_dir):
     return template.extract(read(spark, sf_dir, "pages"))

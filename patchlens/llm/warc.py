@@ -28,7 +28,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patchlens.llm.common import bounded_broadcast, settle
+from patchlens.llm.common import bounded_broadcast, settle, tasks_for
 
 #: Payloads from this size on are stored once and revisited.
 REVISIT_BYTES = 100
@@ -36,6 +36,8 @@ REVISIT_BYTES = 100
 ARCHIVE_BYTES = 256 * 1024 * 1024
 #: Neighbouring records are read together up to this many bytes.
 RANGE_BYTES = 4 * 1024 * 1024
+#: Compressed bytes that one reading task takes.
+TASK_BYTES = 64 * 1024 * 1024
 ARCHIVE_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _SATURATED = 0xFFFFFFFF
@@ -254,7 +256,9 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
                     at += length
                 yield pa.RecordBatch.from_pylist(rows, schema=kinds)
 
-    return ranges.repartition(F.col("path"), F.col("offset")).mapInArrow(run, schema)
+    # the rows are a few numbers each, so the task count follows from the bytes that they stand for
+    total = manifest.agg(F.sum("bytes")).first()[0] or 0
+    return ranges.repartition(tasks_for(manifest.sparkSession, total // TASK_BYTES), "path", "offset").mapInArrow(run, schema)
 
 
 def drop_archives(folder: str) -> None:
