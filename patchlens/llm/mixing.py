@@ -34,7 +34,7 @@ SHARE = 1.5
 MAX_REPEAT = 2
 N_SHARDS = 64
 BLOCK_WORDS = 1024
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 500
 #: A prime above any block count; modulo n it is coprime to n, so i -> (prime * i + c) mod n permutes 0..n-1.
 PRIME = 2305843009213693951
 
@@ -199,15 +199,16 @@ def draws_of_rows(docs: DataFrame, n_shards: int = N_SHARDS, block_words: int =
             .withColumn("_h", order))
     narrow = settle(work.select("source", "_src", "size", "_h"))
     per = mix_plan(narrow, n_shards, block_words, seed, weights, share, max_repeat)
-    found = per.agg(F.max("n_rows").alias("n"), F.count(F.lit(1)).alias("k")).first()
-    n_buckets = max(1, -(-(found["n"] or 0) // BUCKET_ROWS))
-    bucket = F.expr(f"div(cast(conv(substr(_h, 1, 8), 16, 10) as bigint) * {n_buckets}, {2**32})")
-    totals = narrow.withColumn("_b", bucket).groupBy("_src", "_b").agg(F.sum("size").alias("_t"))
+    k = per.count()
+    plan = per.select("_src", "source_size", "target", "take", "blocks", "starts",
+                      F.ceil(F.col("n_rows") / BUCKET_ROWS).alias("buckets"))
+    plan = bounded_broadcast(plan, k * (8 * n_shards + 200))
+    # as many buckets as the source's rows ask for, so that no window holds many more rows than another
+    bucket = F.expr(f"div(cast(conv(substr(_h, 1, 8), 16, 10) as bigint) * buckets, {2**32})")
+    totals = narrow.join(plan.select("_src", "buckets"), "_src").withColumn("_b", bucket).groupBy("_src", "_b").agg(F.sum("size").alias("_t"))
     row_hash = F.xxhash64("_row")
-    lined = preceding_sum(work.withColumn("_b", bucket), ["_src"], "_b", ["_h", "size", row_hash], "size", "_at", totals)
-
-    plan = per.select("_src", "source_size", "target", "take", "blocks", "starts")
-    joined = lined.join(bounded_broadcast(plan, found["k"] * (8 * n_shards + 200)), "_src", "left")
+    planned = work.join(plan, "_src", "left").withColumn("_b", bucket)
+    joined = preceding_sum(planned, ["_src"], "_b", ["_h", "size", row_hash], "size", "_at", totals)
     big = "decimal(38,0)"
 
     def draw(copy):

@@ -51,7 +51,8 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 
 @query("op1_mixing", sql=OP1_SQL)
 def op1_mixing(spark, sf_dir):
-    sizes = read(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    # three narrow columns: the texts are read once
+    sizes = settle(read(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size")))
     m = mixing.draws_of_rows(sizes)
     taken = F.aggregate("mix.draws", F.lit(0).cast("bigint"), lambda a, d: a + d["words"])
     return m.select("_row.doc_id", "mix.size", "mix.source_size", "mix.target", taken.alias("taken"))
