@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patchlens.llm.common import bounded_broadcast, free_name, settle
+from patchlens.llm.common import bounded_broadcast, free_name, settle, tasks_for
 from patchlens.llm.components import components
 
 SHINGLE = 4
@@ -130,8 +130,9 @@ def tile_links(fps: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS)
     low32 = F.lit(0xFFFFFFFF).cast("bigint")
     cells = settle(fps.select("fp", F.bit_count(F.shiftrightunsigned("fp", 32)).alias("hi"),
                               F.bit_count(F.col("fp").bitwiseAND(low32)).alias("lo")))
-    # at most 33 * 33 rows
-    sizes = F.broadcast(cells.groupBy("hi", "lo").agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("subs")))
+    sizes = settle(cells.groupBy("hi", "lo").agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("subs")))
+    n_tasks = tasks_for(fps.sparkSession, (sizes.agg(F.sum("subs")).first()[0] or 0) // 8)
+    sizes = F.broadcast(sizes)  # at most 33 * 33 rows
     tiles = (cells.join(sizes, ["hi", "lo"]).withColumn("sub", F.pmod(F.xxhash64("fp"), F.col("subs")).cast("int"))
              .groupBy("hi", "lo", "sub").agg(F.collect_list("fp").alias("tile")))
     steps = [(x, y) for x in range(0, radius + 1) for y in range(-radius, radius + 1)
@@ -143,7 +144,8 @@ def tile_links(fps: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS)
                         ((F.col("step.x") == 0) & (F.col("step.y") == 0)).alias("same_cell"))
             .join(sizes, ["hi", "lo"]).withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))
             .filter(~F.col("same_cell") | (F.col("sub_a") <= F.col("sub"))))
-    pairs = left.join(tiles, ["hi", "lo", "sub"]).select("a", F.col("tile").alias("b"))
+    # few bytes but much work: a given number of partitions, which adaptive execution does not merge
+    pairs = left.repartition(n_tasks, "hi", "lo", "sub").join(tiles, ["hi", "lo", "sub"]).select("a", F.col("tile").alias("b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
