@@ -3,7 +3,8 @@
 Rows-only checks: the results depend on fitted models.  Invariants are
 asserted in tests (probabilities in [0, 1], one prediction per input row,
 bounded summaries).  Tree counts, depths, iterations and grids are the
-parameters' defaults in ``operators.models``.  Frames that several fits share
+parameters' defaults in ``operators.models``; where those take minutes per fit
+the queries pass smaller sizes, named below.  Frames that several fits share
 are cached for their time and released after it; results that a query returns
 lazily read the split frame from the checkpoint folder instead.
 """
@@ -55,7 +56,10 @@ def train_rf(spark, sf_dir):
 
 
 # two boosted-tree configurations (the analysed tool trains two boosting libraries)
-GBT_CONFIGS = {"xgboost": dict(depth=3, step=0.1), "lightgbm": dict(depth=6, step=0.1)}
+# MLlib boosts one tree after another, each in several jobs, so the registered queries boost
+# QUERY_ITERS times; the operators' own defaults are the analysed tool's sizes
+QUERY_ITERS = 10
+GBT_CONFIGS = {"xgboost": dict(iters=QUERY_ITERS, depth=3, step=0.1), "lightgbm": dict(iters=QUERY_ITERS, depth=6, step=0.1)}
 
 
 @query("train_rf_volume")
@@ -92,7 +96,7 @@ def _text_split(spark, sf_dir):
 
 def _train_text(spark, sf_dir, kind):
     d = _text_split(spark, sf_dir).select("patch_id", "subject", "accepted", "label", "split").checkpoint(eager=True)
-    model = MD.text_estimator("subject", kind=kind, vocab_size=5000).fit(d.filter("split = 'train'"))
+    model = Pipeline(stages=MD.text_stages("subject") + MD.text_model_stages(kind=kind, vocab_size=5000, max_iter=100)).fit(d.filter("split = 'train'"))
     return _score(model, d.filter("split <> 'train'"))
 
 
@@ -119,14 +123,14 @@ def _search(spark, sf_dir, estimator, grid_of):
 
 
 @query("random_search")
-def random_search(spark, sf_dir, trees=(100, 200), depths=(10, 20, 30)):
+def random_search(spark, sf_dir, trees=(20, 40), depths=(10, 20, 30)):
     """Forest: 10 of 12 points (trees x depth x balanced or unweighted); depth 30, MLlib's largest, stands for unlimited."""
     return _search(spark, sf_dir, MD.random_forest(weight="weight"), lambda rf: [
         (rf.numTrees, list(trees)), (rf.maxDepth, list(depths)), (rf.weightCol, ["weight", ""])])
 
 
 @query("random_search_boosted")
-def random_search_boosted(spark, sf_dir, iters=(100, 200), depths=(3, 6, 9), steps=(0.01, 0.1)):
+def random_search_boosted(spark, sf_dir, iters=(5, 10), depths=(3, 6, 9), steps=(0.01, 0.1)):
     """Boosted trees with balanced weights: 10 of 12 points (iterations x depth x learning rate)."""
     return _search(spark, sf_dir, MD.boosted_trees(weight="weight"), lambda g: [
         (g.maxIter, list(iters)), (g.maxDepth, list(depths)), (g.stepSize, list(steps))])
@@ -142,7 +146,7 @@ def grid_search_text(spark, sf_dir):
         toks = Pipeline(stages=MD.text_stages("subject", bigrams)).fit(d).transform(d)
         toks = toks.select("patch_id", "split", "label", "_terms").cache()
         for vocab in (5000, 10000):
-            model = Pipeline(stages=MD.text_model_stages(vocab_size=vocab)).fit(toks.filter("split = 'train'"))
+            model = Pipeline(stages=MD.text_model_stages(vocab_size=vocab, max_iter=100)).fit(toks.filter("split = 'train'"))
             f1 = MD.f1_evaluator().evaluate(model.transform(toks.filter("split = 'val'")))
             rows.append((vocab, bigrams, float(f1)))
         toks.unpersist()
@@ -192,7 +196,7 @@ def train_subsystem(spark, sf_dir):
 
 
 @query("train_complexity")
-def train_complexity(spark, sf_dir, iters: int = 200, depth: int = 8):
+def train_complexity(spark, sf_dir, iters: int = QUERY_ITERS, depth: int = 8):
     f, cols = _gen_train(spark, sf_dir)
     model = MD.multiclass_boosted("target_complexity", cols, iters=iters, depth=depth).fit(f)
     return model.transform(f).select("patch_id", "target_complexity", "prediction")
@@ -280,7 +284,7 @@ def feature_importance(spark, sf_dir):
     m, cols = _matrix(spark, sf_dir)
     tr = m.filter("split = 'train'")
     rf = MD.numeric_estimator(cols, MD.random_forest()).fit(tr).stages[-1]
-    gb = MD.numeric_estimator(cols, MD.boosted_trees(depth=3)).fit(tr).stages[-1]
+    gb = MD.numeric_estimator(cols, MD.boosted_trees(iters=QUERY_ITERS, depth=3)).fit(tr).stages[-1]
     imp = MD.importances(rf, cols, "rf", spark).unionByName(MD.importances(gb, cols, "gbt", spark))
     return imp.groupBy("feature").agg(F.avg("importance").alias("mean_importance")).orderBy(F.desc("mean_importance"), "feature")
 
@@ -323,6 +327,11 @@ def _scaled_attention(frames, cols):
     return [f.withColumn("scaled_error", (F.col("error") - F.lit(lo)) / F.lit(rng)) for f in out], lo, hi
 
 
+# sizes of the registered queries (the operators' defaults are the analysed tool's)
+TRADITIONAL_SIZE = dict(trees=60, depth=15)
+REGRESSOR_SIZES = dict(trees=40, extra_trees=30, iters=QUERY_ITERS, depth=12, gbt_depth=6)
+
+
 def fit_evaluators(train, val, test, cols):
     """MSE and R^2 on ``test`` of both evaluators: {name: (chosen regressor, mse, r2)}.
 
@@ -332,14 +341,14 @@ def fit_evaluators(train, val, test, cols):
     """
     asm = MD.assembler(cols)
     tr = asm.transform(train).cache()
-    pred = MD.traditional_regressor("error").fit(tr).transform(asm.transform(test))
+    pred = MD.traditional_regressor("error", **TRADITIONAL_SIZE).fit(tr).transform(asm.transform(test))
     r = MT.mse_r2(pred, "error", "prediction").first()
     tr.unpersist()
     out = {"traditional": ("random_forest", float(r["mse"]), r["r2"])}
     frames, lo, hi = _scaled_attention([train, val, test], cols)
     tr, va, te = (asm.transform(f).cache() for f in frames)
     best = None
-    for name, reg in MD.regressors("scaled_error").items():
+    for name, reg in MD.regressors("scaled_error", **REGRESSOR_SIZES).items():
         model = reg.fit(tr)
         score = MT.mse_r2(model.transform(va), "scaled_error", "prediction").first()["mse"]
         if best is None or score < best[1]:
@@ -433,15 +442,18 @@ def _by_kind(rows) -> dict:
     return {r["model"]: {k: v for k, v in r.asDict().items() if k not in drop and v is not None} for r in rows}
 
 
-def _loop_pipeline(kind: str, p: dict, cols: list[str]) -> Pipeline:
-    """The estimator of a parameter map; ``select_k`` puts the ANOVA selection in front of it."""
+def _loop_pipeline(kind: str, p: dict, cols: list[str], per_tree: int = 1) -> Pipeline:
+    """The estimator of a parameter map; ``select_k`` puts the ANOVA selection in front of it.
+
+    ``per_tree`` says how many of the map's estimators stand for one boosting iteration.
+    """
     sub = min(1.0, float(p.get("subsample") or 1.0))
     depth = int(p.get("max_depth", -1))
     if kind == TU.RF:
         est = MD.random_forest(weight="weight", trees=int(p["n_estimators"]), depth=depth if depth > 0 else 30, subsamplingRate=sub,
                                minInstancesPerNode=max(1, int(p.get("min_samples_split", 2)) // 2))
     else:
-        est = MD.boosted_trees(weight="weight", iters=int(p["n_estimators"]), depth=depth if depth > 0 else 6,
+        est = MD.boosted_trees(weight="weight", iters=max(1, int(p["n_estimators"]) // per_tree), depth=depth if depth > 0 else 6,
                                step=float(p.get("learning_rate", 0.1)), subsample=sub)
         # MLlib's trees have no penalties; a gain below the penalty's share does not split a node
         est.setMinInfoGain(1e-4 * (float(p.get("reg_alpha") or 0.0) + float(p.get("reg_lambda") or 0.0)))
@@ -452,7 +464,7 @@ def _loop_pipeline(kind: str, p: dict, cols: list[str]) -> Pipeline:
 
 
 @query("tuning_loop")
-def tuning_loop(spark, sf_dir, cycles: int | None = None, baseline_rows: int = BASELINE_ROWS):
+def tuning_loop(spark, sf_dir, cycles: int | None = None, baseline_rows: int = BASELINE_ROWS, per_tree: int = 10):
     """Weakened models, a baseline on at most ``baseline_rows`` rows, then accept-if-better cycles with real fits.
 
     Every cycle applies the next strategy to each of the three kinds that has
@@ -467,7 +479,7 @@ def tuning_loop(spark, sf_dir, cycles: int | None = None, baseline_rows: int = B
 
     def score(task):
         kind, p, rows = task
-        return float(ev.evaluate(_loop_pipeline(kind, p, cols).fit(rows).transform(val)))
+        return float(ev.evaluate(_loop_pipeline(kind, p, cols, per_tree).fit(rows).transform(val)))
 
     current = dict(zip(params, MD.parallel_fits(score, [(k, p, subset) for k, p in params.items()], parallelism=3)))
     rows = [(kind, 0, "baseline", f1) for kind, f1 in current.items()]

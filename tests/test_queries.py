@@ -173,8 +173,8 @@ def test_evaluator_is_chosen_on_validation(spark, monkeypatch):
     d = spark.range(90).select(F.col("id").alias("event_id"), (F.col("id") % 10).cast("double").alias("x"),
                                F.when(F.col("id") < 60, (F.col("id") % 10) * 2.0).otherwise(F.lit(9.0)).alias("error"))
     parts = d.filter("event_id < 30"), d.filter("event_id >= 30 and event_id < 60"), d.filter("event_id >= 60")
-    monkeypatch.setattr(MD, "traditional_regressor", lambda label: LinearRegression(labelCol=label))
-    monkeypatch.setattr(MD, "regressors", lambda label: {
+    monkeypatch.setattr(MD, "traditional_regressor", lambda label, **sizes: LinearRegression(labelCol=label))
+    monkeypatch.setattr(MD, "regressors", lambda label, **sizes: {
         "flat": LinearRegression(labelCol=label, regParam=1e9), "line": LinearRegression(labelCol=label)})
     got = CM.fit_evaluators(*parts, ["x"])
     assert got["attention"][0] == "line"
