@@ -33,10 +33,11 @@ from patchlens.llm.common import settle, tasks_for
 
 K = 20
 QUERY_EVERY = 20
-#: Original values (as doubles) that one block holds, and blocks in a stripe.
+#: Bytes of original values (as doubles) that one block holds at most, and a stripe at most and at least.
 BLOCK_BYTES = 1 << 19
-CANDIDATE_BLOCKS = 8
-QUERY_BLOCKS = 16
+STRIPE_BYTES = 1 << 26
+LEAST_STRIPE_BYTES = 1 << 20
+QUERY_STRIPE_BYTES = 1 << 24
 #: Values multiplied at a time, so that sums of 127 * 127 stay exact in single precision.
 _EXACT_DIM = 1024
 
@@ -185,13 +186,19 @@ def nearest(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, id_col: st
     """
     blocks = settle(pack(usable(vectors, id_col, vector_col), every, k).withColumn("block", F.xxhash64("ids")))
     # the order of the blocks only deals them to cells; one narrow row a block
-    number = F.row_number().over(Window.partitionBy("is_query", "dim").orderBy("block")) - 1
-    facts = blocks.select("is_query", "dim", "block").withColumn("at", number)
-    facts = settle(facts.withColumn("stripe", F.floor(F.col("at") / F.when(F.col("is_query"), QUERY_BLOCKS).otherwise(CANDIDATE_BLOCKS)).cast("int")))
+    size = F.col("n").cast("bigint") * F.col("dim") * 8
+    everyone = Window.partitionBy("is_query", "dim")
+    before = F.coalesce(F.sum("bytes").over(everyone.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # every query gets k rows from each candidate stripe, so there are no more stripes than tasks or their size asks for
+    share = F.sum("bytes").over(everyone) / (2 * vectors.sparkSession.sparkContext.defaultParallelism)
+    width = F.when(F.col("is_query"), F.lit(float(QUERY_STRIPE_BYTES))).otherwise(
+        F.greatest(F.lit(float(LEAST_STRIPE_BYTES)), F.least(F.lit(float(STRIPE_BYTES)), share)))
+    facts = blocks.select("is_query", "dim", "block", size.alias("bytes"))
+    facts = settle(facts.select("is_query", "dim", "block", F.floor(before / width).cast("int").alias("stripe")))
     stripes = facts.groupBy("dim").agg(F.max(F.when(F.col("is_query"), F.col("stripe"))).alias("q"),
                                        F.max(F.when(~F.col("is_query"), F.col("stripe"))).alias("c")).filter("q is not null")
     other = F.explode(F.sequence(F.lit(0), F.when(F.col("is_query"), F.col("c")).otherwise(F.col("q"))))
-    dealt = (blocks.join(facts.drop("at"), ["is_query", "dim", "block"])
+    dealt = (blocks.join(facts, ["is_query", "dim", "block"])
              .join(stripes, "dim").withColumn("other", other)
              .withColumn("q_stripe", F.when(F.col("is_query"), F.col("stripe")).otherwise(F.col("other")))
              .withColumn("c_stripe", F.when(F.col("is_query"), F.col("other")).otherwise(F.col("stripe"))))

@@ -46,8 +46,9 @@ def vectors(seed, n=700, dim=24):
 
 def test_exact_with_ties_and_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(A, "BLOCK_BYTES", 8 * 24 * 50)
-    monkeypatch.setattr(A, "CANDIDATE_BLOCKS", 3)
-    monkeypatch.setattr(A, "QUERY_BLOCKS", 1)
+    monkeypatch.setattr(A, "LEAST_STRIPE_BYTES", 8 * 24 * 120)
+    monkeypatch.setattr(A, "STRIPE_BYTES", 8 * 24 * 120)
+    monkeypatch.setattr(A, "QUERY_STRIPE_BYTES", 8 * 24 * 20)
     rows = vectors(1)
     rows += [(None, [1.0] * 24, 0), (1000, None, 0), (1020, [0.0] * 24, 0), (1040, [1.0, None] + [0.0] * 22, 0),
              (1060, [float("nan")] + [1.0] * 23, 0), (1080, [float("inf")] + [1.0] * 23, 0), (1100, [], 0),
