@@ -36,8 +36,8 @@ FILTERS = 16
 DIM = 16
 BUCKETS = 1 << 16
 #: The fit reads at most this many labelled rows and this many characters of text (whole rows, in hash order).
-MAX_ROWS = 8_000
-MAX_CHARS = 48_000_000
+MAX_ROWS = 6_000
+MAX_CHARS = 32_000_000
 EPOCHS = 6
 BATCH = 32
 #: A language with fewer toxic calibration rows takes the common threshold.
@@ -313,9 +313,10 @@ def fit(docs: DataFrame, labels: DataFrame, epochs: int = EPOCHS, max_rows: int
         return Model(empty((BUCKETS + 1, DIM), np.float32), empty((DIM, _OFFSETS * FILTERS), np.float32),
                      empty(len(WIDTHS) * FILTERS, np.float32), empty(len(WIDTHS) * FILTERS, np.float32), 0.0,
                      constant=float(y.mean()) if len(y) else 0.0)
-    model = train([r[2] for r in learn], y, epochs)
     if len({r[3] for r in hold}) < 2:
         hold = learn
+    model = train([r[2] for r in learn], y, epochs)
+    del learn, sample
     scorer = Scorer(model)
     logits = np.array([scorer.logit(r[2]) for r in hold])
     calibrate(model, logits, np.array([r[3] for r in hold], dtype=float), [r[1] for r in hold])
