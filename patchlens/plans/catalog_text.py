@@ -58,9 +58,9 @@ def bigram_counts(spark, sf_dir):
     return stats.select(F.col("term").alias("bigram"), F.col("df").alias("n_docs"), F.col("total").alias("n_total"))
 
 
-def _vocab(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    n = docs.count()
+def _vocab(spark, sf_dir, docs=None):
+    n = table(spark, sf_dir, "documents").count()
+    docs = _docs(spark, sf_dir) if docs is None else docs
     return TV.vocabulary(TV.term_stats(_terms(docs)), n, min_df=2, max_df=0.95, max_features=MAX_FEATURES), n
 
 
@@ -80,9 +80,10 @@ FROM n GROUP BY doc_id
 """)
 def tfidf(spark, sf_dir):
     """Per document: non-zero terms, largest and summed TF-IDF weight, top term."""
-    v, n = _vocab(spark, sf_dir)
-    # dealt by id as text, so that neither the counts nor the norm shuffle (doc, term) rows
+    # dealt by id as text, so that neither the counts nor the norm shuffle (doc, term) rows;
+    # the vocabulary reads the same exchange
     docs = _docs(spark, sf_dir).repartition("doc_id")
+    v, n = _vocab(spark, sf_dir, docs)
     tf = TV.term_counts(_terms(docs), "doc_id")
     w = TV.tfidf(tf, v, "doc_id", n, max_features=MAX_FEATURES)
     return w.groupBy("doc_id").agg(
