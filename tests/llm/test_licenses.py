@@ -84,3 +84,42 @@ def test_empty_tables_and_native_plan(spark):
     assert L.scan(docs, none).collect() == [] and L.scan(docs.limit(0), L.notices(spark)).collect() == []
     plan = L.scan(docs, L.notices(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def brute_any_length(docs, templates):
+    out = set()
+    for d, text in docs:
+        for t, body in templates:
+            k = min(5, len(words(body)))
+            cut = lambda w: [tuple(w[i: i + k]) for i in range(len(w) - k + 1)]
+            g, want = cut(words(text)), set(cut(words(body))) if k else set()
+            if want and len(want & set(g)) / len(want) >= 0.8:
+                out.add((d, t, len(want & set(g)), len(want & set(g)) / len(want), next(i for i, s in enumerate(g) if s in want)))
+    return out
+
+
+def test_templates_shorter_than_a_shingle(spark, monkeypatch):
+    rnd = random.Random(5)
+    templates = L.NOTICES + L.SHORT_NOTICES + [("one", "Copyleft"), ("two", "MIT License"), ("four", "no rights at all"), ("none", "?!")]
+    docs = []
+    for i in range(300):
+        w = [rnd.choice(["all", "rights", "reserved", "x", "MIT", "license", "no", "at"]) for _ in range(rnd.choice([0, 1, 2, 3, 4, 9, 60]))]
+        at = rnd.randrange(len(w) + 1)
+        w[at:at] = rnd.choice(templates)[1].split() if rnd.random() < 0.6 else []
+        docs.append((i, " ".join(w)))
+    docs += [(900, "ALL  RIGHTS\nreserved"), (901, "all rights"), (902, "// SPDX-License-Identifier: MIT"), (903, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = brute_any_length(docs, templates)
+    assert {t for _, t, *_ in want} > {"All-rights-reserved", "SPDX-tag", "one", "two", "four"}
+    for part in (L.PART_SHINGLES, 10):
+        monkeypatch.setattr(L, "PART_SHINGLES", part)
+        assert found(L.scan(df, spark.createDataFrame(templates, "template_id string, text string"))) == want
+
+
+def test_query_finds_short_notices_of_the_documents(spark):
+    import __spark_entry__ as E
+
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    got = found(E.queries()["op8_license_scan"](spark, "/root/testdata/sf0.001"))
+    assert sum(t == "All-rights-reserved" for _, t, *_ in got) == 3
+    assert got == brute_any_length(docs, L.NOTICES + L.SHORT_NOTICES)
