@@ -6,10 +6,10 @@ its suffixes, so inflected forms of one stem share features.  Filters of widths
 Training is plain numpy (Adam) on the driver, over a bounded sample of labelled
 rows; every other step covers all rows.
 
-Fit: labelled documents whose crc32(doc_id) mod 5 is not 0.  Remainder 4 is
-kept for calibration: it places the score so that 0.5 is the best single
-threshold, and gives each language with enough toxic rows a threshold of its
-own.  Scores use the text alone.
+Fit: labelled documents whose crc32(doc_id) mod 5 is 1, 2 or 3.  Remainder 4 is
+kept for calibration, over all its labelled rows: it places the score so that
+0.5 is the best single threshold, and gives each language with enough toxic rows
+a threshold of its own.  Scores use the text alone.
 
 Score: a projected word costs one row of a lookup table (filters applied to its
 vector), so a text is a gather, shifted sums and a running maximum.  Long texts
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patchlens.llm.common import free_name
+from patchlens.llm.common import bounded_broadcast, free_name, preceding_sum, settle
 
 WIDTHS = (1, 2, 3)
 FILTERS = 16
@@ -42,6 +42,10 @@ EPOCHS = 6
 BATCH = 32
 #: A language with fewer toxic calibration rows takes the common threshold.
 MIN_TOXIC = 20
+#: Fifths of the labelled rows by crc32(doc_id): for the fit and for calibration; 0 is held out.
+FIT_FOLDS, CALIBRATION_FOLDS = (1, 2, 3), (4,)
+#: Score ranges among which the rows of a language are dealt when its threshold is sought.
+BINS = 256
 PREFIXES, SUFFIXES = (3, 4, 5, 6), (3, 4, 5)
 N_FEATURES = 1 + len(PREFIXES) + len(SUFFIXES)
 _TOKEN = re.compile(r"\w+")
@@ -272,26 +276,21 @@ def best_threshold(values: np.ndarray, labels: np.ndarray) -> float:
     return float((v[k] + v[k + 1]) / 2) if k + 1 < len(v) else float(v[k] - 1.0)
 
 
-def calibrate(model: Model, logits: np.ndarray, labels: np.ndarray, langs: list) -> None:
-    """Put the common threshold at score 0.5 and fit one threshold per language."""
-    model.centre = best_threshold(logits, labels)
-    model.slope = 4.0 / max(float(np.std(logits)), 1e-6)
-    lang = np.array(["" if x is None else x for x in langs])
-    for name in sorted(set(lang)):
-        own = lang == name
-        if labels[own].sum() >= MIN_TOXIC and (1 - labels[own]).sum() >= MIN_TOXIC:
-            model.thresholds[name] = model.score(best_threshold(logits[own], labels[own]))
-
-
 def remainder(doc_id) -> F.Column:
     """crc32 of the id's text, modulo 5 (a null id counts as the empty text)."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(5))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> list:
-    """(fold, lang, text, toxic) of a bounded sample of the labelled rows outside the held-out fold."""
-    known = (labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
-             .withColumn("_fold", remainder("doc_id")).filter("_fold <> 0"))
+def labelled(labels: DataFrame, folds: tuple) -> DataFrame:
+    """doc_id, _toxic and _fold of the labelled documents of ``folds``."""
+    return (labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
+            .withColumn("_fold", remainder("doc_id")).filter(F.col("_fold").isin(*folds)))
+
+
+def training_sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS,
+                    folds: tuple = FIT_FOLDS) -> list:
+    """(fold, lang, text, toxic) of a bounded sample of the labelled rows of ``folds``."""
+    known = labelled(labels, folds)
     narrow = docs.select("doc_id", F.length(F.coalesce(F.col("text"), F.lit(""))).alias("_chars"), F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("_crc"))
     picked = (narrow.join(known, "doc_id").withColumn("_h", F.xxhash64(F.lit(11), "doc_id"))
               .orderBy("_h", "doc_id", "_crc").limit(max_rows))  # a bounded table from here on
@@ -302,24 +301,62 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS
     return [(r["_fold"], r["lang"], r["text"], int(r["_toxic"] > 0)) for r in rows]
 
 
+def best_cuts(rows: DataFrame, centre: float, spread: float) -> list:
+    """Per ``_group``: cut, toxic, total.  ``cut`` is the best_threshold() of all its rows (_group, _logit, _toxic).
+
+    Distinct values are counted first and dealt to score ranges, so no task sees a whole group.
+    """
+    bins = F.floor(F.lit(BINS) / (1 + F.exp((F.col("_logit") - centre) / spread))).cast("int")  # high values first
+    values = settle(rows.groupBy("_group", "_logit").agg(F.sum("_toxic").alias("_toxic"), F.count(F.lit(1)).alias("_n"))
+                    .withColumn("_bin", bins))
+    totals = values.groupBy("_group").agg(F.sum("_toxic").alias("toxic"), F.sum("_n").alias("total"))
+    size = 200 * totals.count()
+    above = preceding_sum(values, ["_group"], "_bin", [F.desc("_logit")], "_toxic", "_toxic_above")
+    above = preceding_sum(above, ["_group"], "_bin", [F.desc("_logit")], "_n", "_n_above")
+    hits = F.col("_toxic_above") + F.col("_toxic")
+    f1 = 2 * hits / (F.col("_n_above") + F.col("_n") + F.col("toxic"))
+    best = above.join(bounded_broadcast(totals, size), "_group").groupBy("_group", "toxic", "total").agg(F.max(F.struct(f1.alias("f1"), "_logit"))["_logit"].alias("_at"))
+    under = values.join(bounded_broadcast(best, size), "_group").groupBy("_group", "toxic", "total", "_at").agg(
+        F.max(F.when(F.col("_logit") < F.col("_at"), F.col("_logit"))).alias("_under"))
+    cut = F.coalesce((F.col("_at") + F.col("_under")) / 2, F.col("_at") - 1.0)
+    return under.select("_group", cut.alias("cut"), "toxic", "total").collect()
+
+
+def calibrate(model: Model, docs: DataFrame, labels: DataFrame, folds: tuple) -> bool:
+    """Put the common threshold at score 0.5 and fit one threshold per language, on all labelled rows of ``folds``.
+
+    Says whether the rows hold both classes; if not, the model stays as it is.
+    """
+    mine = docs.select("doc_id", "lang", "text").filter(remainder("doc_id").isin(*folds))
+    logits = with_score(mine, model, "_logit", logit=True).select("doc_id", F.coalesce("lang", F.lit("")).alias("_lang"), "_logit")
+    rows = settle(logits.join(labelled(labels, folds), "doc_id").select("_lang", "_logit", (F.col("_toxic") > 0).cast("long").alias("_toxic")))
+    sums = rows.agg(F.sum("_toxic"), F.count(F.lit(1)), F.avg("_logit"), F.stddev_pop("_logit")).first()
+    if not 0 < (sums[0] or 0) < sums[1]:
+        return False
+    spread = max(sums[3], 1e-6)
+    # the empty group holds all rows, each other group one language
+    groups = F.explode(F.array(F.lit(""), F.concat(F.lit("="), "_lang"))).alias("_group")
+    found = {r["_group"]: r for r in best_cuts(rows.select(groups, "_logit", "_toxic"), sums[2], spread)}
+    model.centre, model.slope = found.pop("")["cut"], 4.0 / spread
+    for name, r in sorted(found.items()):
+        if r["toxic"] >= MIN_TOXIC and r["total"] - r["toxic"] >= MIN_TOXIC:
+            model.thresholds[name[1:]] = model.score(r["cut"])
+    return True
+
+
 def fit(docs: DataFrame, labels: DataFrame, epochs: int = EPOCHS, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> Model:
     """The calibrated model.  Without labels of both classes every score is the share of toxic labels."""
-    sample = training_sample(docs, labels, max_rows, max_chars)
-    learn = [r for r in sample if r[0] != 4] or sample
-    hold = [r for r in sample if r[0] == 4]
+    learn = training_sample(docs, labels, max_rows, max_chars) or training_sample(docs, labels, max_rows, max_chars, CALIBRATION_FOLDS)
     y = np.array([r[3] for r in learn], dtype=np.float32)
     if not len(y) or y.min() == y.max():
         empty = np.zeros
         return Model(empty((BUCKETS + 1, DIM), np.float32), empty((DIM, _OFFSETS * FILTERS), np.float32),
                      empty(len(WIDTHS) * FILTERS, np.float32), empty(len(WIDTHS) * FILTERS, np.float32), 0.0,
                      constant=float(y.mean()) if len(y) else 0.0)
-    if len({r[3] for r in hold}) < 2:
-        hold = learn
     model = train([r[2] for r in learn], y, epochs)
-    del learn, sample
-    scorer = Scorer(model)
-    logits = np.array([scorer.logit(r[2]) for r in hold])
-    calibrate(model, logits, np.array([r[3] for r in hold], dtype=float), [r[1] for r in hold])
+    del learn
+    if not calibrate(model, docs, labels, CALIBRATION_FOLDS):
+        calibrate(model, docs, labels, FIT_FOLDS + CALIBRATION_FOLDS)
     return model
 
 
@@ -330,15 +367,16 @@ def _threshold(model: Model, lang: F.Column) -> F.Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), F.coalesce(lang, F.lit(""))), F.lit(0.5))
 
 
-def with_score(docs: DataFrame, model: Model, name: str) -> DataFrame:
-    """``docs`` and the score of its text, null and empty texts included."""
+def with_score(docs: DataFrame, model: Model, name: str, logit: bool = False) -> DataFrame:
+    """``docs`` and the score (or logit) of its text, null and empty texts included."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for b in batches:
-            scores = pa.array([scorer.score(t.as_py()) for t in b.column(at)], type=pa.float64())
+            score = scorer.logit if logit else scorer.score
+            scores = pa.array([score(t.as_py()) for t in b.column(at)], type=pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, scores], names=[*b.schema.names, name])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))

@@ -103,3 +103,29 @@ def test_sample_is_bounded_and_leaves_held_out_rows_alone(spark):
 def test_best_threshold():
     assert 2 < X.best_threshold(np.array([1.0, 5, 2, 4]), np.array([0.0, 1, 0, 1])) < 4
     assert X.best_threshold(np.array([1.0, 1.0]), np.array([1.0, 1.0])) < 1
+
+
+def test_cuts_of_all_rows_match_the_search_in_memory(spark):
+    rnd = random.Random(3)
+    rows = [(g, round(rnd.gauss(2 * y, 1.5), rnd.choice([1, 6])) * (50 if i == 7 else 1), y)
+            for g in ("", "=en", "=fr") for i, y in enumerate([int(rnd.random() < 0.2) for _ in range(400)])]
+    rows += [("=one", 1.0, 1), ("=one", 1.0, 0), ("=flat", 5.0, 1)]
+    got = {r["_group"]: r for r in X.best_cuts(spark.createDataFrame(rows, "_group string, _logit double, _toxic long"), 0.3, 1.7)}
+    for g in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == g]
+        assert got[g]["cut"] == X.best_threshold(np.array([r[1] for r in own]), np.array([r[2] for r in own], float))
+        assert (got[g]["toxic"], got[g]["total"]) == (sum(r[2] for r in own), len(own))
+
+
+def test_thresholds_cover_all_labelled_rows_whatever_the_sample(spark):
+    rows, labels = corpus(1200)
+    docs, lab = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = X.fit(docs, lab, epochs=2, max_rows=60)
+    truth = {d: t for d, _, t in labels}
+    held = [(r[2] or "", X.Scorer(model).logit(r[1]), truth[r[0]]) for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 4]
+    assert set(model.thresholds) == {"xx", ""}
+    assert np.isclose(model.centre, X.best_threshold(np.array([h[1] for h in held]), np.array([h[2] for h in held], float)), atol=1e-4)
+    for name, cut in model.thresholds.items():
+        own = [h for h in held if h[0] == name]
+        assert sum(h[2] for h in own) >= X.MIN_TOXIC
+        assert np.isclose(cut, model.score(X.best_threshold(np.array([h[1] for h in own]), np.array([h[2] for h in own], float))), atol=1e-4)
