@@ -35,7 +35,8 @@ WIDTHS = (1, 2, 3)
 FILTERS = 16
 DIM = 16
 BUCKETS = 1 << 16
-#: The fit reads at most this many labelled rows and this many characters of text (whole rows, in hash order).
+#: The fit reads at most this many labelled rows (in hash order) and this many characters of text (whole rows, the
+#: longest of those left out first, so a long text displaces no other).
 MAX_ROWS = 6_000
 MAX_CHARS = 32_000_000
 EPOCHS = 6
@@ -289,14 +290,19 @@ def labelled(labels: DataFrame, folds: tuple) -> DataFrame:
 
 def training_sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS,
                     folds: tuple = FIT_FOLDS) -> list:
-    """(fold, lang, text, toxic) of a bounded sample of the labelled rows of ``folds``."""
+    """(fold, lang, text, toxic) of a bounded sample of the labelled rows of ``folds``; an error if every picked text is too long."""
     known = labelled(labels, folds)
-    narrow = docs.select("doc_id", F.length(F.coalesce(F.col("text"), F.lit(""))).alias("_chars"), F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("_crc"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    narrow_columns = [F.length(text).alias("_chars"), F.crc32(text.cast("binary")).alias("_crc")]
+    narrow = docs.select("doc_id", *narrow_columns)
     picked = (narrow.join(known, "doc_id").withColumn("_h", F.xxhash64(F.lit(11), "doc_id"))
               .orderBy("_h", "doc_id", "_crc").limit(max_rows))  # a bounded table from here on
-    upto = F.sum("_chars").over(Window.orderBy("_h", "doc_id", "_crc").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ids = picked.withColumn("_upto", upto).filter(F.col("_upto") <= max_chars).select("doc_id", "_fold", "_toxic").distinct()
-    rows = docs.select("doc_id", "lang", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "_fold", "lang", "text", "_toxic").collect()
+    upto = F.sum("_chars").over(Window.orderBy("_chars", "_h", "doc_id", "_crc").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ids = picked.withColumn("_upto", upto).filter(F.col("_upto") <= max_chars).select("doc_id", "_chars", "_crc", "_fold", "_toxic").distinct()
+    texts = docs.select("doc_id", "lang", "text", *narrow_columns)
+    rows = texts.join(F.broadcast(ids), ["doc_id", "_chars", "_crc"]).select("doc_id", "_fold", "lang", "text", "_toxic").collect()
+    if not rows and not picked.isEmpty():
+        raise ValueError(f"no labelled text fits the training sample of {max_chars} characters")
     rows.sort(key=lambda r: (r["doc_id"], r["text"] or "", r["lang"] or ""))
     return [(r["_fold"], r["lang"], r["text"], int(r["_toxic"] > 0)) for r in rows]
 

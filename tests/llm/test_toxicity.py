@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from patchlens.llm import toxicity as X
@@ -129,3 +130,19 @@ def test_thresholds_cover_all_labelled_rows_whatever_the_sample(spark):
         own = [h for h in held if h[0] == name]
         assert sum(h[2] for h in own) >= X.MIN_TOXIC
         assert np.isclose(cut, model.score(X.best_threshold(np.array([h[1] for h in own]), np.array([h[2] for h in own], float))), atol=1e-4)
+
+
+def test_long_texts_do_not_displace_the_others(spark):
+    rows, labels = corpus(300)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    short = X.training_sample(spark.createDataFrame(rows, DOCS), lab)
+    fit_ids = [r[0] for r in rows if zlib.crc32(str(r[0]).encode()) % 5 in (1, 2, 3)]
+    assert len(short) == len(fit_ids)
+    budget = sum(len(r[2]) for r in short)
+    # a copy of each fifth id has a very long text: its row goes, the id's short row stays
+    long = [(i, "long " * budget, "en", "s", 0) for i in fit_ids[::5]]
+    docs = spark.createDataFrame(rows + long, DOCS)
+    assert sorted(r[2] for r in X.training_sample(docs, lab, max_chars=budget)) == sorted(r[2] for r in short)
+    only = spark.createDataFrame(long, DOCS)
+    with pytest.raises(ValueError, match="training sample"):
+        X.fit(only, lab, max_chars=budget)
