@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchlens.llm import ann, decontam, licenses, mixing, ring, rollup, simhash, template, toxicity, warc
+from patchlens.llm import (ann, decontam, lexical, licenses, mixing, packing, ring, rollup, simhash, template, toxicity, warc,
+                           whitening)
 from patchlens.llm.common import read, settle, shared_folder, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +152,44 @@ def op9_html_extraction(spark, sf_dir):
 @query("op10_decontamination")
 def op10_decontamination(spark, sf_dir):
     return decontam.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op11_packing")
+def op11_packing(spark, sf_dir):
+    folder = shared_folder(spark, "packing")
+    pieces = packing.pack(read(spark, sf_dir, "documents"), folder)
+    rows = settle(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"))
+    packing.drop(spark, folder)
+    return rows
+
+
+@query("op12_whitening")
+def op12_whitening(spark, sf_dir):
+    rows = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return rows.select("vec_id", "component", "n", F.expr("try_cast(deviation as bigint)").alias("deviation"), "whitened", "explained", "identity_error")
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id,
+                  regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL),
+c AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+t AS (SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(w) AS term FROM d) GROUP BY k, term),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+q AS (SELECT item_id, text, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+      FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+qt AS (SELECT item_id, text, term, count(*) AS r FROM (SELECT item_id, text, unnest(w) AS term FROM q) GROUP BY item_id, text, term),
+s AS (SELECT qt.item_id, qt.text, d.k, any_value(d.doc_id) AS doc_id,
+             CAST(sum(qt.r * CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2 * f.df + 1))) AS BIGINT)
+                      * ((1000000000 * t.tf) // (1000 * t.tf + 12 * (75 + (25 * len(d.w) * n_docs) // n_terms)))) AS BIGINT) AS score
+      FROM qt JOIN t USING (term) JOIN f USING (term) JOIN d USING (k) CROSS JOIN c GROUP BY qt.item_id, qt.text, d.k)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+WHERE rank <= 20
+"""
+
+
+@query("op13_lexical_search", sql=OP13_SQL)
+def op13_lexical_search(spark, sf_dir):
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
