@@ -35,7 +35,7 @@ SEQUENCE = 2048
 END_ID = 1
 TOKENIZER = "byte_bpe_50k.json"
 #: Units that a worker remembers before it starts anew.
-UNITS = 400_000
+UNITS = 500_000
 #: Characters encoded at a time, and ids that one output batch holds before it is sent.
 CHARS = 1 << 21
 BATCH_IDS = 1 << 20
@@ -45,7 +45,6 @@ _LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A space and letters that end before an ASCII character or the text's end; else white space and what follows it.
 _UNIT = re.compile(rf" [{_LETTERS}]++(?![^\x00-\x7f])|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-_WORD = re.compile(rf" [{_LETTERS}]+\Z")
 
 _HELD = "doc_id long, part int, at long, n long, ids binary"
 _PIECE = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, boundary boolean, ids binary"
@@ -57,6 +56,18 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class _Known(dict):
+    """The number of every unit, given out in order of appearance; ``new`` lists those not learnt yet."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self.new.append(unit)
+        n = self[unit] = len(self)
+        return n
+
+
 class UnitEncoder:
     """Ids of whole texts, as the tokenizer gives them without special tokens added."""
 
@@ -76,7 +87,7 @@ class UnitEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Known()
         self.ids = np.empty(0, np.uint32)
         self.starts = np.empty(0, np.int64)
         self.lengths = np.empty(0, np.int64)
@@ -85,39 +96,39 @@ class UnitEncoder:
         """All ids of ``texts``, one text after another, and their numbers."""
         got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         sizes = np.fromiter(map(len, got), np.int64, len(got))
-        return np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(sizes.sum())), sizes
+        return np.concatenate([np.empty(0, np.uint32), *[np.array(i, np.uint32) for i in got]]), sizes
 
     def _learn(self, new: list[str]) -> None:
-        # a space with letters is cut off wherever it stands, so many such units are encoded as one text
-        words = [u for u in new if _WORD.match(u)]
-        others = [u for u in new if not _WORD.match(u)]
+        """Ids of the units numbered last, in their order."""
+        # the pattern cuts before a space and a visible character wherever they stand: such units are encoded as one text
+        joins = np.fromiter((u[0] == " " and u[1:2].isalnum() for u in new), bool, len(new))
+        words = [u for u, j in zip(new, joins) if j]
         ids, _ = self._encode(["".join(words[i: i + 1000]) for i in range(0, len(words), 1000)])
         ends = np.cumsum(np.fromiter((len(u.encode()) for u in words), np.int64, len(words)))
-        sizes = np.diff(np.searchsorted(np.cumsum(self.token_bytes[ids]), ends, side="right"), prepend=0)
-        more, their = self._encode(others)
-        ids, sizes = np.concatenate([ids, more]), np.concatenate([sizes, their])
-        base = len(self.lengths)
-        self.known.update(zip(words + others, range(base, base + len(new))))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        last = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends, side="right")
+        more, their = self._encode([u for u, j in zip(new, joins) if not j])
+        sizes, starts = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
+        sizes[joins], starts[joins] = np.diff(last, prepend=0), np.concatenate([[0], last])[:-1]
+        sizes[~joins], starts[~joins] = their, len(ids) + np.cumsum(their) - their
+        self.starts = np.concatenate([self.starts, len(self.ids) + starts])
         self.lengths = np.concatenate([self.lengths, sizes])
-        self.ids = np.concatenate([self.ids, ids])
+        self.ids = np.concatenate([self.ids, ids, more])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts``, one text after another, and their numbers."""
-        per_text = [_UNIT.findall(t) for t in texts]
-        units = list(itertools.chain.from_iterable(per_text))
         if len(self.known) > self.units:
             self._forget()
-        at = list(map(self.known.get, units))
-        if None in at:
-            self._learn(list({u for u, i in zip(units, at) if i is None}))
-            at = list(map(self.known.__getitem__, units))
-        at = np.array(at, np.int64)
+        per_text = [_UNIT.findall(t) for t in texts]
+        cuts = np.cumsum(np.fromiter(map(len, per_text), np.int64, len(per_text)))
+        units = itertools.chain.from_iterable(per_text)
+        at = np.fromiter(map(self.known.__getitem__, units), np.int64, int(cuts[-1]) if len(cuts) else 0)
+        if self.known.new:
+            self._learn(self.known.new)
+            self.known.new = []
         sizes = self.lengths[at]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.ids[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(total)]
-        cuts = np.cumsum(np.fromiter(map(len, per_text), np.int64, len(per_text)))
         return ids, np.diff(np.concatenate([[0], ends])[cuts], prepend=0)
 
 
