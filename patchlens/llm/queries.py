@@ -123,17 +123,20 @@ def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
-_NOTICES = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in licenses.NOTICES)
+_NOTICES = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in licenses.NOTICES + licenses.SHORT_NOTICES)
 _WORDS = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\pL\\pN]+'), lambda w: w <> '')"
+#: (position, shingle) of every run of k words; k is the template's shingle length, five words at most.
+_GRAMS = "unnest(range(1, len(w) - k + 2)) AS i, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i+k-1], ' '))) AS s"
 OP8_SQL = f"""
-WITH t AS (SELECT template_id, {_WORDS} AS w FROM (VALUES {_NOTICES}) v(template_id, text)),
+WITH t AS (SELECT template_id, w, least({licenses.SHINGLE}, len(w)) AS k
+           FROM (SELECT template_id, {_WORDS} AS w FROM (VALUES {_NOTICES}) v(template_id, text)) WHERE len(w) > 0),
 d AS (SELECT DISTINCT doc_id, text FROM documents),
-dw AS (SELECT doc_id, text, {_WORDS} AS w FROM d),
-ts AS (SELECT DISTINCT template_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM t),
+dw AS (SELECT doc_id, text, k, w FROM (SELECT doc_id, text, {_WORDS} AS w FROM d), (SELECT DISTINCT k FROM t)),
+ts AS (SELECT DISTINCT template_id, k, s FROM (SELECT template_id, k, {_GRAMS} FROM t)),
 n AS (SELECT template_id, count(*) AS n FROM ts GROUP BY template_id),
-ds AS (SELECT doc_id, text, unnest(range(1, len(w) - 3)) AS i, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM dw),
+ds AS (SELECT doc_id, text, k, {_GRAMS} FROM dw),
 m AS (SELECT doc_id, text, template_id, CAST(count(DISTINCT s) AS INTEGER) AS matched, CAST(min(i) - 1 AS INTEGER) AS first_word
-      FROM ds JOIN ts USING (s) GROUP BY doc_id, text, template_id)
+      FROM ds JOIN ts USING (k, s) GROUP BY doc_id, text, template_id)
 SELECT doc_id, template_id, matched, matched / CAST(n AS DOUBLE) AS containment, first_word
 FROM m JOIN n USING (template_id) WHERE matched / CAST(n AS DOUBLE) >= {licenses.CONTAINMENT}
 """
