@@ -10,11 +10,10 @@ from __future__ import annotations
 import random
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, NaiveBayes, OneVsRest,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (CountVectorizer, IDF, NGram, RegexTokenizer, SQLTransformer, StandardScaler,
-                                StopWordsRemover, StringIndexer, UnivariateFeatureSelector, VectorAssembler)
+                                StopWordsRemover, UnivariateFeatureSelector, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -42,15 +41,6 @@ def random_forest(label: str = "label", weight: str | None = None, trees: int =
     return rf
 
 
-def boosted_trees(label: str = "label", iters: int = 100, depth: int = 6, step: float = 0.1, subsample: float = 1.0,
-                  seed: int = 42, weight: str | None = None) -> GBTClassifier:
-    g = GBTClassifier(labelCol=label, featuresCol="features", maxIter=iters, maxDepth=depth, stepSize=step,
-                      subsamplingRate=subsample, seed=seed)
-    if weight:
-        g.setWeightCol(weight)
-    return g
-
-
 def numeric_estimator(cols: list[str], estimator, scale: bool = False) -> Pipeline:
     stages = [assembler(cols, "raw_features" if scale else "features")]
     if scale:
@@ -116,25 +106,6 @@ def random_search(train: DataFrame, pipeline: Pipeline, grid, fold_col: str, n_i
     return cv.fit(train)
 
 
-def multiclass_forest(label_col: str, cols: list[str], trees: int = 100, depth: int = 8, seed: int = 42) -> Pipeline:
-    """String label -> index (alphabetical) -> multi-class random forest."""
-    return Pipeline(stages=[
-        StringIndexer(inputCol=label_col, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep"),
-        assembler(cols),
-        RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed),
-    ])
-
-
-def multiclass_boosted(label_col: str, cols: list[str], iters: int = 200, depth: int = 8, seed: int = 42) -> Pipeline:
-    """One-vs-rest boosted trees (MLlib GBT is binary)."""
-    return Pipeline(stages=[
-        StringIndexer(inputCol=label_col, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep"),
-        assembler(cols),
-        OneVsRest(classifier=GBTClassifier(maxIter=iters, maxDepth=depth, seed=seed, subsamplingRate=0.8,
-                                           featureSubsetStrategy="0.8")),
-    ])
-
-
 def traditional_regressor(label: str, trees: int = 300, depth: int = 20, seed: int = 42) -> RandomForestRegressor:
     """The plain evaluator: one forest."""
     return RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, minInstancesPerNode=2, seed=seed)

@@ -11,14 +11,17 @@ lazily read the split frame from the checkpoint folder instead.
 
 from __future__ import annotations
 
+import random
 from decimal import Decimal
 
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from patchlens import config
+from patchlens.operators import boosting as B
 from patchlens.operators import features as FE
 from patchlens.operators import generate as G
+from patchlens.operators import hierarchy as H
 from patchlens.operators import labels as L
 from patchlens.operators import matrix as M
 from patchlens.operators import metrics as MT
@@ -55,11 +58,18 @@ def train_rf(spark, sf_dir):
     return _score(model, m.filter("split <> 'train'"))
 
 
-# two boosted-tree configurations (the analysed tool trains two boosting libraries)
-# MLlib boosts one tree after another, each in several jobs, so the registered queries boost
-# QUERY_ITERS times; the operators' own defaults are the analysed tool's sizes
-QUERY_ITERS = 10
-GBT_CONFIGS = {"xgboost": dict(iters=QUERY_ITERS, depth=3, step=0.1), "lightgbm": dict(iters=QUERY_ITERS, depth=6, step=0.1)}
+# two boosted-tree configurations (the analysed tool trains two boosting libraries): level by level, and best leaf first
+BOOST_ROUNDS = 100
+LEAF_WISE = dict(depth=-1, num_leaves=31, reg_lambda=0.0, min_child_weight=1e-3, min_child_rows=20)
+GBT_CONFIGS = {"xgboost": B.Boost(rounds=BOOST_ROUNDS, depth=3), "lightgbm": B.Boost(rounds=BOOST_ROUNDS, **LEAF_WISE)}
+BINARY = ["0", "1"]
+
+
+def fit_boosted(rows, cols, configs) -> B.Boosted:
+    """All configurations in one boosting run over the labelled, weighted rows."""
+    long = rows.withColumn("_model", F.explode(F.array(*[F.lit(n) for n in configs])))
+    return B.fit(long, cols, F.col("accepted").cast("string"), configs, model=F.col("_model"), weight=F.col("weight"),
+                 key=F.xxhash64("patch_id"), classes={n: BINARY for n in configs})
 
 
 @query("train_rf_volume")
@@ -79,13 +89,13 @@ def train_rf_volume(spark, sf_dir):
 
 @query("train_gbt")
 def train_gbt(spark, sf_dir):
+    """Both boosted configurations at 100 rounds, fitted in one run and scored in one pass."""
     m, cols = _matrix(spark, sf_dir)
-    out = None
-    for name, cfg in GBT_CONFIGS.items():
-        model = MD.numeric_estimator(cols, MD.boosted_trees(weight="weight", **cfg)).fit(m.filter("split = 'train'"))
-        scored = _score(model, m.filter("split <> 'train'")).withColumn("config", F.lit(name))
-        out = scored if out is None else out.unionByName(scored)
-    return out
+    scored = fit_boosted(m.filter("split = 'train'"), cols, GBT_CONFIGS).score(
+        m.filter("split <> 'train'"), {n: n for n in GBT_CONFIGS})
+    stack = ", ".join(f"'{n}', {n}" for n in GBT_CONFIGS)
+    return scored.selectExpr("patch_id", "split", "accepted", f"stack({len(GBT_CONFIGS)}, {stack}) AS (config, s)").select(
+        "patch_id", "split", "accepted", F.col("s.label").cast("double").alias("prediction"), F.col("s.probability")[1].alias("p"), "config")
 
 
 def _text_split(spark, sf_dir):
@@ -130,10 +140,27 @@ def random_search(spark, sf_dir, trees=(20, 40), depths=(10, 20, 30)):
 
 
 @query("random_search_boosted")
-def random_search_boosted(spark, sf_dir, iters=(5, 10), depths=(3, 6, 9), steps=(0.01, 0.1)):
-    """Boosted trees with balanced weights: 10 of 12 points (iterations x depth x learning rate)."""
-    return _search(spark, sf_dir, MD.boosted_trees(weight="weight"), lambda g: [
-        (g.maxIter, list(iters)), (g.maxDepth, list(depths)), (g.stepSize, list(steps))])
+def random_search_boosted(spark, sf_dir, iters=(20, 40), depths=(3, 6, 9), steps=(0.01, 0.1), n_iter: int = 10, folds: int = 3):
+    """Boosted trees with balanced weights: 10 of 12 points (rounds x depth x learning rate), all fits in one boosting run."""
+    m, cols = _matrix(spark, sf_dir)
+    train = SP.stratified_kfold(m.filter("split = 'train'"), "patch_id", "accepted", k=folds).checkpoint(eager=True)
+    points = [(i, d, r) for i in iters for d in depths for r in steps]
+    picked = random.Random(42).sample(points, min(n_iter, len(points)))
+    configs = {f"{c}-{f}": B.Boost(rounds=i, depth=d, rate=r) for c, (i, d, r) in enumerate(picked) for f in range(folds)}
+    name = F.concat(F.col("_c").cast("string"), F.lit("-"), F.col("_f").cast("string"))
+    use = train.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(len(picked) - 1)))).withColumn(
+        "_f", F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))).filter(F.col("_f") != F.col("fold"))
+    model = B.fit(use, cols, F.col("accepted").cast("string"), configs, model=name, weight=F.col("weight"), key=F.xxhash64("patch_id"),
+                  classes={n: BINARY for n in configs})
+    # a row is scored by the models of its own fold
+    own = {f"c{c}": F.concat(F.lit(f"{c}-"), F.col("fold").cast("string")) for c in range(len(picked))}
+    stack = ", ".join(f"{c}, c{c}" for c in range(len(picked)))
+    scored = model.score(train.select("patch_id", "accepted", "fold", *cols), own).selectExpr(
+        "accepted", "fold", f"stack({len(picked)}, {stack}) AS (candidate, s)").withColumn("_pred", F.col("s.label") == "1")
+    f1 = MT.confusion(scored, "accepted", "_pred", by=["candidate", "fold"]).groupBy("candidate").agg(F.avg("f1").alias("mean_f1"))
+    params = spark.createDataFrame([(c, str({"rounds": i, "depth": d, "rate": r})) for c, (i, d, r) in enumerate(picked)],
+                                   "candidate int, params string")
+    return params.join(f1, "candidate").select("candidate", "params", "mean_f1")
 
 
 @query("grid_search_text")
@@ -166,13 +193,13 @@ def fitted_scores(spark, sf_dir):
     """(patch, split, label, model, p) of three fits, the same in wide form, and the ensemble weights."""
     m, cols = _matrix(spark, sf_dir)
     train, rest = m.filter("split = 'train'"), m.filter("split <> 'train'")
-    kinds = {"random_forest": MD.random_forest(weight="weight")} | {
-        name: MD.boosted_trees(weight="weight", **cfg) for name, cfg in GBT_CONFIGS.items()}
-    fits = MD.parallel_fits(lambda e: MD.numeric_estimator(cols, e).fit(train), list(kinds.values()), parallelism=3)
+    kinds = ["random_forest", *GBT_CONFIGS]
+    fits = MD.parallel_fits(lambda f: f(), [
+        lambda: MD.numeric_estimator(cols, MD.random_forest(weight="weight")).fit(train),
+        lambda: fit_boosted(train, cols, GBT_CONFIGS)], parallelism=2)
     wide = rest.select("patch_id", "split", "accepted", *cols)
-    for name, model in zip(kinds, fits):
-        scored = MD.positive_probability(model.transform(wide), name)
-        wide = scored.drop("features", "rawPrediction", "probability", "prediction")
+    wide = MD.positive_probability(fits[0].transform(wide), "random_forest").drop("features", "rawPrediction", "probability", "prediction")
+    wide = fits[1].score(wide, {n: n for n in GBT_CONFIGS}).withColumns({n: F.col(f"{n}.probability")[1] for n in GBT_CONFIGS})
     wide = wide.select("patch_id", "split", "accepted", *kinds).checkpoint(eager=True)
     stack = ", ".join(f"'{k}', {k}" for k in kinds)
     long = wide.selectExpr("patch_id", "split", "accepted", f"stack({len(kinds)}, {stack}) AS (model, p)")
@@ -187,89 +214,67 @@ def _gen_train(spark, sf_dir):
     return MD.to_double(f, cols).select("patch_id", *[c for c in f.columns if c.startswith("target_")], *cols).checkpoint(eager=True), cols
 
 
+def _train_target(spark, sf_dir, target):
+    f, cols = _gen_train(spark, sf_dir)
+    model = B.fit(f, cols, F.col(target), H.boost(), key=F.xxhash64("patch_id"))
+    return model.score(f, {"s": "model"}).select("patch_id", target, F.col("s.label").alias("prediction"), F.col("s.confidence").alias("confidence"))
+
+
 @query("train_subsystem")
 def train_subsystem(spark, sf_dir):
-    f, cols = _gen_train(spark, sf_dir)
-    model = MD.multiclass_forest("target_subsystem", cols).fit(f)
-    p = MD.max_probability(model.transform(f))
-    return p.select("patch_id", "target_subsystem", "prediction", "confidence")
+    """200 rounds of depth 8 over the subsystem classes, L1 and L2, rows and columns sampled."""
+    return _train_target(spark, sf_dir, "target_subsystem")
 
 
 @query("train_complexity")
-def train_complexity(spark, sf_dir, iters: int = QUERY_ITERS, depth: int = 8):
-    f, cols = _gen_train(spark, sf_dir)
-    model = MD.multiclass_boosted("target_complexity", cols, iters=iters, depth=depth).fit(f)
-    return model.transform(f).select("patch_id", "target_complexity", "prediction")
-
+def train_complexity(spark, sf_dir):
+    """The same booster over the complexity classes."""
+    return _train_target(spark, sf_dir, "target_complexity")
 
-def holdout_accuracy(estimator, rows, target: str, id_col: str = "patch_id") -> float:
-    """Share of held-out rows (20% of each class) whose label a fit on the others predicts."""
-    d = SP.stratified_split(rows, id_col, target, Decimal("0.2"), None)
-    model = estimator.fit(d.filter("split = 'train'"))
-    r = model.transform(d.filter("split = 'test'")).agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("a")).first()
-    return float(r["a"] or 0.0)
 
+def review_targets(spark, sf_dir):
+    """Stand-in for reviewed targets from outside the subject: patch_id and one target column each from three tables' columns."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("patch_id"), F.col("source").alias("target_function"),
+                                                    F.col("lang").alias("target_condition"))
+    ev = table(spark, sf_dir, "events").select(F.col("event_id").alias("_e"), F.col("event_type").alias("target_action"))
+    labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("_l")).agg(F.max("quality").cast("string").alias("target_primary_variable"))
+    return docs.join(ev, F.col("patch_id") == F.col("_e"), "left").join(labels, F.col("patch_id") == F.col("_l"), "left").drop("_e", "_l")
 
-LEVEL2_TARGETS = ["target_primary_variable", "target_function", "target_condition", "target_action"]
 
+# all models of the hierarchy, each also without the held-out rows, boost at once; the operator's default is 200 rounds
+HIERARCHY_ROUNDS = 40
 
-def fit_hierarchy(spark, sf_dir, level2_groups=("scheduler", "memory", "locking")):
-    """Level 1 (subsystem, complexity) for all rows; level 2 per trainable group.
 
-    Accuracies are measured on held-out rows; the models returned are fitted on all rows.
-    """
+def fitted_hierarchy(spark, sf_dir, rounds: int = HIERARCHY_ROUNDS) -> H.Hierarchy:
+    """Both levels on the patch table, level-2 targets from the review table."""
     f, cols = _gen_train(spark, sf_dir)
-    models, rows = {}, []
-    n = f.count()
-    for target in ("subsystem", "complexity"):
-        est = MD.multiclass_forest(f"target_{target}", cols)
-        models[target] = est.fit(f)
-        rows.append((f"{target}_classifier", "all", n, 1, holdout_accuracy(est, f, f"target_{target}")))
-    tg = L.trainable_groups(f.filter(F.col("target_subsystem").isin(*level2_groups)), "target_subsystem", LEVEL2_TARGETS)
-    for r in tg.collect():  # one row per (group, target): bounded
-        name = f"{r['target_subsystem']}_{r['target'].replace('target_', '')}"
-        acc = None
-        if r["trainable"]:
-            sub = f.filter(F.col("target_subsystem") == r["target_subsystem"])
-            est = MD.multiclass_forest(r["target"], cols)
-            models[name] = est.fit(sub)
-            acc = holdout_accuracy(est, sub, r["target"])
-        rows.append((name, r["target_subsystem"], int(r["n_rows"]), int(r["trainable"]), acc))
-    summary = spark.createDataFrame(rows, "model string, grp string, n_rows long, trained int, holdout_accuracy double")
-    return models, summary, cols
+    return H.fit_hierarchy(H.with_targets(f, review_targets(spark, sf_dir), "patch_id"), cols, "patch_id", H.boost(rounds))
 
 
 @query("train_hierarchy")
 def train_hierarchy(spark, sf_dir):
-    _, summary, _ = fit_hierarchy(spark, sf_dir)
-    return summary
+    """Level 1 (subsystem, complexity) for all rows; level 2 per trainable (group, target); held-out accuracies."""
+    return H.summary_table(spark, fitted_hierarchy(spark, sf_dir))
 
 
 def model_batch(spark, sf_dir):
-    """Prompts with labels from the fitted classifiers, decoded, and their largest probability as confidence."""
-    models, summary, cols = fit_hierarchy(spark, sf_dir)
+    """Prompts with labels and confidences of the fitted models of both levels."""
+    model = fitted_hierarchy(spark, sf_dir)
     prompts = G.generation_features(G.prompts_from_ids(table(spark, sf_dir, "documents"), "doc_id"))
-    prompts = MD.to_double(prompts, [c for c in cols if c in prompts.columns])
-    for c in cols:
-        if c not in prompts.columns:
-            prompts = prompts.withColumn(c, F.lit(0.0))
-    out = prompts
-    for target in ("subsystem", "complexity"):
-        mdl = models[target]
-        labels = mdl.stages[0].labels
-        p = MD.max_probability(mdl.transform(out), out=f"conf_{target}")
-        lab = F.element_at(F.array(*[F.lit(x) for x in labels]), (F.col("prediction") + 1).cast("int"))
-        out = p.withColumn(f"pred_{target}", lab).drop("label", "features", "rawPrediction", "probability", "prediction")
-    accs = [r["holdout_accuracy"] for r in summary.filter(F.col("holdout_accuracy").isNotNull()).collect()]
-    return G.generate(out, subsystem=F.col("pred_subsystem"), complexity=F.col("pred_complexity"),
+    missing = [c for c in model.features if c not in prompts.columns]
+    prompts = MD.to_double(prompts.withColumns({c: F.lit(0.0) for c in missing}), model.features)
+    accs = [a for *_, a in model.summary if a is not None]
+    return G.generate(model.predict(prompts), subsystem=F.col("pred_subsystem"), complexity=F.col("pred_complexity"),
                       level1_conf=[F.col("conf_subsystem"), F.col("conf_complexity")],
+                      level2={t: (F.col(f"pred_{t}"), F.col(f"conf_{t}")) for t in H.LEVEL2},
                       model_accuracies=F.array(*[F.lit(a) for a in accs]))
 
 
 @query("generate_model")
 def generate_model(spark, sf_dir):
-    """Generation with fitted level-1 classifiers."""
-    return model_batch(spark, sf_dir).select("prompt_id", "subsystem", "complexity", "code", "confidence", "accuracy_estimate")
+    """Generation with the fitted classifiers of both levels; a target without a model takes the default at confidence 0.3."""
+    return model_batch(spark, sf_dir).select("prompt_id", "subsystem", "complexity", *[f"pred_{t}" for t in H.LEVEL2], "code", "confidence",
+                                             "accuracy_estimate")
 
 
 @query("evaluate_model_batch")
@@ -284,8 +289,10 @@ def feature_importance(spark, sf_dir):
     m, cols = _matrix(spark, sf_dir)
     tr = m.filter("split = 'train'")
     rf = MD.numeric_estimator(cols, MD.random_forest()).fit(tr).stages[-1]
-    gb = MD.numeric_estimator(cols, MD.boosted_trees(iters=QUERY_ITERS, depth=3)).fit(tr).stages[-1]
-    imp = MD.importances(rf, cols, "rf", spark).unionByName(MD.importances(gb, cols, "gbt", spark))
+    gb = fit_boosted(tr, cols, {"xgboost": GBT_CONFIGS["xgboost"]}).importances("xgboost")
+    boosted = spark.createDataFrame([("gbt", i, c, v) for i, (c, v) in enumerate(zip(cols, gb))],
+                                    "model string, position int, feature string, importance double")
+    imp = MD.importances(rf, cols, "rf", spark).unionByName(boosted)
     return imp.groupBy("feature").agg(F.avg("importance").alias("mean_importance")).orderBy(F.desc("mean_importance"), "feature")
 
 
@@ -329,7 +336,7 @@ def _scaled_attention(frames, cols):
 
 # sizes of the registered queries (the operators' defaults are the analysed tool's)
 TRADITIONAL_SIZE = dict(trees=60, depth=15)
-REGRESSOR_SIZES = dict(trees=40, extra_trees=30, iters=QUERY_ITERS, depth=12, gbt_depth=6)
+REGRESSOR_SIZES = dict(trees=40, extra_trees=30, iters=10, depth=12, gbt_depth=6)
 
 
 def fit_evaluators(train, val, test, cols):
@@ -442,29 +449,55 @@ def _by_kind(rows) -> dict:
     return {r["model"]: {k: v for k, v in r.asDict().items() if k not in drop and v is not None} for r in rows}
 
 
-def _loop_pipeline(kind: str, p: dict, cols: list[str], per_tree: int = 1) -> Pipeline:
-    """The estimator of a parameter map; ``select_k`` puts the ANOVA selection in front of it.
-
-    ``per_tree`` says how many of the map's estimators stand for one boosting iteration.
-    """
-    sub = min(1.0, float(p.get("subsample") or 1.0))
+def _loop_forest(p: dict, cols: list[str]) -> Pipeline:
+    """The forest of a parameter map; ``select_k`` puts the ANOVA selection in front of it."""
     depth = int(p.get("max_depth", -1))
-    if kind == TU.RF:
-        est = MD.random_forest(weight="weight", trees=int(p["n_estimators"]), depth=depth if depth > 0 else 30, subsamplingRate=sub,
-                               minInstancesPerNode=max(1, int(p.get("min_samples_split", 2)) // 2))
-    else:
-        est = MD.boosted_trees(weight="weight", iters=max(1, int(p["n_estimators"]) // per_tree), depth=depth if depth > 0 else 6,
-                               step=float(p.get("learning_rate", 0.1)), subsample=sub)
-        # MLlib's trees have no penalties; a gain below the penalty's share does not split a node
-        est.setMinInfoGain(1e-4 * (float(p.get("reg_alpha") or 0.0) + float(p.get("reg_lambda") or 0.0)))
+    est = MD.random_forest(weight="weight", trees=int(p["n_estimators"]), depth=depth if depth > 0 else 30,
+                           subsamplingRate=min(1.0, float(p.get("subsample") or 1.0)),
+                           minInstancesPerNode=max(1, int(p.get("min_samples_split", 2)) // 2))
     if p.get("select_k"):
         sel = MD.select_k_best(None, int(p["select_k"])).setFeaturesCol("all_features").setOutputCol("features")
         return Pipeline(stages=[MD.assembler(cols, "all_features"), sel, est])
     return MD.numeric_estimator(cols, est)
 
 
+def loop_boost(kind: str, p: dict) -> B.Boost:
+    """The booster of a parameter map; unset penalties are the kind's defaults."""
+    depth = int(p.get("max_depth", -1))
+    base = dict(rounds=int(p["n_estimators"]), depth=depth, rate=float(p.get("learning_rate", 0.1)),
+                subsample=min(1.0, float(p.get("subsample") or 1.0)), reg_alpha=float(p.get("reg_alpha") or 0.0))
+    if kind == TU.XGB:
+        return B.Boost(**base, reg_lambda=float(p.get("reg_lambda", 1.0)))
+    return B.Boost(**{**LEAF_WISE, **base, "num_leaves": int(p.get("num_leaves") or 31), "reg_lambda": float(p.get("reg_lambda", 0.0))})
+
+
+def _loop_scores(tasks: dict, rows, val, cols) -> dict[str, float]:
+    """F1 of the positive class on ``val`` of each kind's parameter map, fitted on ``rows``; the boosted kinds in one run."""
+    out = {}
+
+    def forest():
+        if TU.RF in tasks:
+            out[TU.RF] = float(MD.f1_evaluator().evaluate(_loop_forest(tasks[TU.RF], cols).fit(rows).transform(val)))
+
+    def boosted():
+        kinds = {k: loop_boost(k, p) for k, p in tasks.items() if k != TU.RF}
+        k_best = [int(tasks[k]["select_k"]) for k in kinds if tasks[k].get("select_k")]
+        if kinds:
+            used = cols
+            if k_best:  # the move selects for both kinds alike
+                sel = MD.select_k_best(None, max(k_best)).fit(MD.assembler(cols).transform(rows))
+                used = [cols[i] for i in sel.selectedFeatures]
+            scored = fit_boosted(rows, used, kinds).score(val, {k: k for k in kinds})
+            long = scored.selectExpr("accepted", f"stack({len(kinds)}, {', '.join(f"'{k}', {k}" for k in kinds)}) AS (model, s)")
+            rates = MT.confusion(long.withColumn("_pred", F.col("s.label") == "1"), "accepted", "_pred", by=["model"])
+            out.update({r["model"]: float(r["f1"] or 0.0) for r in rates.collect()})
+
+    MD.parallel_fits(lambda f: f(), [forest, boosted], parallelism=2)
+    return out
+
+
 @query("tuning_loop")
-def tuning_loop(spark, sf_dir, cycles: int | None = None, baseline_rows: int = BASELINE_ROWS, per_tree: int = 10):
+def tuning_loop(spark, sf_dir, cycles: int | None = None, baseline_rows: int = BASELINE_ROWS):
     """Weakened models, a baseline on at most ``baseline_rows`` rows, then accept-if-better cycles with real fits.
 
     Every cycle applies the next strategy to each of the three kinds that has
@@ -473,23 +506,16 @@ def tuning_loop(spark, sf_dir, cycles: int | None = None, baseline_rows: int = B
     """
     m, cols = _matrix(spark, sf_dir)
     train, val = m.filter("split = 'train'"), m.filter("split = 'val'")
-    ev = MD.f1_evaluator()
     params = _by_kind(TU.weaken(_param_rows(spark, LOOP_START)).collect())
-    subset = SP.sample_cap(train, "patch_id", baseline_rows)
-
-    def score(task):
-        kind, p, rows = task
-        return float(ev.evaluate(_loop_pipeline(kind, p, cols, per_tree).fit(rows).transform(val)))
-
-    current = dict(zip(params, MD.parallel_fits(score, [(k, p, subset) for k, p in params.items()], parallelism=3)))
-    rows = [(kind, 0, "baseline", f1) for kind, f1 in current.items()]
+    current = _loop_scores(params, SP.sample_cap(train, "patch_id", baseline_rows), val, cols)
+    rows = [(kind, 0, "baseline", current[kind]) for kind in params]
     for it in range(1, (len(config.STRATEGIES) if cycles is None else cycles) + 1):
         if max(current.values()) > config.STOP_F1:
             break
         strategy = config.STRATEGIES[(it - 1) % len(config.STRATEGIES)]
         moved = TU.apply_moves(_param_rows(spark, params), len(cols), [strategy]).filter("applicable = 1").collect()
         tried = _by_kind(moved)
-        for kind, f1 in zip(tried, MD.parallel_fits(score, [(k, p, train) for k, p in tried.items()], parallelism=3)):
+        for kind, f1 in _loop_scores(tried, train, val, cols).items():
             rows.append((kind, it, strategy, f1))
             if f1 - current[kind] > config.ACCEPT_MIN_GAIN:  # same rule as the history fold below
                 params[kind], current[kind] = params[kind] | tried[kind], f1
