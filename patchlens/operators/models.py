@@ -12,7 +12,7 @@ import random
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import (CountVectorizer, IDF, NGram, RegexTokenizer, SQLTransformer, StandardScaler,
+from pyspark.ml.feature import (NGram, SQLTransformer, StandardScaler,
                                 StopWordsRemover, UnivariateFeatureSelector, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patchlens.config import ENGLISH_STOP_WORDS
+from patchlens.operators.tfidf import TfidfVectorizer
 
 
 def assembler(cols: list[str], out: str = "features") -> VectorAssembler:
@@ -50,9 +51,9 @@ def numeric_estimator(cols: list[str], estimator, scale: bool = False) -> Pipeli
 
 def text_stages(text: str, bigrams: bool = True) -> list:
     """Clean -> tokens -> stop words -> (uni + bi)-grams in column ``_terms`` (transformers only)."""
-    stages = [
-        SQLTransformer(statement=f"SELECT *, CASE WHEN {text} IS NULL OR trim({text}) = '' THEN 'unknown' ELSE {text} END AS _clean FROM __THIS__"),
-        RegexTokenizer(inputCol="_clean", outputCol="_tok", pattern="[a-z_][a-z0-9_]*", gaps=False, toLowercase=True),
+    known = f"CASE WHEN {text} IS NULL OR trim({text}) = '' THEN 'unknown' ELSE {text} END"
+    stages = [  # the tokens of ``textvec.tokenize``
+        SQLTransformer(statement=f"SELECT *, filter(split(lower({known}), '[^a-z0-9_]+'), t -> t >= '_') AS _tok FROM __THIS__"),
         StopWordsRemover(inputCol="_tok", outputCol="_tokens", stopWords=ENGLISH_STOP_WORDS),
     ]
     if bigrams:
@@ -65,20 +66,15 @@ def text_stages(text: str, bigrams: bool = True) -> list:
 
 def text_model_stages(label: str = "label", kind: str = "logistic", vocab_size: int = 10000,
                       max_iter: int = 1000) -> list:
-    """Counts -> IDF -> classifier over ``_terms``.
-
-    Note: Spark's IDF is ln((n + 1) / (df + 1)) without the +1 of the
-    smoothed form; the exact smoothed TF-IDF is ``operators.textvec.tfidf``.
-    """
+    """Exact smoothed TF-IDF -> classifier over ``_terms``."""
     clf = (LogisticRegression(labelCol=label, featuresCol="features", maxIter=max_iter) if kind == "logistic"
            else NaiveBayes(labelCol=label, featuresCol="features", modelType="multinomial"))
-    return [CountVectorizer(inputCol="_terms", outputCol="_tf", minDF=2.0, maxDF=0.95, vocabSize=vocab_size),
-            IDF(inputCol="_tf", outputCol="features"), clf]
+    return [TfidfVectorizer(inputCol="_terms", outputCol="features", maxFeatures=vocab_size), clf]
 
 
 def text_estimator(text: str, label: str = "label", kind: str = "logistic", vocab_size: int = 10000,
                   bigrams: bool = True) -> Pipeline:
-    """Tokenisation + counts + IDF + classifier as one pipeline."""
+    """Tokenisation + TF-IDF + classifier as one pipeline."""
     return Pipeline(stages=text_stages(text, bigrams) + text_model_stages(label, kind, vocab_size))
 
 

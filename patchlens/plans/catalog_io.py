@@ -12,6 +12,7 @@ from decimal import Decimal
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from patchlens.operators import boosting as B
 from patchlens.operators import matrix as M
 from patchlens.operators import models as MD
 from patchlens.operators import split as SP
@@ -241,13 +242,22 @@ def split_index(spark, sf_dir):
 
 @query("model_roundtrip")
 def model_roundtrip(spark, sf_dir):
-    """Fit a pipeline, save it, load it back and score with the loaded copy."""
-    from patchlens.plans.catalog_models import _matrix
+    """Three kinds of fitted models, saved, loaded back and scoring with the loaded copies."""
+    from patchlens.plans import catalog_models as CM
 
-    m, cols = _matrix(spark, sf_dir)
-    model = MD.numeric_estimator(cols, MD.random_forest()).fit(m.filter("split = 'train'"))
+    m, cols = CM._matrix(spark, sf_dir)
+    train, test = m.filter("split = 'train'"), m.filter("split = 'test'")
     path = scratch(spark, "model")
-    MD.save_model(model, path)
-    loaded = MD.load_model(path)
-    scored = MD.positive_probability(loaded.transform(m.filter("split = 'test'"))).select("patch_id", "prediction", "p")
+    MD.save_model(MD.numeric_estimator(cols, MD.random_forest()).fit(train), f"{path}/forest")
+    forest = MD.positive_probability(MD.load_model(f"{path}/forest").transform(test))
+    texts = CM._text_split(spark, sf_dir).select("patch_id", "subject", "label", "split").checkpoint(eager=True)
+    MD.save_model(MD.text_estimator("subject", vocab_size=5000).fit(texts.filter("split = 'train'")), f"{path}/text")
+    text = MD.positive_probability(MD.load_model(f"{path}/text").transform(texts.filter("split = 'test'")))
+    CM.fit_boosted(train, cols, {"boosted": B.Boost(rounds=10, depth=3)}).save(spark, f"{path}/boosted")
+    boosted = B.Boosted.load(spark, f"{path}/boosted").score(test, {"s": "boosted"}).select(
+        "patch_id", F.col("s.label").cast("double").alias("prediction"), F.col("s.probability")[1].alias("p"))
+    scored = None
+    for name, df in (("forest", forest), ("text", text), ("boosted", boosted)):
+        one = df.select("patch_id", F.lit(name).alias("model"), "prediction", "p")
+        scored = one if scored is None else scored.unionByName(one)
     return released(spark, scored, path)

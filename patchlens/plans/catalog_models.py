@@ -106,7 +106,7 @@ def _text_split(spark, sf_dir):
 
 def _train_text(spark, sf_dir, kind):
     d = _text_split(spark, sf_dir).select("patch_id", "subject", "accepted", "label", "split").checkpoint(eager=True)
-    model = Pipeline(stages=MD.text_stages("subject") + MD.text_model_stages(kind=kind, vocab_size=5000, max_iter=100)).fit(d.filter("split = 'train'"))
+    model = Pipeline(stages=MD.text_stages("subject") + MD.text_model_stages(kind=kind, vocab_size=5000)).fit(d.filter("split = 'train'"))
     return _score(model, d.filter("split <> 'train'"))
 
 
@@ -173,7 +173,7 @@ def grid_search_text(spark, sf_dir):
         toks = Pipeline(stages=MD.text_stages("subject", bigrams)).fit(d).transform(d)
         toks = toks.select("patch_id", "split", "label", "_terms").cache()
         for vocab in (5000, 10000):
-            model = Pipeline(stages=MD.text_model_stages(vocab_size=vocab, max_iter=100)).fit(toks.filter("split = 'train'"))
+            model = Pipeline(stages=MD.text_model_stages(vocab_size=vocab)).fit(toks.filter("split = 'train'"))
             f1 = MD.f1_evaluator().evaluate(model.transform(toks.filter("split = 'val'")))
             rows.append((vocab, bigrams, float(f1)))
         toks.unpersist()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from patchlens.config import ENGLISH_STOP_WORDS
 from patchlens.operators import textvec as TV
+from patchlens.operators.tfidf import TfidfVectorizer, entries
 from patchlens.plans.registry import query
 from patchlens.sources.tables import table
 
@@ -80,13 +81,14 @@ FROM n GROUP BY doc_id
 """)
 def tfidf(spark, sf_dir):
     """Per document: non-zero terms, largest and summed TF-IDF weight, top term."""
-    # dealt by id as text, so that neither the counts nor the norm shuffle (doc, term) rows;
-    # the vocabulary reads the same exchange
-    docs = _docs(spark, sf_dir).repartition("doc_id")
-    v, n = _vocab(spark, sf_dir, docs)
-    tf = TV.term_counts(_terms(docs), "doc_id")
-    w = TV.tfidf(tf, v, "doc_id", n, max_features=MAX_FEATURES)
-    return w.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_terms"), F.round(F.max("weight"), 6).alias("max_weight"),
-        F.round(F.sum("weight"), 6).alias("sum_weight"),
-        F.min_by("term", F.struct(-F.round("weight", 9), F.col("term"))).alias("top_term"))
+    d = _terms(_docs(spark, sf_dir)).select("doc_id", "terms")
+    model = TfidfVectorizer(maxFeatures=MAX_FEATURES).fit(d)
+    w = model.transform(d).select("doc_id", entries(F.col("features")).alias("w"))
+    # terms are indexed alphabetically, so the least index is the first term
+    best = F.array_min(F.transform("w", lambda e: F.struct((-F.round(e["weight"], 9)).alias("weight"), e["term_index"].alias("term_index"))))
+    facts = F.struct(
+        F.size("w").cast("bigint").alias("n_terms"), F.round(F.array_max(F.transform("w", lambda e: e["weight"])), 6).alias("max_weight"),
+        F.round(F.aggregate("w", F.lit(0.0), lambda a, e: a + e["weight"]), 6).alias("sum_weight"),
+        model.term(best["term_index"]).alias("top_term"))
+    # documents without a term of the vocabulary give no row; a filter would be pushed down and compute the weights twice
+    return w.select("doc_id", F.inline(F.filter(F.array(facts), lambda f: f["n_terms"] > 0)))
