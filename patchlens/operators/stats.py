@@ -152,47 +152,97 @@ def value_ranks(df: DataFrame, value: str, by: list[str] | None = None, n_bucket
     return j.select(*by, value, "cnt", (F.col("_boff") + F.col("_inb")).alias("below"))
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float]) -> dict[str, list[float]]:
-    """Linear-interpolated quantiles (NumPy default) of each column, exactly.
+#: Rank error of the approximate quantiles that propose bounds is one part in so many.
+BRACKET_ACCURACY = 10_000
+#: A bracket of at most so many rows is read out; a larger one is narrowed first.
+BRACKET_ROWS = 50_000
+
 
-    One unpivot and one (cached) distinct-value count table serve three small
-    actions; the driver receives per-feature totals, bucket bounds and at
-    most 2 rows per (column, quantile).  A column without values has None for
-    every quantile.
+class _Bracket:
+    """The values of a column between ``lo`` and ``hi`` (None: no bound), both left out, that hold the row of rank ``k``.
+
+    ``below`` rows come before them, ``inside`` rows are among them.
     """
-    stack = ", ".join(f"'{c}', CAST({c} AS DOUBLE)" for c in cols)
-    long = df.selectExpr(f"stack({len(cols)}, {stack}) AS (feature, v)")
-    counted = value_counts(long, "v", ["feature"]).cache()
-    try:
-        n = {r["feature"]: r["n"] for r in counted.groupBy("feature").agg(F.sum("cnt").alias("n")).collect()}
-        r = value_ranks(long, "v", by=["feature"], counted=counted)
-        want = []
-        for c in cols:
-            for q in qs if n.get(c) else []:
-                h = (n[c] - 1) * q
-                want += [(c, math.floor(h)), (c, math.ceil(h))]
-        cond = F.lit(False)
-        for c, k in set(want):
-            e = (F.col("feature") == c) & (F.col("below") <= k) & (F.col("below") + F.col("cnt") > k)
-            cond = cond | e
-        rows = r.filter(cond).select("feature", "v", "below", "cnt").collect()
-    finally:
-        counted.unpersist()
-
-    def at(c, k):
-        for row in rows:
-            if row["feature"] == c and row["below"] <= k < row["below"] + row["cnt"]:
-                return row["v"]
-        return None
 
+    def __init__(self, col: str, x, k: int, n: int):
+        self.col, self.x, self.k = col, x, k
+        self.lo = self.hi = self.value = None
+        self.below, self.inside = 0, n
+
+    def holds(self):
+        cond = self.x.isNotNull()
+        if self.lo is not None:
+            cond = cond & (self.x > F.lit(self.lo))
+        return cond if self.hi is None else cond & (self.x < F.lit(self.hi))
+
+    def wanted(self) -> list[float]:
+        """Ranks, as shares, at which to ask for values around the wanted one."""
+        room = 3.0 / BRACKET_ACCURACY
+        at = (self.k - self.below + 0.5) / self.inside
+        return [min(1.0, max(0.0, at + e)) for e in (-room, room)]
+
+    def test(self, value: float, smaller: int, upto: int) -> None:
+        """Take up that ``smaller`` rows are less than ``value`` and ``upto`` rows no greater."""
+        if self.value is not None:
+            return
+        if self.k < smaller:
+            if smaller - self.below < self.inside:
+                self.hi, self.inside = value, smaller - self.below
+        elif self.k < upto:
+            self.value = value
+        elif upto > self.below:
+            self.lo, self.below, self.inside = value, upto, self.below + self.inside - upto
+
+
+def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
+    """One scan proposes two values around each wanted rank, one counts the rows up to them."""
+    got = df.agg(*[F.percentile_approx(F.when(b.holds(), b.x), b.wanted(), BRACKET_ACCURACY).alias(f"g{m}") for m, b in enumerate(brackets)]).first()
+    tests = [(b, v) for m, b in enumerate(brackets) for v in sorted(set(got[f"g{m}"]))]
+    counts = df.agg(*[c for m, (b, v) in enumerate(tests)
+                      for c in (F.count_if(b.x < F.lit(v)).alias(f"s{m}"), F.count_if(b.x <= F.lit(v)).alias(f"u{m}"))]).first()
+    for m, (b, v) in enumerate(tests):
+        b.test(v, counts[f"s{m}"], counts[f"u{m}"])
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float]) -> dict[str, list[float]]:
+    """Linear-interpolated quantiles (NumPy default) of each column, exactly, by selection.
+
+    A bracket of values is kept around every wanted rank.  A scan for all
+    columns proposes values near the ranks (approximate quantiles), the next
+    counts the rows below and up to them, which shrinks the brackets to a few
+    parts in BRACKET_ACCURACY or settles the value; brackets that are still large
+    are narrowed again.  A last scan reads out the rows inside: only those are
+    shuffled, never a column's distinct values.  Proposed values lie inside
+    their bracket and leave it, so it shrinks each time, ties or not.  A column without
+    values has None for every quantile.  Nulls are left out; NaN is the largest value.
+    """
+    x = {c: F.col(c).cast("double") for c in cols}
+    total = df.agg(*[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    n = {c: total[f"n{i}"] for i, c in enumerate(cols)}
+    ranks = {(c, k) for c in cols if n[c] for q in qs for k in (math.floor((n[c] - 1) * q), math.ceil((n[c] - 1) * q))}
+    brackets = {(c, k): _Bracket(c, x[c], k, n[c]) for c, k in sorted(ranks)}
+    while large := [b for b in brackets.values() if b.value is None and b.inside > BRACKET_ROWS]:
+        _narrow(df, large)
+    rest = [b for b in brackets.values() if b.value is None]
+    if rest:
+        cells = F.array(*[F.when(b.holds(), F.struct(F.lit(m).alias("m"), b.x.alias("v"))) for m, b in enumerate(rest)])
+        inside = df.select(F.explode(F.filter(cells, lambda s: s.isNotNull())).alias("s")).groupBy("s.m", "s.v").count()
+        found: dict[int, list[tuple[float, int]]] = {}
+        for r in inside.collect():  # at most BRACKET_ROWS rows a bracket
+            found.setdefault(r["m"], []).append((r["v"], r["count"]))
+        for m, b in enumerate(rest):
+            at = b.below
+            for v, count in sorted(found[m], key=lambda t: (math.isnan(t[0]), t[0])):
+                at += count
+                if b.value is None and b.k < at:
+                    b.value = v
     out = {}
     for c in cols:
-        vals = [] if n.get(c) else [None] * len(qs)
-        for q in qs if n.get(c) else []:
+        out[c] = [] if n[c] else [None] * len(qs)
+        for q in qs if n[c] else []:
             h = (n[c] - 1) * q
-            lo, hi = at(c, math.floor(h)), at(c, math.ceil(h))
-            vals.append(None if lo is None else lo + (h - math.floor(h)) * (hi - lo))
-        out[c] = vals
+            lo, hi = brackets[c, math.floor(h)].value, brackets[c, math.ceil(h)].value
+            out[c].append(lo if lo == hi else lo + (h - math.floor(h)) * (hi - lo))
     return out
 
 
