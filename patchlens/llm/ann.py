@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ QUERY_STRIPE_BYTES = 1 << 24
 #: Values multiplied at a time, so that sums of 127 * 127 stay exact in single precision.
 _EXACT_DIM = 1024
 
-_BLOCK = "is_query boolean, dim int, n int, ids binary, vectors binary, codes binary, scales binary, left binary, part binary"
+_BLOCK = "is_query boolean, dim int, n int, ids binary, keys binary, vectors binary, codes binary, scales binary, left binary, part binary"
 
 
 def quantise(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -72,7 +73,7 @@ class Block:
     def __init__(self, row: dict):
         n, dim = row["n"], row["dim"]
         self.dim = dim
-        self.ids = np.frombuffer(row["ids"], np.int64)
+        self.ids, self.keys = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["keys"], np.int64)
         self.v = np.frombuffer(row["vectors"], np.float64).reshape(n, dim)
         self.codes = np.frombuffer(row["codes"], np.int8).reshape(n, dim)
         self.scale, self.left, self.part = (np.frombuffer(row[k], np.float64) for k in ("scales", "left", "part"))
@@ -107,7 +108,7 @@ def compare(q: Block, c: Block, heaps: Heaps, base: int) -> None:
     # room for the rounding of norms, products and the double-precision sums themselves
     bound = bound * (1 + 1e-9) + (q.norm[:, None] * c.norm[None, :]) * (1e-12 + 4e-16 * q.dim) + 1e-300
     low = approx - bound
-    own = q.ids[:, None] == c.ids[None, :]
+    own = q.keys[:, None] == c.keys[None, :]
     low[own] = -np.inf
     rows = slice(base, base + len(q.ids))
     floor = heaps.floor[rows]
@@ -120,41 +121,47 @@ def compare(q: Block, c: Block, heaps: Heaps, base: int) -> None:
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, v): one row per id, without vectors that are null, zero or hold null or non-finite values."""
+    """(vec_id, v): the rows with an id, without vectors that are null, zero or hold null or non-finite values."""
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     d = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), v.alias("v")).filter("vec_id is not null and v is not null")
     sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
-    return d.filter(sound).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return d.filter(sound)
 
 
 def pack(rows: DataFrame, every: int, k: int) -> DataFrame:
-    """Blocks of candidates and, again, of the queries among them."""
+    """Blocks of candidates and, again, of the queries among them.
 
-    def packed(is_query, dim, ids, v):
+    A row's key (its task and place in it) tells it from others with its id; both of its copies carry it.
+    """
+
+    def packed(is_query, dim, ids, keys, v):
         if not is_query:
             order = np.argsort(ids, kind="stable")
-            ids, v = ids[order], v[order]
+            ids, keys, v = ids[order], keys[order], v[order]
             same = np.unique(v, axis=0, return_inverse=True)[1].reshape(-1)
             by_value = np.lexsort((ids, same))
             starts = np.flatnonzero(np.diff(same[by_value], prepend=-1))
             rank = np.arange(len(ids)) - np.repeat(starts, np.diff(np.append(starts, len(ids))))
             keep = np.sort(by_value[rank <= k])
-            ids, v = ids[keep], v[keep]
+            ids, keys, v = ids[keep], keys[keep], v[keep]
         v = np.ascontiguousarray(v)
         codes, scale, left, part = quantise(v)
-        return {"is_query": is_query, "dim": dim, "n": len(ids), "ids": ids.tobytes(), "vectors": v.tobytes(), "codes": codes.tobytes(),
+        return {"is_query": is_query, "dim": dim, "n": len(ids), "ids": ids.tobytes(), "keys": keys.tobytes(), "vectors": v.tobytes(), "codes": codes.tobytes(),
                 "scales": scale.tobytes(), "left": left.tobytes(), "part": part.tobytes()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[bool, int], list] = {}
+        first = TaskContext.get().partitionId() << 40
 
         def flush(key):
             parts = held.pop(key)
-            row = packed(*key, np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts]))
+            row = packed(*key, *(np.concatenate(c) for c in zip(*parts)))
             return pa.RecordBatch.from_pylist([row], schema=arrow)
 
         for b in batches:
             ids, lists = b.column(0).to_numpy(), b.column(1)
+            keys = first + np.arange(len(ids))
+            first += len(ids)
             sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
             flat, ends = lists.flatten().to_numpy(), np.cumsum(sizes)
             for dim in map(int, np.unique(sizes)):
@@ -164,8 +171,8 @@ def pack(rows: DataFrame, every: int, k: int) -> DataFrame:
                     for at in range(0, len(mine), room):
                         part = mine[at: at + room]
                         v = flat[(ends[part] - dim)[:, None] + np.arange(dim)[None, :]]
-                        held.setdefault((is_query, dim), []).append((ids[part], v))
-                        if sum(len(x) for x, _ in held[is_query, dim]) >= room:
+                        held.setdefault((is_query, dim), []).append((ids[part], keys[part], v))
+                        if sum(len(x[0]) for x in held[is_query, dim]) >= room:
                             yield flush((is_query, dim))
         for key in list(held):
             yield flush(key)
@@ -180,11 +187,11 @@ def nearest(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, id_col: st
 
     Candidates are all other rows of the query's dimension.  Vectors that are
     null, zero, or hold null or non-finite components take no part, nor do rows
-    without an id; of several rows with one id the one with the smallest vector
-    counts.  Ties go to the smaller id.  With fewer than k candidates all are
+    without an id.  Rows that repeat an id are rows of their own: each is a
+    candidate of the others, and each is a query with its own ranks.  Ties go to the smaller id.  With fewer than k candidates all are
     listed; an empty table gives an empty result.
     """
-    blocks = settle(pack(usable(vectors, id_col, vector_col), every, k).withColumn("block", F.xxhash64("ids")))
+    blocks = settle(pack(usable(vectors, id_col, vector_col), every, k).withColumn("block", F.xxhash64("keys")))
     # the order of the blocks only deals them to cells; one narrow row a block
     size = F.col("n").cast("bigint") * F.col("dim") * 8
     everyone = Window.partitionBy("is_query", "dim")
@@ -216,14 +223,15 @@ def nearest(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, id_col: st
                     compare(q, c, heaps, base)
                     base += len(q.ids)
         ids = np.concatenate([q.ids for q in queries]) if queries else np.empty(0, np.int64)
-        found = [(qid, -c, s) for qid, heap in zip(ids.tolist(), heaps.heaps) for s, c in heap]
-        cols = list(zip(*found)) if found else [[], [], []]
-        return pa.table([pa.array(c, type=t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()))],
-                        names=["query_id", "vec_id", "score"])
+        keys = np.concatenate([q.keys for q in queries]) if queries else np.empty(0, np.int64)
+        found = [(key, qid, -c, s) for key, qid, heap in zip(keys.tolist(), ids.tolist(), heaps.heaps) for s, c in heap]
+        cols = list(zip(*found)) if found else [[], [], [], []]
+        return pa.table([pa.array(c, type=t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.float64()))],
+                        names=["query_key", "query_id", "vec_id", "score"])
 
     n_cells = stripes.agg(F.sum((F.col("q") + 1) * (F.col("c") + 1))).first()[0] or 1
     # a cell's work does not show in its bytes: a given number of partitions, which adaptive execution does not merge
     dealt = dealt.select(*cell, *[c for c in names if c != "dim"]).repartition(tasks_for(vectors.sparkSession, n_cells), *cell)
-    best = dealt.groupBy(*cell).applyInArrow(run, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    best = dealt.groupBy(*cell).applyInArrow(run, "query_key long, query_id long, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("query_key").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -8,22 +8,21 @@ SCHEMA = "vec_id long, embedding array<float>, label int"
 
 
 def brute(rows, k=20, every=20):
-    best = {}
+    kept = []
     for i, v, *_ in rows:
         if i is None or v is None or any(x is None or not np.isfinite(x) for x in v) or not any(v):
             continue
-        v = [float(np.float32(x)) for x in v]
-        best[i] = min(best.get(i, v), v)
+        kept.append((i, [float(np.float32(x)) for x in v]))
     out = []
-    for q in best:
+    for a, (q, x) in enumerate(kept):  # rows that repeat an id are rows of their own
         if q % every:
             continue
         scored = []
-        for c in best:
-            if c != q and len(best[c]) == len(best[q]):
+        for b, (c, y) in enumerate(kept):
+            if a != b and len(x) == len(y):
                 s = 0.0
-                for x, y in zip(best[q], best[c]):
-                    s += x * y
+                for p, r in zip(x, y):
+                    s += p * r
                 scored.append((-s, c))
         out += [(q, r, c, -s) for r, (s, c) in enumerate(sorted(scored)[:k], 1)]
     return sorted(out)
@@ -52,7 +51,7 @@ def test_exact_with_ties_and_odd_rows(spark, monkeypatch):
     rows = vectors(1)
     rows += [(None, [1.0] * 24, 0), (1000, None, 0), (1020, [0.0] * 24, 0), (1040, [1.0, None] + [0.0] * 22, 0),
              (1060, [float("nan")] + [1.0] * 23, 0), (1080, [float("inf")] + [1.0] * 23, 0), (1100, [], 0),
-             (1120, [1.0, 2.0], 0), (1121, [1.0, 3.0], 0), (3, [5.0] * 24, 0), rows[40], rows[41], (1140, [1e-30] * 24, 0)]
+             (1120, [1.0, 2.0], 0), (1121, [1.0, 3.0], 0), (3, [5.0] * 24, 0), rows[40], rows[40], rows[41], (60, [2.0] * 24, 0), (1140, [1e-30] * 24, 0)]
     assert run(spark, rows) == brute(rows)
 
 
