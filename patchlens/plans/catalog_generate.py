@@ -292,6 +292,24 @@ def assemble_code(spark, sf_dir):
     return g.select("patch_id", "subsystem", "complexity", "code")
 
 
+EVENT_TEXT_SQL = "(SELECT e.event_id AS patch_id, d.text AS subject FROM events e LEFT JOIN documents d ON e.event_id = d.doc_id)"
+
+
+@query("generate_patches", sql=f"""
+SELECT patch_id, coalesce({sql_assemble('subject', 'sub', 'comp')}, '/* Error generating code for:  */') AS code,
+       CASE WHEN subject IS NULL THEN 0.0 ELSE round((2 * {G.DEFAULT_LEVEL1_CONF} + 4 * {G.DEFAULT_LEVEL2_CONF}) / 6, 6) END::DOUBLE AS confidence,
+       CAST(subject IS NULL AS INTEGER) AS failed
+FROM (SELECT patch_id, subject, {sql_primary(LOW, DOCS)} AS sub, {sql_complexity(LOW)} AS comp FROM {EVENT_TEXT_SQL})
+""")
+def generate_patches(spark, sf_dir):
+    """Code for the subject of every event; an event without a document fails and gives the error row with confidence 0."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id"), F.col("text").alias("subject"))
+    ev = table(spark, sf_dir, "events").select(F.col("event_id").alias("patch_id"))
+    subjects = ev.join(docs, F.col("patch_id") == F.col("doc_id"), "left").drop("doc_id")
+    g = G.generate(FE.generator_features(subjects, keyword_sets=config.DOCUMENT_KEYWORDS, send_time=None), text_col="subject")
+    return g.select("patch_id", "code", F.round("confidence", 6).alias("confidence"), F.col("subject").isNull().cast("int").alias("failed"))
+
+
 @query("generate_rules", headline=True, sql=f"""
 SELECT prompt_id, subsystem, complexity, code, round(confidence, 6) AS confidence,
        round(accuracy_estimate, 6) AS accuracy_estimate FROM {GEN_SQL}

@@ -248,6 +248,18 @@ def numeric_only(spark, sf_dir):
     return M.ml_matrix(feats, "patch_id", "accepted", include_bool=False)
 
 
+@query("exclude_prefix", sql="""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(l_quantity, 0) AS l_quantity, coalesce(l_discount, 0) AS l_discount,
+       coalesce(l_tax, 0) AS l_tax FROM lineitem
+""")
+def exclude_prefix(spark, sf_dir):
+    """Number columns of line items beside their key, less those whose name starts with a prefix."""
+    li = table(spark, sf_dir, "lineitem")
+    keys = ("l_orderkey", "l_linenumber")
+    cols = M.ml_columns(li, exclude=keys, exclude_prefix="l_extended")
+    return M.fill_zero(li.select(*keys, *cols), cols)
+
+
 @query("align_columns", sql=ML_SQL + """
 SELECT patch_id, word_count, coalesce(hour, 0) AS hour, 0 AS commit_count, subject_length FROM f
 """)
