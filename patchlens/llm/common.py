@@ -65,6 +65,16 @@ def preceding_sum(df: DataFrame, parts: list[str], bucket: str, order: list, amo
     return ranked.join(offsets, keys, "left").withColumn(out, F.col("_off") + F.col("_in")).drop("_off", "_in")
 
 
+def row_hash(docs: DataFrame, row: str | None = None) -> Column:
+    """Hash of all columns of ``docs`` (inside its struct column ``row``, if given); columns that hold maps count as JSON."""
+    prefix = f"{row}." if row else ""
+    fields = {f.name: F.col(f"{prefix}`{f.name}`") for f in docs.schema.fields}
+    maps = [f.name for f in docs.schema.fields if "map<" in f.dataType.simpleString()]
+    if row and not maps:
+        return F.xxhash64(row)
+    return F.xxhash64(F.struct(*[F.to_json(F.struct(c)).alias(n) if n in maps else c.alias(n) for n, c in fields.items()]))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

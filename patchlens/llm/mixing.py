@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from patchlens.llm.common import bounded_broadcast, free_name, preceding_sum, settle, word_count
+from patchlens.llm.common import bounded_broadcast, free_name, preceding_sum, row_hash, settle, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -206,9 +206,8 @@ def draws_of_rows(docs: DataFrame, n_shards: int = N_SHARDS, block_words: int =
     # as many buckets as the source's rows ask for, so that no window holds many more rows than another
     bucket = F.expr(f"div(cast(conv(substr(_h, 1, 8), 16, 10) as bigint) * buckets, {2**32})")
     totals = narrow.join(plan.select("_src", "buckets"), "_src").withColumn("_b", bucket).groupBy("_src", "_b").agg(F.sum("size").alias("_t"))
-    row_hash = F.xxhash64("_row")
     planned = work.join(plan, "_src", "left").withColumn("_b", bucket)
-    joined = preceding_sum(planned, ["_src"], "_b", ["_h", "size", row_hash], "size", "_at", totals)
+    joined = preceding_sum(planned, ["_src"], "_b", ["_h", "size", row_hash(docs, "_row")], "size", "_at", totals)
     big = "decimal(38,0)"
 
     def draw(copy):

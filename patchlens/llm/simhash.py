@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patchlens.llm.common import bounded_broadcast, free_name, settle, tasks_for
+from patchlens.llm.common import bounded_broadcast, free_name, row_hash, settle, tasks_for
 from patchlens.llm.components import components
 
 SHINGLE = 4
@@ -188,8 +188,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     Rows with the same id are told apart by a hash of all their columns; of rows
     equal in all columns one stays.
     """
-    all_columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64(all_columns).alias("row"))
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), row_hash(docs).alias("row"))
     rows = settle(fingerprints(docs, [key.alias("key")], shingle))
     kept = classes(rows, F.col("key"), radius).select(F.col("rep").alias("key")).distinct()
     kept = settle(rows.join(kept, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("n")))
