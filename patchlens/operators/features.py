@@ -1,10 +1,12 @@
 """Feature frames: the preparation features and the generator features.
 
-``author_counts`` is the only step that needs data from other rows.  It is
-a partial aggregation (map-side combine, so a hot author is pre-summed in
-every task) joined back on the author; AQE decides broadcast versus
-sort-merge from the measured size of the count table and splits a skewed
-author partition on the wide side.
+A subject is a whole text, so it is read once: ``scan_subject`` computes its
+length, its words and the bit set of all keyword patterns in one generator, which
+Catalyst neither duplicates nor evaluates a second time for a filter.
+
+``map_counts`` is the only step that needs data from other rows.  Its rows are
+written once, without the text; the counts of the most frequent keys are broadcast
+to their rows, and only the other rows are shuffled to theirs.
 """
 
 from __future__ import annotations
@@ -17,21 +19,61 @@ from patchlens.functions import author as A
 from patchlens.functions import subsystem as S
 from patchlens.functions import temporal as T
 from patchlens.functions import text as X
+from patchlens.functions.multimatch import PatternSet
 
+HOT_KEYS = 64
+#: A key is hot when it holds more than this share of the rows.
+HOT_SHARE = 0.001
+KEPT = "_kept"  # the keyword filter's name in a pattern set
 
-def map_counts(df: DataFrame, key: str, out: str = "author_patch_count") -> DataFrame:
-    """value_counts mapped back on ``key``; a null key gets a null count."""
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(out))
-    return df.join(counts, key, "left")
 
+def hot_keys(df: DataFrame, key: str, most: int = HOT_KEYS, share: float = HOT_SHARE) -> list:
+    """At most ``most`` keys that a frequent-items sketch puts above ``share`` of the rows."""
+    r = df.filter(F.col(key).isNotNull()).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(`{key}`, {int(most)}, {max(1000, 16 * int(most))})").alias("top")).first()
+    return [t["item"] for t in r["top"] or [] if t["count"] > share * r["n"]]
 
-def text_features(df: DataFrame, subject: str = "subject") -> DataFrame:
-    return df.select(
-        "*",
-        X.char_length(subject).alias("subject_length"),
-        X.word_count(subject).alias("word_count"),
-        *X.subject_flags(subject),
-    )
+
+def map_counts(df: DataFrame, key: str, out: str = "author_patch_count") -> DataFrame:
+    """value_counts mapped back on ``key``; a null key gets a null count.
+
+    ``df`` is written once to the checkpoint folder, so it should be narrow.
+    The sketch only chooses the path: hot keys' rows meet their exact counts in a
+    broadcast of at most HOT_KEYS rows and are not shuffled; the rest is joined
+    as AQE sees fit; rows without a key join nothing.
+    """
+    df = df.checkpoint(eager=True)
+    hot = hot_keys(df, key)
+    known = df.filter(F.col(key).isNotNull())
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+    counts = known.groupBy(key).agg(F.count(F.lit(1)).alias(out))
+    none = df.filter(F.col(key).isNull()).withColumn(out, F.lit(None).cast("bigint"))
+    cold = known.filter(~is_hot).join(counts.filter(~is_hot), key, "left")
+    parts = [cold, none]
+    if hot:
+        parts.append(known.filter(is_hot).join(F.broadcast(counts.filter(is_hot)), key, "left"))
+    got = parts[0]
+    for p in parts[1:]:
+        got = got.unionByName(p)
+    return got.select(*df.columns, out)
+
+
+def scan_subject(df: DataFrame, patterns: PatternSet, subject: str = "subject") -> DataFrame:
+    """Add ``subject_length``, ``word_count`` and ``_bits`` (the patterns' bit set), reading the text in one generator."""
+    s = F.col(subject)
+    one = F.struct(X.char_length(s).alias("subject_length"), X.word_count(s).alias("word_count"), patterns.marks(s).alias("_marks"))
+    # a generator's output is computed once; a projection's would be repeated in every filter on it
+    return df.select("*", F.inline(F.array(one))).withColumn("_bits", patterns.bits(F.col("_marks"))).drop("_marks")
+
+
+def text_features(df: DataFrame, subject: str = "subject", keywords: list[str] | None = None) -> DataFrame:
+    """Length, words and the eight flags; with ``keywords`` only the rows whose subject holds one (B4), in the same pass."""
+    extra = [(KEPT, X.keyword_pattern(keywords))] if keywords else []
+    patterns = PatternSet([*config.SUBJECT_FLAGS, *extra])
+    d = scan_subject(df, patterns, subject)
+    if keywords:
+        d = d.filter(patterns.flag(F.col("_bits"), KEPT))
+    return d.select("*", *[patterns.flag(F.col("_bits"), n).alias(n) for n, _ in config.SUBJECT_FLAGS]).drop("_bits")
 
 
 def author_features(df: DataFrame, email: str = "author_email") -> DataFrame:
@@ -48,9 +90,13 @@ def temporal_features(df: DataFrame, send_time: str = "send_time") -> DataFrame:
     return df.withColumn("timestamp", ts).select("*", *T.calendar_parts("timestamp"))
 
 
-def preparation_features(df: DataFrame) -> DataFrame:
-    """Text, author and temporal features of the preparation stage."""
-    return temporal_features(author_features(text_features(df)))
+def preparation_features(df: DataFrame, subject: str = "subject", keywords: list[str] | None = None) -> DataFrame:
+    """Text, author and temporal features of the preparation stage, without the text.
+
+    With ``keywords`` only the rows whose subject holds one are kept (and
+    counted), as ``labels.keyword_filter`` does, in the pass that computes the flags.
+    """
+    return temporal_features(author_features(text_features(df, subject, keywords).drop(subject)))
 
 
 def generator_features(df: DataFrame, subject: str = "subject", email: str = "author_email",

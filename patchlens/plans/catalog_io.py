@@ -192,12 +192,11 @@ def latest_snapshot(spark, sf_dir):
 @query("csv_roundtrip")
 def csv_roundtrip(spark, sf_dir):
     """Export patches, features, X and y as CSV; read X back with its schema, nulls -> 0."""
-    from patchlens.operators import features as FE
-    from patchlens.plans.catalog_prepare import scheduling_patches
+    from patchlens.plans.catalog_prepare import scheduling_features, scheduling_patches
 
     base = scratch(spark, "export")
     pat = scheduling_patches(spark, sf_dir).select("patch_id", "author_email", "send_time", "accepted")
-    feats = FE.preparation_features(scheduling_patches(spark, sf_dir)).drop("subject", "timestamp")
+    feats = scheduling_features(spark, sf_dir).drop("timestamp")
     x = M.ml_matrix(feats, "patch_id", "accepted")
     paths = IO.export_tables({"patches": pat, "features": feats, "X": x.drop("accepted"), "y": x.select("patch_id", "accepted")}, base)
     return released(spark, IO.read_csv(spark, paths["X"], schema=x.drop("accepted").schema), base)

@@ -30,14 +30,14 @@ from patchlens.operators import split as SP
 from patchlens.operators import stats as ST
 from patchlens.operators import tuning as TU
 from patchlens.functions import rowstats as RS
-from patchlens.plans.catalog_prepare import scheduling_patches
+from patchlens.plans.catalog_prepare import scheduling_features
 from patchlens.plans.registry import query
 from patchlens.sources.tables import patch_view, table
 
 
 def _matrix(spark, sf_dir):
     """Feature matrix + split + balanced weights, computed once for multi-model work."""
-    feats = FE.preparation_features(scheduling_patches(spark, sf_dir))
+    feats = scheduling_features(spark, sf_dir)
     m = M.ml_matrix(feats, "patch_id", "accepted")
     cols = [c for c in m.columns if c not in ("patch_id", "accepted")]
     m = MD.to_double(m, cols).withColumn("label", F.col("accepted").cast("double"))

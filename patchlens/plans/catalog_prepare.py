@@ -48,6 +48,11 @@ def scheduling_patches(spark, sf_dir):
     return L.keyword_filter(L.not_null(patch_view(spark, sf_dir), "subject"), "subject")
 
 
+def scheduling_features(spark, sf_dir):
+    """The features of the scheduling patches; every subject is read once for the filter, the flags and the words."""
+    return FE.preparation_features(L.not_null(patch_view(spark, sf_dir), "subject"), keywords=config.SCHEDULING_KEYWORDS)
+
+
 SCHED_SQL = f"(SELECT * FROM {PV} WHERE subject IS NOT NULL AND regexp_matches(subject, '{KW}', 'i'))"
 
 
@@ -70,7 +75,7 @@ FROM f GROUP BY 1, 2, 3
 """)
 def acceptance_by_year(spark, sf_dir):
     """Flagship: label join -> keyword filter -> features -> acceptance by calendar slot."""
-    f = FE.temporal_features(FE.text_features(scheduling_patches(spark, sf_dir)))
+    f = FE.temporal_features(FE.text_features(L.not_null(patch_view(spark, sf_dir), "subject"), keywords=config.SCHEDULING_KEYWORDS))
     return f.groupBy(
         F.col("year"), F.col("day_of_week"), F.col("is_business_hours").cast("int").alias("is_business_hours")
     ).agg(
@@ -153,8 +158,8 @@ def text_features(spark, sf_dir):
 
 @query("text_flags", sql=f"SELECT patch_id, {_flags_sql()} FROM {SCHED_SQL}")
 def text_flags(spark, sf_dir):
-    df = scheduling_patches(spark, sf_dir).select("patch_id", *X.subject_flags("subject"))
-    return _int_flags(df, FLAG_NAMES)
+    df = FE.text_features(L.not_null(patch_view(spark, sf_dir), "subject"), keywords=config.SCHEDULING_KEYWORDS)
+    return _int_flags(df.select("patch_id", *FLAG_NAMES), FLAG_NAMES)
 
 
 @query("author_counts", sql=f"""
@@ -164,7 +169,7 @@ SELECT patch_id, author_email,
 FROM {SCHED_SQL}
 """)
 def author_counts(spark, sf_dir):
-    df = FE.author_features(scheduling_patches(spark, sf_dir))
+    df = FE.author_features(scheduling_patches(spark, sf_dir).select("patch_id", "author_email"))
     return df.select("patch_id", "author_email", "author_patch_count",
                      F.col("is_frequent_author").cast("int").alias("is_frequent_author"))
 
@@ -233,7 +238,7 @@ SELECT patch_id, subject_length, word_count, has_fix, has_performance, has_laten
 FROM f
 """)
 def ml_matrix(spark, sf_dir):
-    feats = FE.preparation_features(scheduling_patches(spark, sf_dir))
+    feats = scheduling_features(spark, sf_dir)
     return M.ml_matrix(feats, "patch_id", "accepted")
 
 
@@ -244,7 +249,7 @@ SELECT patch_id, subject_length, word_count, coalesce(author_patch_count, 0) AS
 FROM f
 """)
 def numeric_only(spark, sf_dir):
-    feats = FE.preparation_features(scheduling_patches(spark, sf_dir))
+    feats = scheduling_features(spark, sf_dir)
     return M.ml_matrix(feats, "patch_id", "accepted", include_bool=False)
 
 
@@ -320,7 +325,7 @@ SELECT (SELECT count(*) FROM f) AS total_patches,
        (SELECT string_agg(coalesce(CAST(year AS VARCHAR), 'null') || ':' || n, ',' ORDER BY year) FROM y) AS yearly_distribution
 """)
 def dataset_report(spark, sf_dir):
-    feats = FE.preparation_features(scheduling_patches(spark, sf_dir))
+    feats = scheduling_features(spark, sf_dir)
     n_features = len(M.ml_columns(feats, exclude=M.DEFAULT_EXCLUDE + ("patch_id",)))
     # one grouped pass, then a global aggregate over the (small) per-year table
     years = feats.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("accepted").alias("acc"))
