@@ -1,8 +1,8 @@
 """Feature frames: the preparation features and the generator features.
 
-A subject is a whole text, so it is read once: ``scan_subject`` computes its
-length, its words and the bit set of all keyword patterns in one generator, which
-Catalyst neither duplicates nor evaluates a second time for a filter.
+A subject is a whole text, so ``scan_subject`` folds it once and turns all keyword
+patterns into one bit set, in generators, which Catalyst neither duplicates nor
+evaluates a second time for a filter.
 
 ``map_counts`` is the only step that needs data from other rows.  Its rows are
 written once, without the text; the counts of the most frequent keys are broadcast
@@ -19,7 +19,7 @@ from patchlens.functions import author as A
 from patchlens.functions import subsystem as S
 from patchlens.functions import temporal as T
 from patchlens.functions import text as X
-from patchlens.functions.multimatch import PatternSet
+from patchlens.functions.multimatch import PatternSet, fold
 
 HOT_KEYS = 64
 #: A key is hot when it holds more than this share of the rows.
@@ -59,21 +59,24 @@ def map_counts(df: DataFrame, key: str, out: str = "author_patch_count") -> Data
 
 
 def scan_subject(df: DataFrame, patterns: PatternSet, subject: str = "subject") -> DataFrame:
-    """Add ``subject_length``, ``word_count`` and ``_bits`` (the patterns' bit set), reading the text in one generator."""
-    s = F.col(subject)
-    one = F.struct(X.char_length(s).alias("subject_length"), X.word_count(s).alias("word_count"), patterns.marks(s).alias("_marks"))
-    # a generator's output is computed once; a projection's would be repeated in every filter on it
-    return df.select("*", F.inline(F.array(one))).withColumn("_bits", patterns.bits(F.col("_marks"))).drop("_marks")
+    """Add ``_bits``, the bit set of the patterns that the subject holds; the text is folded and searched once."""
+    def once(d: DataFrame, value: Column, name: str) -> DataFrame:
+        # a generator's output is computed once; a projection's would be repeated in every filter and flag on it
+        return d.select("*", F.inline(F.array(F.struct(value.alias(name)))))
 
+    return once(once(df, fold(F.col(subject)), "_low"), patterns.bits(F.col("_low")), "_bits").drop("_low")
 
-def text_features(df: DataFrame, subject: str = "subject", keywords: list[str] | None = None) -> DataFrame:
-    """Length, words and the eight flags; with ``keywords`` only the rows whose subject holds one (B4), in the same pass."""
+
+def text_features(df: DataFrame, subject: str = "subject", keywords: list[str] | None = None,
+                  flags: list[tuple[str, str]] = config.SUBJECT_FLAGS) -> DataFrame:
+    """Length, words and the keyword flags; with ``keywords`` only the rows whose subject holds one (B4), in the same pass."""
     extra = [(KEPT, X.keyword_pattern(keywords))] if keywords else []
-    patterns = PatternSet([*config.SUBJECT_FLAGS, *extra])
+    patterns = PatternSet([*flags, *extra])
     d = scan_subject(df, patterns, subject)
     if keywords:
         d = d.filter(patterns.flag(F.col("_bits"), KEPT))
-    return d.select("*", *[patterns.flag(F.col("_bits"), n).alias(n) for n, _ in config.SUBJECT_FLAGS]).drop("_bits")
+    return d.select("*", X.char_length(subject).alias("subject_length"), X.word_count(subject).alias("word_count"),
+                    *[patterns.flag(F.col("_bits"), n).alias(n) for n, _ in flags]).drop("_bits")
 
 
 def author_features(df: DataFrame, email: str = "author_email") -> DataFrame:

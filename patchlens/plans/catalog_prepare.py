@@ -75,7 +75,9 @@ FROM f GROUP BY 1, 2, 3
 """)
 def acceptance_by_year(spark, sf_dir):
     """Flagship: label join -> keyword filter -> features -> acceptance by calendar slot."""
-    f = FE.temporal_features(FE.text_features(L.not_null(patch_view(spark, sf_dir), "subject"), keywords=config.SCHEDULING_KEYWORDS))
+    used = [f for f in config.SUBJECT_FLAGS if f[0] in ("has_fix", "has_realtime", "has_load_balance")]
+    f = FE.temporal_features(FE.text_features(L.not_null(patch_view(spark, sf_dir), "subject"),
+                                              keywords=config.SCHEDULING_KEYWORDS, flags=used))
     return f.groupBy(
         F.col("year"), F.col("day_of_week"), F.col("is_business_hours").cast("int").alias("is_business_hours")
     ).agg(
