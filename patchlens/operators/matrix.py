@@ -66,9 +66,8 @@ def detect_text_column(df: DataFrame, candidates: list[str], order_by: str, samp
     """Per candidate: mean length and unique ratio of its first ``sample``
     non-null values (by ``order_by``), and whether it qualifies.
 
-    Each candidate's head is an exact top-k behind a quantile cut
-    (``labels.top_n``), so neither a full sort nor a one-task merge of k rows
-    per input partition is needed.
+    Each candidate's head is an exact top-k (``labels.top_n``), so neither a
+    full sort nor a one-task merge of k rows per input partition is needed.
     """
     parts = []
     for i, c in enumerate([c for c in candidates if c in df.columns]):

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patchlens.config import ENGLISH_STOP_WORDS
+from patchlens.operators.extratrees import ExtraTreesRegressor
 from patchlens.operators.tfidf import TfidfVectorizer
 
 
@@ -108,12 +109,11 @@ def traditional_regressor(label: str, trees: int = 300, depth: int = 20, seed: i
 
 
 def regressors(label: str, trees: int = 200, extra_trees: int = 150, iters: int = 150, depth: int = 15, gbt_depth: int = 8,
-               seed: int = 42) -> dict:
-    """The candidates of the attention evaluator."""
+               extra_depth: int = 15, seed: int = 42) -> dict:
+    """The candidates of the attention evaluator (``extra_depth``: levels of the extremely randomised trees)."""
     return {
         "random_forest": RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed),
-        "extra_trees": RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=extra_trees, maxDepth=depth,
-                                             featureSubsetStrategy="sqrt", seed=seed + 1),
+        "extra_trees": ExtraTreesRegressor(labelCol=label, numTrees=extra_trees, maxDepth=extra_depth, seed=seed),
         "gbt": GBTRegressor(labelCol=label, featuresCol="features", maxIter=iters, maxDepth=gbt_depth, stepSize=0.1, seed=seed),
     }
 

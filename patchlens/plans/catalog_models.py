@@ -336,15 +336,16 @@ def _scaled_attention(frames, cols):
 
 # sizes of the registered queries (the operators' defaults are the analysed tool's)
 TRADITIONAL_SIZE = dict(trees=60, depth=15)
-REGRESSOR_SIZES = dict(trees=40, extra_trees=30, iters=10, depth=12, gbt_depth=6)
+REGRESSOR_SIZES = dict(trees=40, iters=10, depth=12, gbt_depth=6)
+CV_EXTRA_TREES = 30
 
 
-def fit_evaluators(train, val, test, cols):
+def fit_evaluators(train, val, test, cols, **sizes):
     """MSE and R^2 on ``test`` of both evaluators: {name: (chosen regressor, mse, r2)}.
 
     traditional is one forest; attention is the candidate that is best on
     ``val``, fitted on scaled, attention-weighted features and a min-max scaled
-    target, with predictions scaled back.
+    target, with predictions scaled back.  ``sizes`` are further arguments of the candidates.
     """
     asm = MD.assembler(cols)
     tr = asm.transform(train).cache()
@@ -355,7 +356,7 @@ def fit_evaluators(train, val, test, cols):
     frames, lo, hi = _scaled_attention([train, val, test], cols)
     tr, va, te = (asm.transform(f).cache() for f in frames)
     best = None
-    for name, reg in MD.regressors("scaled_error", **REGRESSOR_SIZES).items():
+    for name, reg in MD.regressors("scaled_error", **REGRESSOR_SIZES, **sizes).items():
         model = reg.fit(tr)
         score = MT.mse_r2(model.transform(va), "scaled_error", "prediction").first()["mse"]
         if best is None or score < best[1]:
@@ -387,7 +388,8 @@ def meta_cv(spark, sf_dir):
 
     def run(fold):
         inner = SP.stratified_split(d.filter(F.col("fold") != fold), "event_id", "actual", Decimal("0.2"), None, seed=7).checkpoint(eager=True)
-        got = fit_evaluators(inner.filter("split = 'train'"), inner.filter("split = 'test'"), d.filter(F.col("fold") == fold), cols)
+        got = fit_evaluators(inner.filter("split = 'train'"), inner.filter("split = 'test'"), d.filter(F.col("fold") == fold), cols,
+                             extra_trees=CV_EXTRA_TREES)
         return [(name, fold, mse) for name, (_, mse, _) in got.items()]
 
     rows = [r for part in MD.parallel_fits(run, range(5), parallelism=3) for r in part]
