@@ -217,3 +217,44 @@ def test_save_and_load(spark, tmp_path):
     again = B.Boosted.load(spark, str(tmp_path / "m"))
     assert again.nodes == model.nodes and again.classes == model.classes and again.features == model.features
     assert scores(again, df) == scores(model, df)
+
+
+def test_splits_are_searched_where_the_sums_are(spark, monkeypatch):
+    """The driver gets one split a node: it searches none itself, whatever the number of nodes, features and bins."""
+    import os
+
+    driver = os.getpid()
+
+    def elsewhere(search):
+        def run(*a):
+            assert os.getpid() != driver, "searched on the driver"
+            return search(*a)
+
+        return run
+
+    for name in ("best_split", "best_splits"):
+        monkeypatch.setattr(B, name, elsewhere(getattr(B, name)))
+    model, _ = fitted(spark, rows_of(5, classes=("hi", "lo", "mid")), B.Boost(rounds=2, depth=3))
+    assert any(t["left"][0] >= 0 for t in model.nodes["model"][0])
+
+
+def test_every_core_has_a_share_of_the_rows(spark):
+    """20,000 rows are no work for one task; a task holds its rows of a model in one block."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(20_000, numPartitions=1).select((F.col("id") % 97).cast("double").alias("x"), "id", (F.col("id") % 2).alias("y"))
+    state = B.training_state(df, ["x"], F.lit(0), F.col("y"), F.lit(1.0), F.col("id"), [[10.0, 50.0]], [1], 20_000)
+    tasks = min(spark.sparkContext.defaultParallelism, 3)
+    assert state.rdd.getNumPartitions() == tasks and state.count() == tasks
+    assert state.agg({"n": "sum"}).first()[0] == 20_000
+
+
+def test_missing_values_of_a_feature_with_few_values(spark):
+    """A feature of two values whose missing values decide the class, beside one of many values."""
+    import random
+
+    rnd = random.Random(4)
+    rows = [(i, None if i % 3 == 0 else float(i % 2), rnd.random(), "yes" if i % 3 == 0 else "no") for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y string")
+    model = B.fit(df, ["a", "b"], df.y, B.Boost(rounds=10, depth=3, rate=0.5), key=df.id)
+    assert model.score(df, {"s": "model"}).filter("s.label <> y").count() == 0
