@@ -99,3 +99,31 @@ def test_edge_cases(spark):
     zero = _frame(spark, [[1.0], [2.0]], [0.0, 0.0])
     assert ET.ExtraTreesRegressor("y", numTrees=1).fit(zero).trees[0].value == [0.0]
     assert m.transform(same.limit(0)).count() == 0
+
+
+def test_thresholds_are_drawn_by_the_tasks(spark, monkeypatch):
+    """The driver gets thresholds and splits: it draws none itself, whatever the number of nodes."""
+    import os
+
+    from patchlens.operators import extratrees as X
+    from patchlens.operators import models as MD
+
+    driver, draw = os.getpid(), X.thresholds
+
+    def elsewhere(*a):
+        assert os.getpid() != driver, "drawn on the driver"
+        return draw(*a)
+
+    monkeypatch.setattr(X, "thresholds", elsewhere)
+    df = MD.assembler(["x"]).transform(spark.range(60).selectExpr("double(id % 7) AS x", "double(id % 7) * 2 AS y"))
+    model = X.ExtraTreesRegressor("y", numTrees=3, maxDepth=12).fit(df)
+    assert all(t.feature[0] == 0 for t in model.trees)
+
+
+def test_training_rows_are_spread_over_the_cores(spark):
+    """Many rows in one partition go to several tasks; few rows stay where they are."""
+    from patchlens.operators import models as MD
+
+    cores = spark.sparkContext.defaultParallelism
+    assert MD.spread(spark.range(0, 60_000, 1, 1)).rdd.getNumPartitions() == min(cores, 3)
+    assert MD.spread(spark.range(0, 1_000, 1, 1)).rdd.getNumPartitions() == 1
