@@ -73,3 +73,20 @@ def test_weights_need_no_exchange(spark):
     df = spark.createDataFrame(DOCS, "id long, terms array<string>")
     out = TfidfVectorizer(minDF=1).fit(df).transform(df)
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sizes_are_fitted_from_one_count(spark, monkeypatch):
+    """Models of several sizes are those of single fits, though the terms are counted once."""
+    from patchlens.operators import textvec as TV
+    from patchlens.operators.tfidf import TfidfVectorizer
+
+    rows = [(["a", "b", "a"],), (["b", "c"],), (["c", "a", "d"],), (["d"],), (None,), (["e", "e"],)]
+    df = spark.createDataFrame(rows, "terms array<string>")
+    single = [TfidfVectorizer(maxFeatures=k).fit(df) for k in (1, 3)]
+    count, calls = TV.term_stats, []
+    monkeypatch.setattr(TV, "term_stats", lambda *a: calls.append(1) or count(*a))
+    both = TfidfVectorizer().fit_sizes(df, [1, 3])
+    assert len(calls) == 1 and [len(m.vocabulary) for m in both] == [1, 3]
+    for one, m in zip(single, both):
+        assert (one.vocabulary, one.idf) == (m.vocabulary, m.idf)
+        assert [r["features"] for r in one.transform(df).collect()] == [r["features"] for r in m.transform(df).collect()]
