@@ -38,8 +38,9 @@ def _docs(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
-def _terms(docs):
-    return TV.with_ngrams(TV.tokenize(docs, "text"))
+def _term_stats(spark, sf_dir, bigrams=True):
+    docs = _docs(spark, sf_dir)
+    return TV.text_stats(docs, "text", bigrams, TV.text_parts(docs, "text"))
 
 
 @query("token_counts", sql=f"""
@@ -47,7 +48,7 @@ SELECT term AS token, count(DISTINCT doc_id) AS n_docs, count(*) AS n_total FROM
   SELECT doc_id, unnest(toks) AS term FROM {_toks_sql()}) GROUP BY term
 """)
 def token_counts(spark, sf_dir):
-    stats = TV.term_stats(TV.tokenize(_docs(spark, sf_dir), "text"), "tokens")
+    stats = _term_stats(spark, sf_dir, bigrams=False)
     return stats.select(F.col("term").alias("token"), F.col("df").alias("n_docs"), F.col("total").alias("n_total"))
 
 
@@ -55,14 +56,13 @@ def token_counts(spark, sf_dir):
 SELECT term AS bigram, count(*) AS n_docs, CAST(sum(tf) AS BIGINT) AS n_total FROM {TF_SQL} WHERE contains(term, ' ') GROUP BY term
 """)
 def bigram_counts(spark, sf_dir):
-    stats = TV.term_stats(_terms(_docs(spark, sf_dir))).filter(F.col("term").contains(" "))
+    stats = _term_stats(spark, sf_dir).filter(F.col("term").contains(" "))
     return stats.select(F.col("term").alias("bigram"), F.col("df").alias("n_docs"), F.col("total").alias("n_total"))
 
 
-def _vocab(spark, sf_dir, docs=None):
+def _vocab(spark, sf_dir):
     n = table(spark, sf_dir, "documents").count()
-    docs = _docs(spark, sf_dir) if docs is None else docs
-    return TV.vocabulary(TV.term_stats(_terms(docs)), n, min_df=2, max_df=0.95, max_features=MAX_FEATURES), n
+    return TV.vocabulary(_term_stats(spark, sf_dir), n, min_df=2, max_df=0.95, max_features=MAX_FEATURES), n
 
 
 @query("vocabulary", sql=f"SELECT term, df, total, term_index FROM {VOCAB_SQL}")
@@ -81,8 +81,8 @@ FROM n GROUP BY doc_id
 """)
 def tfidf(spark, sf_dir):
     """Per document: non-zero terms, largest and summed TF-IDF weight, top term."""
-    d = _terms(_docs(spark, sf_dir)).select("doc_id", "terms")
-    model = TfidfVectorizer(maxFeatures=MAX_FEATURES).fit(d)
+    d = _docs(spark, sf_dir)
+    model = TfidfVectorizer(inputCol="text", maxFeatures=MAX_FEATURES, parts=TV.text_parts(d, "text")).fit(d)
     w = model.transform(d).select("doc_id", entries(F.col("features")).alias("w"))
     # terms are indexed alphabetically, so the least index is the first term
     best = F.array_min(F.transform("w", lambda e: F.struct((-F.round(e["weight"], 9)).alias("weight"), e["term_index"].alias("term_index"))))
