@@ -195,12 +195,23 @@ class _Bracket:
 
 
 def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
-    """One scan proposes two values around each wanted rank, one counts the rows up to them."""
-    got = df.agg(*[F.percentile_approx(F.when(b.holds(), b.x), b.wanted(), BRACKET_ACCURACY).alias(f"g{m}") for m, b in enumerate(brackets)]).first()
-    tests = [(b, v) for m, b in enumerate(brackets) for v in sorted(set(got[f"g{m}"]))]
-    counts = df.agg(*[c for m, (b, v) in enumerate(tests)
-                      for c in (F.count_if(b.x < F.lit(v)).alias(f"s{m}"), F.count_if(b.x <= F.lit(v)).alias(f"u{m}"))]).first()
-    for m, (b, v) in enumerate(tests):
+    """One scan proposes two values around each wanted rank, one counts the rows up to them.
+
+    Brackets of the same rows share one sketch, and equal values of a column one count.
+    """
+    same: dict[tuple, list[_Bracket]] = {}
+    for b in brackets:
+        same.setdefault((b.col, b.lo, b.hi), []).append(b)
+    groups = list(same.values())
+    got = df.agg(*[F.percentile_approx(F.when(g[0].holds(), g[0].x), [q for b in g for q in b.wanted()], BRACKET_ACCURACY).alias(f"g{m}")
+                   for m, g in enumerate(groups)]).first()
+    tests = [(b, v) for m, g in enumerate(groups) for i, b in enumerate(g) for v in sorted(set(got[f"g{m}"][2 * i: 2 * i + 2]))]
+    values = {(b.col, repr(v)): (b.x, v) for b, v in tests}
+    at = {key: m for m, key in enumerate(values)}
+    counts = df.agg(*[c for m, (x, v) in enumerate(values.values())
+                      for c in (F.count_if(x < F.lit(v)).alias(f"s{m}"), F.count_if(x <= F.lit(v)).alias(f"u{m}"))]).first()
+    for b, v in tests:
+        m = at[b.col, repr(v)]
         b.test(v, counts[f"s{m}"], counts[f"u{m}"])
 
 
