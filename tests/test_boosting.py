@@ -258,3 +258,39 @@ def test_missing_values_of_a_feature_with_few_values(spark):
     df = spark.createDataFrame(rows, "id long, a double, b double, y string")
     model = B.fit(df, ["a", "b"], df.y, B.Boost(rounds=10, depth=3, rate=0.5), key=df.id)
     assert model.score(df, {"s": "model"}).filter("s.label <> y").count() == 0
+
+
+def test_shares_beyond_the_cores_fill_whole_waves(spark):
+    """One share more than the cores would leave a last wave of one task in each of the rounds' jobs."""
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(50).select((F.col("id") % 7).cast("double").alias("x"), "id", (F.col("id") % 2).alias("y"))
+    state = B.training_state(df, ["x"], F.lit(0), F.col("y"), F.lit(1.0), F.col("id"), [[3.0]], [1], B.TASK_ROWS * cores + 1)
+    assert state.rdd.getNumPartitions() == 2 * cores and state.agg({"n": "sum"}).first()[0] == 50
+
+
+def test_rows_are_routed_by_bins_of_a_feature():
+    rnd = np.random.default_rng(1)
+    bins = rnd.integers(0, 9, (3, 2 * B.ROUTE_ROWS + 5)).astype(np.uint8)
+    tree = B.Tree()
+    for node in tree.split(0, 1, 4, True):
+        for child in tree.split(node, 2 * (node % 2), 3, False):
+            if child % 2:
+                tree.split(child, 1, 2, child > 4)
+    got = tree.route(bins)
+    for i in [*range(200), *range(bins.shape[1] - 50, bins.shape[1])]:
+        node = 0
+        while tree.left[node] >= 0:
+            b = bins[tree.feature[node], i]
+            left = tree.missing_left[node] if b == 0 else b <= tree.cut[node]
+            node = tree.left[node] if left else tree.right[node]
+        assert got[i] == node
+    assert not B.Tree().route(bins).any()
+
+
+def test_rounds_need_no_query_plan(spark, monkeypatch):
+    """A round's jobs read the blocks where they lie; only the steps before the rounds are planned."""
+    made = []
+    collected = type(spark.range(1)).toArrow
+    monkeypatch.setattr(type(spark.range(1)), "toArrow", lambda self: made.append(1) or collected(self))
+    model, _ = fitted(spark, rows_of(6), B.Boost(rounds=3, depth=3))
+    assert not made and len(model.nodes["model"][0]) == 3
