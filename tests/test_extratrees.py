@@ -127,3 +127,16 @@ def test_training_rows_are_spread_over_the_cores(spark):
     cores = spark.sparkContext.defaultParallelism
     assert MD.spread(spark.range(0, 60_000, 1, 1)).rdd.getNumPartitions() == min(cores, 3)
     assert MD.spread(spark.range(0, 1_000, 1, 1)).rdd.getNumPartitions() == 1
+
+
+def test_training_rows_take_no_more_tasks_than_cores(spark, monkeypatch):
+    """Rows in many partitions are gathered; each task of a forest would add up and shuffle the sums of all nodes."""
+    from patchlens.operators import models as MD
+
+    cores = spark.sparkContext.defaultParallelism
+    got = MD.spread(spark.range(0, 60_000, 1, 40))
+    assert got.rdd.getNumPartitions() == min(cores, 3) and got.count() == 60_000
+    assert MD.spread(spark.range(0, 1_000, 1, 9)).rdd.getNumPartitions() == 1
+    assert MD.spread(spark.range(0, 0, 1, 4)).count() == 0
+    monkeypatch.setattr(MD, "SPREAD_MOST", 1_000)
+    assert MD.spread(spark.range(0, cores * 1_000 + 1, 1, 1)).rdd.getNumPartitions() == 2 * cores
