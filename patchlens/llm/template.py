@@ -10,10 +10,15 @@
    host with the same html are one page.
 3. Tokens of a host with equal vectors form an equivalence class.  A class is
    valid if it is frequent (MIN_PAGES pages), holds markup, and the text that
-   roles keep differs between its pages, so copies of one page are no evidence;
-   as tokens are paths, valid classes nest by construction.  Together they are the host's
-   template: text tokens in them are text that the template prints.
-4. What the template leaves are slots, each with the path of its elements.  The
+   roles keep differs between its pages, so copies of one page are no evidence.
+4. Classes are checked on the order of the tokens of every page.  An ordered class
+   repeats its tokens in one order, one occurrence after the other; tokens that
+   change their place leave it, and a class whose occurrences interleave is dropped.
+   Two classes are nested if every occurrence of one lies apart from the other or
+   between two consecutive tokens of it; of two that are not, the one on fewer pages, then
+   with fewer tokens, is dropped.  The classes left are the host's template: text tokens in
+   them are text that the template prints.
+5. What the template leaves are slots, each with the path of its elements.  The
    article's slots give the main text; without an article element, the slots of
    the content element or the body that are not boilerplate, less template text.
 
@@ -26,7 +31,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -178,24 +183,65 @@ def blocks(html: str | None) -> Iterator[tuple[Element, str | None]]:
         yield stack[-1], text
 
 
-def page_tokens(html: str | None) -> tuple[Counter, int]:
-    """How often each token occurs on the page, and a hash of the text that the roles of its elements keep.
+def page_tokens(html: str | None) -> tuple[list[tuple[str, str]], int]:
+    """The tokens of the page in its order, and a hash of the text that the roles of its elements keep.
 
     A token is (element path, '') or (path of a block outside the article and the content element, its text).
     """
-    found: Counter = Counter()
+    found = []
     kept = 0
     for element, text in blocks(html):
         if text is None:
-            found[element.path, ""] += 1
+            found.append((element.path, ""))
             continue
         if not (element.article or element.content):
-            found[element.path, text] += 1
+            found.append((element.path, text))
         if not element.dropped:
             kept = (kept * 1_000_003 + _hash(text)) & _MASK
     return found, kept
 
 
+def places(tokens: list[int], class_of: dict[int, int]) -> Iterator[tuple[int, int, int, int, bool]]:
+    """(class, token, its first and last place in the class's occurrences, whether these follow one another) on one page."""
+    seen: dict[int, list[int]] = defaultdict(list)
+    for t in tokens:
+        if t in class_of:
+            seen[class_of[t]].append(t)
+    for c, order in seen.items():
+        k = len(set(order))
+        whole = len(order) % k == 0 and all(len(set(order[i: i + k])) == k for i in range(0, len(order), k))
+        at: dict[int, list[int]] = defaultdict(list)
+        for i, t in enumerate(order):
+            at[t].append(i % k)
+        for t, found in at.items():
+            yield c, t, min(found), max(found), whole
+
+
+def crossed(tokens: list[int], member: dict[int, tuple[int, int, int, int]]) -> set[int]:
+    """The weaker class of each two that are not nested on a page; ``member``: class, place, tokens and pages by token."""
+    weaker: set[int] = set()
+    strength: dict[int, tuple] = {}
+    opened: list[int] = []
+    for t in tokens:
+        if t not in member:
+            continue
+        c, place, size, pages = member[t]
+        strength[c] = (pages, size, c)
+        if size == 1:
+            continue
+        if place == 0:
+            opened.append(c)
+            continue
+        if c not in opened:
+            continue
+        k = opened.index(c)
+        # an occurrence that began after c's last token must have ended before this one
+        weaker.update(min(c, d, key=strength.get) for d in opened[k + 1:])
+        if place == size - 1:
+            del opened[k]
+    return weaker
+
+
 def token_key(path: str, text: str) -> str:
     return f"{path}\n{text}" if text else path
 
@@ -238,24 +284,38 @@ def distinct_pages(pages: DataFrame) -> DataFrame:
     return narrow.join(repeated, keys, "left_anti").unionByName(narrow.join(repeated, keys, "left_semi").dropDuplicates(keys))
 
 
-def template_classes(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """The valid equivalence classes: host, class_id, token (hash), is_text, pages (of different html)."""
-    narrow = distinct_pages(pages).select("host", "page", "html")
+def _over_pages(rows: DataFrame, fn, schema: str) -> DataFrame:
+    """The rows that ``fn`` yields for each row of ``rows``, given as its values."""
+    names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            types = dict(string=pa.string(), long=pa.int64(), int=pa.int32(), boolean=pa.bool_())
+            types |= {f"array<{t}>": pa.list_(v) for t, v in list(types.items())}
+            kinds = [types[f.split()[1]] for f in schema.split(", ")]
             for i in range(0, b.num_rows, 256):
-                part = b.slice(i, 256)
-                rows = [(host, page, _hash(token_key(*token)), bool(token[1]), n, kept)
-                        for host, page, html in zip(*(part.column(k).to_pylist() for k in range(3)))
-                        for found, kept in (page_tokens(html),)
-                        for token, n in found.items()]
-                cols = list(zip(*rows)) if rows else [[]] * 6
-                kinds = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, kinds)],
-                                                 names=["host", "page", "token", "is_text", "n", "kept"])
-
-    tokens = narrow.mapInArrow(run, "host string, page long, token long, is_text boolean, n int, kept long")
+                out = [r for values in zip(*(c.to_pylist() for c in b.slice(i, 256).columns)) for r in fn(*values)]
+                cols = list(zip(*out)) if out else [[]] * len(kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, kinds)], names=names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _with_classes(pages: DataFrame, members: DataFrame, *cols: str) -> DataFrame:
+    """host and tokens of each page with its host's classes: an array of ``cols`` of the members."""
+    of_host = settle(members.groupBy("host").agg(F.collect_list(F.struct(*cols)).alias("members")))
+    size = of_host.agg(F.sum(F.size("members") * 8 * len(cols) + 100)).first()[0] or 0
+    fields = [F.col("members")[c].alias(c) for c in cols]
+    return pages.select("host", "tokens").join(bounded_broadcast(of_host, size), "host").select("host", "tokens", *fields)
+
+
+def candidate_classes(pages: DataFrame, min_pages: int) -> DataFrame:
+    """The frequent equivalence classes that hold markup and whose pages' text differs: host, class_id, pages, token, is_text."""
+    def counts(host, page, tokens, texts, kept):
+        return ((host, page, t, x, n, kept) for (t, x), n in Counter(zip(tokens, texts)).items())
+
+    tokens = _over_pages(pages.select("host", "page", "tokens", "texts", "kept"), counts,
+                         "host string, page long, token long, is_text boolean, n int, kept long")
     vectors = tokens.groupBy("host", "token", "is_text").agg(
         F.count(F.lit(1)).alias("pages"), F.sum(F.xxhash64("page", "n").cast("decimal(38,0)")).alias("vector"),
         (F.min("kept") != F.max("kept")).alias("differs"))
@@ -268,6 +328,44 @@ def template_classes(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
                                                F.inline("members"))
 
 
+def ordered_classes(pages: DataFrame, members: DataFrame) -> DataFrame:
+    """``members`` of ordered classes, with ``place`` (from 0) and ``size``; what is left without markup is no class."""
+    def of_page(host, tokens, token, class_id):
+        return ((host, *found) for found in places(tokens, dict(zip(token, class_id))))
+
+    found = _over_pages(_with_classes(pages, members, "token", "class_id"), of_page,
+                        "host string, class_id long, token long, lo int, hi int, whole boolean")
+    keys = ["host", "class_id", "token"]
+    steady = found.groupBy(*keys).agg(F.min("lo").alias("at"), F.max("hi").alias("hi"), F.bool_and("whole").alias("whole"))
+    kept = members.join(steady.filter("whole and at = hi").select(*keys, "at"), keys)
+    member = F.struct("at", "token", "is_text")
+    of_class = kept.groupBy("host", "class_id", "pages").agg(F.array_sort(F.collect_list(member)).alias("members"),
+                                                             F.bool_or(~F.col("is_text")).alias("has_markup"))
+    placed = of_class.filter("has_markup").select("host", "class_id", "pages", F.size("members").alias("size"), F.posexplode("members"))
+    return placed.select("host", "class_id", "pages", "size", F.col("pos").alias("place"), "col.token", "col.is_text")
+
+
+def nested_classes(pages: DataFrame, members: DataFrame) -> DataFrame:
+    """``members`` without the weaker of each two classes that are not nested on some page."""
+    def of_page(host, tokens, token, *about):
+        return ((host, c) for c in crossed(tokens, dict(zip(token, zip(*about)))))
+
+    weaker = _over_pages(_with_classes(pages, members, "token", "class_id", "place", "size", "pages"), of_page, "host string, class_id long")
+    return members.join(weaker.distinct(), ["host", "class_id"], "left_anti")
+
+
+def template_classes(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """The valid equivalence classes: host, class_id, pages (of different html), size, place, token (hash), is_text."""
+    def sequence(host, page, html):
+        found, kept = page_tokens(html)
+        return [(host, page, [_hash(token_key(*t)) for t in found], [bool(t[1]) for t in found], kept)]
+
+    # pages are parsed once; the checks read their token hashes
+    seen = settle(_over_pages(distinct_pages(pages).select("host", "page", "html"), sequence,
+                              "host string, page long, tokens array<long>, texts array<boolean>, kept long"))
+    return nested_classes(seen, settle(ordered_classes(seen, settle(candidate_classes(seen, min_pages)))))
+
+
 def template_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, template): hashes of the text that each host's template prints (no more than one page holds)."""
     found = template_classes(pages, min_pages).filter("is_text")

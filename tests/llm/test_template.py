@@ -127,3 +127,35 @@ def test_copies_inside_a_large_host(spark):
 def test_text_of_the_content_element_is_never_template(spark):
     rows = [(i, f"http://c.example/{i}", f"<body><div class='q1'>Hi</div><main><h1>Daily note</h1><p>Day {i}</p></main></body>") for i in range(8)]
     assert texts_of(spark, rows) == {i: f"Daily note Day {i}" for i in range(8)}
+
+
+def test_tokens_without_a_fixed_place_leave_their_class(spark):
+    """Two blocks that the pages print in either order share a vector, but their class is not ordered."""
+    rows = []
+    for i in range(12):
+        pair = ["<div class='a1'>Alpha</div>", "<div class='b1'>Beta</div>"]
+        rows.append((i, f"http://o.example/{i}", f"<body><div class='q1'>Welcome</div>{''.join(pair[::-1] if i % 2 else pair)}<div class='q2'>Words {i}</div>"))
+    got = texts_of(spark, rows)
+    assert got == {i: ("Beta Alpha" if i % 2 else "Alpha Beta") + f" Words {i}" for i in range(12)}
+
+
+def test_of_two_classes_that_cross_one_is_valid(spark):
+    """x1 y1 x2 y2: neither class lies between two tokens of the other, so the one on fewer pages is dropped."""
+    def page(i):
+        y1, y2 = ("<div class='y1'>Yone</div>", "<div class='y2'>Ytwo</div>") if i % 2 else ("", "")
+        return f"<body><div class='x1'>Xone</div>{y1}<div class='x2'>Xtwo</div>{y2}<div class='q2'>Words {i}</div>"
+
+    rows = [(i, f"http://n.example/{i}", page(i)) for i in range(16)]
+    assert texts_of(spark, rows) == {i: ("Yone Ytwo " if i % 2 else "") + f"Words {i}" for i in range(16)}
+    # within one gap of the other class it stays
+    rows = [(i, u, h.replace("<div class='x2'>Xtwo</div>", "")) for i, u, h in rows]
+    assert texts_of(spark, rows) == {i: f"Words {i}" for i in range(16)}
+
+
+def test_order_and_nesting_of_a_page():
+    assert {(c, t): (lo, hi, w) for c, t, lo, hi, w in X.places([1, 2, 9, 1, 2, 3], {1: 7, 2: 7, 3: 8})} == {
+        (7, 1): (0, 0, True), (7, 2): (1, 1, True), (8, 3): (0, 0, True)}
+    assert all(not w for *_, w in X.places([1, 1, 2, 2], {1: 7, 2: 7}))
+    member = {1: (7, 0, 2, 9), 2: (7, 1, 2, 9), 3: (8, 0, 2, 5), 4: (8, 1, 2, 5)}
+    assert X.crossed([1, 3, 4, 2, 1, 2], member) == X.crossed([1, 2, 3, 4], member) == set()
+    assert X.crossed([1, 3, 2, 4], member) == X.crossed([3, 1, 4, 2], member) == {8}
