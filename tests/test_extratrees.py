@@ -134,9 +134,10 @@ def test_training_rows_take_no_more_tasks_than_cores(spark, monkeypatch):
     from patchlens.operators import models as MD
 
     cores = spark.sparkContext.defaultParallelism
-    got = MD.spread(spark.range(0, 60_000, 1, 40))
+    got = MD.spread(spark.range(0, 60_000, 1, 5 * cores))
     assert got.rdd.getNumPartitions() == min(cores, 3) and got.count() == 60_000
-    assert MD.spread(spark.range(0, 1_000, 1, 9)).rdd.getNumPartitions() == 1
+    assert MD.spread(spark.range(0, 1_000, 1, cores + 1)).rdd.getNumPartitions() == 1
+    assert MD.spread(spark.range(0, 1_000, 1, cores)).rdd.getNumPartitions() == cores
     assert MD.spread(spark.range(0, 0, 1, 4)).count() == 0
     monkeypatch.setattr(MD, "SPREAD_MOST", 1_000)
     assert MD.spread(spark.range(0, cores * 1_000 + 1, 1, 1)).rdd.getNumPartitions() == 2 * cores
