@@ -74,10 +74,12 @@ SELECT CAST(year(ts) AS INTEGER) AS year,
 FROM f GROUP BY 1, 2, 3
 """)
 def acceptance_by_year(spark, sf_dir):
-    """Flagship: label join -> keyword filter -> features -> acceptance by calendar slot."""
+    """Flagship: label join -> keyword filter -> features -> acceptance by calendar slot.
+
+    The filter is a regex, which Catalyst evaluates below the joins, so they carry only the matching texts.
+    """
     used = [f for f in config.SUBJECT_FLAGS if f[0] in ("has_fix", "has_realtime", "has_load_balance")]
-    f = FE.temporal_features(FE.text_features(L.not_null(patch_view(spark, sf_dir), "subject"),
-                                              keywords=config.SCHEDULING_KEYWORDS, flags=used))
+    f = FE.temporal_features(FE.text_features(scheduling_patches(spark, sf_dir), flags=used))
     return f.groupBy(
         F.col("year"), F.col("day_of_week"), F.col("is_business_hours").cast("int").alias("is_business_hours")
     ).agg(
