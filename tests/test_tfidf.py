@@ -90,3 +90,43 @@ def test_sizes_are_fitted_from_one_count(spark, monkeypatch):
     for one, m in zip(single, both):
         assert (one.vocabulary, one.idf) == (m.vocabulary, m.idf)
         assert [r["features"] for r in one.transform(df).collect()] == [r["features"] for r in m.transform(df).collect()]
+
+
+def test_grid_counts_the_texts_once(spark, monkeypatch):
+    """All sizes and n-gram settings come from one count of the texts, and give what a fit of each would."""
+    from patchlens.operators import textvec as TV
+
+    rows = [(i, f"alpha beta{i % 4} gamma{i % 3} alpha beta{i % 4} the delta{i % 7}") for i in range(60)] + [(60, None), (61, " ")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    points = [(v, b) for b in (False, True) for v in (3, 8)]
+    single = []
+    for vocab, bigrams in points:
+        terms = df.withColumn("terms", F.coalesce(TV.words(F.col("text"), bigrams=bigrams), F.array().cast("array<string>")))
+        m = TfidfVectorizer(inputCol="terms", maxFeatures=vocab).fit(terms)
+        single.append((m.vocabulary, {r["id"]: r["features"] for r in m.transform(terms).collect()}))
+    calls, count = [], TV.text_stats
+    monkeypatch.setattr(TV, "text_stats", lambda *a, **k: calls.append(1) or count(*a, **k))
+    models = TfidfVectorizer(inputCol="text").fit_grid(df, points)
+    assert len(calls) == 1
+    out = models[0].with_all(df, models, ["a", "b", "c", "d"])
+    assert out.columns == ["id", "text", "a", "b", "c", "d"]
+    got = out.collect()
+    for (vocabulary, vectors), model, name in zip(single, models, "abcd"):
+        assert model.vocabulary == vocabulary
+        assert all(abs(r[name].toArray() - vectors[r["id"]].toArray()).max() < 1e-12 for r in got)
+
+
+def test_text_fit_is_the_estimators(spark):
+    """The classifier gets weights that are written once; the fitted pipeline scores raw texts like the estimator's."""
+    df = spark.createDataFrame([(i, f"word{i % 5} other{i % 3} word{i % 5}", float(i % 5 > 2)) for i in range(80)], "id int, text string, label double")
+    one = {r["id"]: r["probability"][1] for r in MD.text_estimator("text", vocab_size=6).fit(df).transform(df).collect()}
+    model = MD.fit_text(df, "text", vocab_size=6)
+    two = {r["id"]: r["probability"][1] for r in model.transform(df).collect()}
+    assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-3 for k in one)
+
+
+def test_fits_at_once_share_the_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 60_000, 1, 8)
+    assert MD.gathered(rows).rdd.getNumPartitions() == min(cores, 3)
+    assert MD.gathered(rows, 60_000, fits=cores).rdd.getNumPartitions() == 1
